@@ -22,15 +22,12 @@ from panelwright.sources.state import read_config, read_table, write_config, wri
 
 
 def _with_positions(stats: DataFrame, n_features: int) -> DataFrame:
-    """Use the input position where the source gave one, else name order."""
-    if stats.where("feature_pos is not null").limit(1).count():
-        return stats
-    bare = stats.drop("feature_pos")
-    if n_features <= MAP_ROWS:  # a table of names, measured to be small
-        by_name = Window.partitionBy(F.lit(0)).orderBy("feature")
-        return bare.withColumn("feature_pos", F.row_number().over(by_name).cast("int") - 1)
-    placed = ranks(bare, [("feature", False)], name="feature_pos")
-    return placed.withColumn("feature_pos", (F.col("feature_pos") - 1).cast("int"))
+    """Positions 0, 1, ... in the order of the source, or of names if it gave none."""
+    if n_features <= MAP_ROWS:  # a table of features, measured to be small
+        in_order = Window.partitionBy(F.lit(0)).orderBy("feature_pos", "feature")
+        return stats.withColumn("feature_pos", F.row_number().over(in_order).cast("int") - 1)
+    placed = ranks(stats, [("feature_pos", False), ("feature", False)], name="_place")
+    return placed.withColumn("feature_pos", (F.col("_place") - 1).cast("int")).drop("_place")
 
 
 class Preprocessor:
