@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from panelwright.config import AttributionConfig
 from panelwright.operators.ensemble import StackedEnsemble
 from panelwright.operators.split import subsample
-from panelwright.session import materialize, new_path
+from panelwright.session import materialize, new_path, ship_package
 
 PATH_SCHEMA = (
     "tree int, leaf int, value double, base double, "
@@ -59,7 +59,7 @@ def node_table(model, spark) -> DataFrame:
         F.col("treeID").alias("tree"), "id", cover.alias("cover"), output.alias("output"),
         F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
         F.col("split.featureIndex").alias("feature"),
-        F.col("split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
     )
 
 
@@ -158,6 +158,7 @@ class TreeAttribution:
     def fit(self, rows: DataFrame) -> TreeAttribution:
         """Explain ``(sample_id, features)``, or an exact subsample of it."""
         spark = rows.sparkSession
+        ship_package(spark)
         c = self.config
         paths = materialize(path_table(node_table(self.model, spark)), "paths")
         n_paths, base = paths.agg(F.count("*"), F.sum("base")).first()
@@ -199,11 +200,7 @@ class TreeAttribution:
         return cells.withColumn("feature", names[F.col("feature_pos")])
 
     def ranking(self) -> DataFrame:
-        """Mean and mean absolute attribution per feature."""
-        table = self.long().groupBy("feature", "feature_pos").agg(
-            F.avg("shap_value").alias("mean_shap"), F.avg(F.abs("shap_value")).alias("mean_abs_shap")
-        )
-        return table.orderBy(F.desc("mean_abs_shap"), "feature_pos")
+        return rank_attributions(self.long())
 
     def top(self, n: int | None = None, direction: str | None = None) -> DataFrame:
         n = self.config.n_top if n is None else n
@@ -225,6 +222,15 @@ class TreeAttribution:
         return self.top(self.config.max_display).select("feature", "mean_abs_shap")
 
 
+def rank_attributions(long: DataFrame) -> DataFrame:
+    """Mean and mean absolute attribution per feature, largest size first."""
+    value = F.col("shap_value").cast("double")
+    table = long.groupBy("feature", "feature_pos").agg(
+        F.avg(value).alias("mean_shap"), F.avg(F.abs(value)).alias("mean_abs_shap")
+    )
+    return table.orderBy(F.desc("mean_abs_shap"), "feature_pos")
+
+
 def top_ranked(ranking: DataFrame, n: int, direction: str | None = None) -> DataFrame:
     """The first n by size, or by signed mean; the sign orders, it does not filter."""
     orders = {

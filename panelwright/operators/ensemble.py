@@ -221,16 +221,20 @@ class StackedEnsemble:
 
     # -- search ----------------------------------------------------------
 
-    def tune(self, rows: DataFrame, trials: int | None = None) -> StackedEnsemble:
+    def tune(
+        self, rows: DataFrame, trials: int | None = None, draws: list[EnsembleConfig] | None = None
+    ) -> StackedEnsemble:
         """Random search for the best cross-validated ROC-AUC, then refit.
 
-        ``search_results`` has one row per trial.
+        ``draws`` replaces the random draws; ``search_results`` has one row per
+        trial.
         """
         c = self.config
+        draws = draws or draw_settings(c, trials or c.tune_trials)
         folded = stratified_folds(rows, folds=c.folds, seed=f"search-{c.seed}")
         data = folded.withColumnRenamed("fold", "search_fold").persist(StorageLevel.MEMORY_AND_DISK)
         results = []
-        for number, drawn in enumerate(draw_settings(c, trials or c.tune_trials)):
+        for number, drawn in enumerate(draws):
             aucs = []
             for fold in range(c.folds):
                 stack = StackedEnsemble(drawn).fit(data.where(F.col("search_fold") != fold).drop("search_fold"))

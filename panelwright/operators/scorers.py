@@ -22,7 +22,7 @@ HASH_UNIT = float(16**12)
 
 def anova_f(cells: DataFrame, seed: int = 42) -> DataFrame:
     """One-way ANOVA F over the classes; NaN for a constant feature."""
-    moments = class_moments(cells.withColumnRenamed("x", "value"))
+    moments = class_moments(cells.select("sample_id", "feature", F.col("x").alias("value"), "label"))
     return feature_moments(moments).select("feature", F.col("f_score").alias("score"))
 
 

@@ -174,15 +174,15 @@ class Selector:
 
         cells = scaled.select("sample_id", "feature", F.col("value").alias("x"), "label")
         spread = materialize(mad(cells, largest=size.rows), "mad")
+        # From here on every input is a small written table.
         scored = stats.drop("median", "mad").join(spread, "feature")
-        survivors = materialize(top_by_mad(scored, c.n_mad).select("feature", "feature_pos", "f_score"), "survivors")
+        survivors = top_by_mad(scored, c.n_mad)
         if c.scorer == "anova_f":
             scores = survivors.withColumn("score", F.col("f_score"))
         else:
+            survivors = materialize(survivors, "survivors")
             picked = cells.join(survivors.select("feature"), "feature", "left_semi")
-            scores = materialize(
-                survivors.join(SCORERS[c.scorer](picked, c.seed), "feature"), "scores"
-            )
+            scores = materialize(survivors.join(SCORERS[c.scorer](picked, c.seed), "feature"), "scores")
         panel = top_by_score(scores, c.k_best).select("feature", F.lit(True).alias("kept_panel"))
         marks = scores.select("feature", F.lit(True).alias("kept_mad"), "score").join(panel, "feature", "left")
         base = known if known is not None else stats
