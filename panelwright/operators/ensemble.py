@@ -107,10 +107,11 @@ class Weights:
         return rows.withColumn("w_rf", balanced).withColumn("w_gbt", boosted)
 
 
-def _in_parallel(jobs: list[Callable], threads: int) -> list:
+def _in_parallel(spark: SparkSession, jobs: list[Callable], threads: int) -> list:
     pool = ThreadPool(max(1, min(threads, len(jobs))))
+    inherit = inheritable_thread_target(spark)
     try:
-        return pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs])
+        return pool.map(lambda job: job(), [inherit(job) for job in jobs])
     finally:
         pool.close()
 
@@ -156,7 +157,7 @@ class StackedEnsemble:
             return lambda: make(c).fit(weights.add(part, fold))
 
         slots = [*range(c.folds), None]
-        models = _in_parallel([base(make, f) for f in slots for make in (forest, booster)], c.parallelism)
+        models = _in_parallel(data.sparkSession, [base(make, f) for f in slots for make in (forest, booster)], c.parallelism)
         pairs = {slot: (models[2 * i], models[2 * i + 1]) for i, slot in enumerate(slots)}
 
         held_out = None
