@@ -16,6 +16,7 @@ of degree d - 1, so Gauss-Legendre nodes give the integral exactly.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.config import AttributionConfig
-from panelwright.operators.ensemble import StackedEnsemble
+from panelwright.operators.ensemble import DEEPEST, StackedEnsemble
 from panelwright.operators.split import subsample
 from panelwright.session import materialize, new_path, ship_package
 
+log = logging.getLogger(__name__)
+
 PATH_SCHEMA = (
     "tree int, leaf int, value double, base double, "
     "features array<int>, low array<double>, high array<double>, share array<double>"
@@ -152,14 +155,15 @@ class TreeAttribution:
         self.names = list(names)
         self.negative, self.positive = stack.classes
         self.base_value: float | None = None
-        self.values: DataFrame | None = None  # sample_id, phi
-        self.rows: DataFrame | None = None
+        self.values: DataFrame | None = None  # sample_id, phi, x
 
     def fit(self, rows: DataFrame) -> TreeAttribution:
         """Explain ``(sample_id, features)``, or an exact subsample of it."""
         spark = rows.sparkSession
         ship_package(spark)
         c = self.config
+        if self.model.getOrDefault("maxDepth") >= DEEPEST:
+            log.warning("explaining a forest of unlimited depth: work grows with its number of leaves")
         paths = materialize(path_table(node_table(self.model, spark)), "paths")
         n_paths, base = paths.agg(F.count("*"), F.sum("base")).first()
         self.base_value = float(base)
@@ -181,11 +185,14 @@ class TreeAttribution:
                 phi = np.zeros((len(x), width))
                 for chunk in sent:
                     shapley(x, chunk.value, phi)
-                yield pd.DataFrame({"sample_id": batch["sample_id"], "phi": list(phi.astype(np.float32))})
-
-        self.rows = subsample(rows.select("sample_id", "features"), c.max_samples, seed=c.seed)
-        inputs = self.rows.select("sample_id", vector_to_array("features").alias("x"))
-        self.values = materialize(inputs.mapInPandas(explain, "sample_id string, phi array<float>"), "shap")
+                yield batch.assign(phi=list(phi.astype(np.float32)))
+
+        used = subsample(rows.select("sample_id", "features"), c.max_samples, seed=c.seed)
+        # Rows are light and the work on each is heavy, so spread them evenly.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        inputs = used.select("sample_id", vector_to_array("features").alias("x")).repartition(tasks)
+        schema = "sample_id string, x array<double>, phi array<float>"
+        self.values = materialize(inputs.mapInPandas(explain, schema), "shap")
         return self
 
     def _fitted(self) -> DataFrame:
@@ -208,14 +215,13 @@ class TreeAttribution:
 
     def summary_points(self) -> DataFrame:
         """Per-sample attribution and value of the most important features."""
-        best = self.top(self.config.max_display).select("feature_pos", "mean_abs_shap")
-        shown = materialize(best, "shown")
-        values = self.rows.select("sample_id", F.posexplode(vector_to_array("features")).alias("feature_pos", "feature_value"))
-        return (
-            self.long()
-            .join(shown, "feature_pos")
-            .join(values, ["sample_id", "feature_pos"])
-            .select("sample_id", "feature", "shap_value", "feature_value", "mean_abs_shap")
+        shown = materialize(self.top(self.config.max_display).drop("mean_shap"), "shown")
+        pairs = self._fitted().select(
+            "sample_id", F.posexplode(F.arrays_zip("phi", "x")).alias("feature_pos", "pair")
+        )
+        return pairs.join(shown, "feature_pos").select(
+            "sample_id", "feature", F.col("pair.phi").alias("shap_value"), F.col("pair.x").alias("feature_value"),
+            "mean_abs_shap",
         )
 
     def bars(self) -> DataFrame:

@@ -6,7 +6,7 @@ total; the others on the confusion table, which has one row per class pair.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.running import running_totals
@@ -143,8 +143,6 @@ def report_text(report: DataFrame, digits: int = 4) -> str:
 def evaluate(scored: DataFrame, score="score", label="label", prediction="prediction") -> DataFrame:
     """All headline metrics as one row."""
     table = confusion(scored, label, prediction)
-    # Both sides have exactly one row.
-    one = Window.partitionBy(F.lit(0)).orderBy(F.lit(0))
-    left = ranking_metrics(scored, score, label).withColumn("_k", F.row_number().over(one))
-    right = agreement_metrics(table).withColumn("_k", F.row_number().over(one))
-    return left.join(right, "_k").drop("_k")
+    ranking, agreement = ranking_metrics(scored, score, label), agreement_metrics(table)
+    packed = agreement.select(F.struct(*agreement.columns))
+    return ranking.withColumn("_agreement", packed.scalar()).select(*ranking.columns, "_agreement.*")

@@ -109,13 +109,6 @@ class ScoringBundle:
             raise RuntimeError(f"scoring needs exactly the classes [0, 1]; found {[r.code for r in codes]}")
         return cls.of(FeatureScreen.load(spark, f"{path}/screen"), StackedEnsemble.load(spark, f"{path}/ensemble"))
 
-    def readiness(self, spark: SparkSession) -> DataFrame:
-        row = ("ok", True, len(self.required), len(self.panel), self.classes)
-        return spark.createDataFrame(
-            [row],
-            "status string, models_loaded boolean, n_expected_genes int, n_model_input_genes int, classes array<string>",
-        )
-
     def triage(self, records: DataFrame) -> DataFrame:
         """Add ``reject_code`` and ``reject_reason``; both null for good records."""
         m = F.col("expressions")
@@ -164,6 +157,19 @@ class ScoringBundle:
         )
 
 
+READINESS_SCHEMA = (
+    "status string, models_loaded boolean, n_expected_genes int, n_model_input_genes int, classes array<string>"
+)
+
+
+def readiness(spark: SparkSession, bundle: ScoringBundle | None) -> DataFrame:
+    """One row: whether scoring can start, and what it expects."""
+    row = ("unavailable", False, None, None, None)
+    if bundle is not None:
+        row = ("ok", True, len(bundle.required), len(bundle.panel), bundle.classes)
+    return spark.createDataFrame([row], READINESS_SCHEMA)
+
+
 def accepted(scored: DataFrame) -> DataFrame:
     return scored.where("reject_code is null").select(*RESULT_COLUMNS)
 

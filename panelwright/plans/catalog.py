@@ -31,7 +31,7 @@ from panelwright.operators.order_stats import mad, medians_by_counting
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import anova_f, mutual_information
-from panelwright.operators.scoring import ScoringBundle, accepted, rejected
+from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
 from panelwright.plans import workloads as wl
 from panelwright.plans.screening import FeatureScreen, Preprocessor, Selector
 from panelwright.plans.training import Trained, train
@@ -747,7 +747,7 @@ def bundle_readiness(spark, folder):
     """The saved bundle, loaded again."""
     path = new_path(spark, "bundle")
     trained(spark, folder).bundle.save(path)
-    row = ScoringBundle.load(spark, path).readiness(spark)
+    row = readiness(spark, ScoringBundle.load(spark, path))
     return row.select(
         "status", "models_loaded", F.col("n_expected_genes").cast("bigint").alias("n_expected_genes"),
         F.col("n_model_input_genes").cast("bigint").alias("n_model_input_genes"),

@@ -168,7 +168,7 @@ class Selector:
             stats = _with_positions(stats, stats.count())
         else:
             stats = known.where("kept_var")
-        size = stats.agg(F.count("*").alias("features"), F.max("n").alias("rows")).first()
+        size = stats.agg(F.count("*").alias("features"), F.max("n").alias("rows")).first()  # a small table
         if c.n_mad >= size.features:
             raise ValueError(f"n_mad ({c.n_mad}) must be less than the number of features ({size.features})")
 

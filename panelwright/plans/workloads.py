@@ -39,31 +39,29 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, folder: str, feature) -> DataFrame:
-    """Sparse cells: what each customer bought, per feature."""
-    items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    """Sparse cells, one per line item: customer, feature, quantity."""
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").alias("value"))
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("sample_id"))
     parts = table(spark, folder, "part").select("p_partkey", feature.alias("feature"))
-    names = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("sample_id"))
-    # Quantities are folded before the customer name joins, so a part or a
-    # customer with very many lines is small by then.
-    by_customer = (
-        items.join(parts, items.l_partkey == parts.p_partkey)
-        .join(orders, items.l_orderkey == orders.o_orderkey)
-        .groupBy("o_custkey", "feature")
-        .agg(F.sum("l_quantity").alias("value"))
-    )
-    return by_customer.join(names, by_customer.o_custkey == names.c_custkey).select("sample_id", "feature", "value")
+    joined = items.join(parts, items.l_partkey == parts.p_partkey).join(orders, items.l_orderkey == orders.o_orderkey)
+    return joined.select("sample_id", "feature", "value")
 
 
 def spend_matrix(spark: SparkSession, folder: str, by_type: bool = False, labelled: bool = True) -> DataFrame:
-    """Dense ``(sample_id, feature, value, label)``, written once."""
+    """Dense ``(sample_id, feature, value[, label])``, written once.
+
+    Line items and zeros meet in one aggregation, folded before its shuffle;
+    names and labels join the folded cells.
+    """
     feature = F.concat_ws("/", "p_brand", "p_type") if by_type else F.col("p_brand")
     features = table(spark, folder, "part").select(feature.alias("feature"))
-    samples = customers(spark, folder)
-    dense = densify(purchases(spark, folder, feature), samples, features)
-    if labelled:
-        dense = dense.join(samples, "sample_id")
-    return materialize(dense, "spend")
+    customer = table(spark, folder, "customer")
+    dense = densify(
+        purchases(spark, folder, feature), customer.select(F.col("c_custkey").alias("sample_id")), features
+    ).withColumnRenamed("sample_id", "c_custkey")
+    named = dense.join(customer.select("c_custkey", "c_name", segment_label().alias("label")), "c_custkey")
+    columns = [F.col("c_name").alias("sample_id"), "feature", "value"] + (["label"] if labelled else [])
+    return materialize(named.select(*columns), "spend")
 
 
 def embedding_matrix(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -25,6 +26,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -66,6 +68,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(spark: SparkSession, n_rows: int, row_bytes: int) -> bool:
+    """Whether a table of a measured size stays below the broadcast threshold."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    found = re.fullmatch(r"(-?\d+)([bkmg]?)b?", text.strip().lower())
+    limit = int(found[1]) * units[found[2] or "b"]
+    return n_rows * row_bytes <= limit
+
+
 _shipped: set[str] = set()
 
 

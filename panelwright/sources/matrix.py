@@ -48,8 +48,11 @@ def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions
         raise ValueError(f"matrix is empty: {path}")
     # Line order inside the file: ids grow with the position in the input.
     wide = wide.withColumn("feature_pos", F.monotonically_increasing_id())
-    # A compressed file arrives in one partition; spread it before it grows.
-    wide = wide.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A compressed file arrives in one partition; spread its rows before they
+    # grow. Inputs that are split already are not shuffled.
+    wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wide.rdd.getNumPartitions() < wanted:
+        wide = wide.repartition(wanted)
     cells = F.array(*[F.col(f"c{i}") for i in range(1, len(names))])
     ids = F.array(*[F.lit(n) for n in names[1:]])
     long = wide.select("feature", "feature_pos", F.posexplode(cells).alias("column_no", "text"))
@@ -100,12 +103,12 @@ def densify(cells: DataFrame, samples: DataFrame, features: DataFrame) -> DataFr
     return both.groupBy("sample_id", "feature").agg(F.sum("value").cast("float").alias("value"))
 
 
-def write_matrix(matrix: DataFrame, path: str) -> None:
-    """Long matrix clustered by feature.
+def write_matrix(matrix: DataFrame, path: str, *folders: str) -> None:
+    """Long matrix clustered by feature, in one directory per value of ``folders``.
 
     Row-group statistics then let a scan of a panel skip other features, and a
     task sees few features, which makes partial aggregation effective. The
     range covers (feature, sample), so one large feature spans many files.
     """
-    ranged = matrix.repartitionByRange("feature", "sample_id").sortWithinPartitions("feature", "sample_id")
-    ranged.write.mode("overwrite").parquet(path)
+    ranged = matrix.repartitionByRange("feature", "sample_id").sortWithinPartitions(*folders, "feature", "sample_id")
+    ranged.write.mode("overwrite").partitionBy(*folders).parquet(path)

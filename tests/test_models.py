@@ -12,8 +12,9 @@ from panelwright.functions.scalar import bar_position, direction
 from panelwright.operators.attribution import TreeAttribution, pack, shapley, top_ranked, tree_paths
 from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
 from panelwright.operators.panel import assemble_panel
-from panelwright.operators.scoring import ScoringBundle, accepted, rejected
-from panelwright.plans.training import train
+from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
+from panelwright.plans.training import split_cells, train
+from panelwright.session import fits_broadcast
 from panelwright.sources.state import read_ranking, write_ranking
 from panelwright.streaming.scoring import read_records, read_results, start_scoring
 
@@ -72,6 +73,17 @@ def test_no_training_row_is_tested(model):
     assert len(train_ids) == 96 and len(test_ids) == 24 and not train_ids & test_ids
 
 
+def test_large_sample_tables_are_joined_once(spark, cohort, model, monkeypatch):
+    """Beyond the broadcast size the cells are written, with the same content."""
+    monkeypatch.setattr("panelwright.plans.training.fits_broadcast", lambda *a: False)
+    written = split_cells(cohort[0], model.samples)
+    monkeypatch.setattr("panelwright.plans.training.fits_broadcast", lambda *a: True)
+    joined = split_cells(cohort[0], model.samples)
+    assert written.columns == joined.columns
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, joined.collect()))
+    assert fits_broadcast(spark, 10, 64) and not fits_broadcast(spark, 10**9, 64)
+
+
 def test_out_of_fold_scores_cover_each_row_once(model):
     folds = model.stack.out_of_fold
     assert folds.count() == 96
@@ -292,8 +304,9 @@ def test_bundle_on_disk(spark, model, tmp_path):
     again = ScoringBundle.load(spark, path)
     rows = _records(spark, {"a": {}, "b": {"G0": 90.0, "G1": 80.0}})
     assert again.score(rows).collect() == model.bundle.score(rows).collect()
-    ready = again.readiness(spark).first()
+    ready = readiness(spark, again).first()
     assert (ready.status, ready.n_expected_genes, ready.n_model_input_genes, ready.classes) == ("ok", 6, 4, ["Alive", "Dead"])
+    assert readiness(spark, None).first().status == "unavailable"
     wrong = spark.createDataFrame([("Alive", 0), ("Dead", 2)], "label string, code int")
     wrong.write.mode("overwrite").parquet(f"{path}/classes")
     with pytest.raises(RuntimeError, match=r"\[0, 1\]"):
