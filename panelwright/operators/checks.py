@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+LONG_COLUMNS = ("sample_id", "feature", "value")
+
+
+def require_long(matrix: DataFrame, *more: str) -> None:
+    """Error unless ``matrix`` is a DataFrame in long form."""
+    if not isinstance(matrix, DataFrame):
+        raise TypeError(f"expected a DataFrame; got {type(matrix).__name__}")
+    absent = [c for c in (*LONG_COLUMNS, *more) if c not in matrix.columns]
+    if absent:
+        raise TypeError(f"expected a long matrix; it lacks {absent}")
+
+
 def domain_counts(matrix: DataFrame) -> DataFrame:
     """One row: cells, missing (null or NaN) and negative cells."""
     value = F.col("value")

@@ -43,7 +43,7 @@ def forest(c: EnsembleConfig) -> RandomForestClassifier:
     depth = DEEPEST if c.rf_max_depth is None else min(c.rf_max_depth, DEEPEST)
     return RandomForestClassifier(
         featuresCol="features", labelCol="code", weightCol="w_rf", numTrees=c.rf_trees, maxDepth=depth,
-        minInstancesPerNode=c.rf_min_leaf, featureSubsetStrategy="sqrt", maxBins=c.max_bins, seed=c.seed,
+        minInstancesPerNode=c.rf_min_leaf, featureSubsetStrategy="sqrt", maxBins=c.max_bins, seed=c.seed, maxMemoryInMB=1024,
     )
 
 

@@ -589,8 +589,8 @@ def forest_importances(spark, folder):
 def random_search(spark, folder):
     """M7: two small draws over the cross-validated stack."""
     t = trained(spark, folder)
-    small = EnsembleConfig(rf_trees=5, rf_max_depth=4, gbt_rounds=4, gbt_max_depth=3, folds=2, max_bins=32)
-    spans = {"rf_trees": (3, 6), "rf_max_depth": (3, 4), "gbt_rounds": (3, 5), "gbt_max_depth": (2, 3)}
+    small = EnsembleConfig(rf_trees=3, rf_max_depth=3, gbt_rounds=2, gbt_max_depth=3, folds=2, max_bins=32)
+    spans = {"rf_trees": (3, 5), "rf_max_depth": (3, 4), "gbt_rounds": (2, 3), "gbt_max_depth": (2, 3)}
     stack = StackedEnsemble(small)
     return stack.tune(t.train, draws=draw_settings(small, 2, spans)).search_results
 

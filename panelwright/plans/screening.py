@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import PreprocessConfig, SelectConfig
 from panelwright.functions.scalar import log2_shift, zscore
-from panelwright.operators.checks import raise_on_domain
+from panelwright.operators.checks import raise_on_domain, require_long
 from panelwright.operators.moments import class_moments, feature_moments, log2_moments
 from panelwright.operators.order_stats import MAP_ROWS, mad
 from panelwright.operators.running import ranks
@@ -21,7 +21,7 @@ from panelwright.session import materialize
 from panelwright.sources.state import read_config, read_table, write_config, write_table
 
 
-def _with_positions(stats: DataFrame, n_features: int) -> DataFrame:
+def with_positions(stats: DataFrame, n_features: int) -> DataFrame:
     """Positions 0, 1, ... in the order of the source, or of names if it gave none."""
     if n_features <= MAP_ROWS:  # a table of features, measured to be small
         in_order = Window.partitionBy(F.lit(0)).orderBy("feature_pos", "feature")
@@ -40,6 +40,7 @@ class Preprocessor:
         self.n_features = 0
 
     def fit(self, train: DataFrame) -> Preprocessor:
+        require_long(train)
         c = self.config
         stats = materialize(
             feature_moments(log2_moments(train, c.pseudocount, c.min_expression)), "feature_stats"
@@ -72,7 +73,7 @@ class Preprocessor:
             raise ValueError(f"no feature has variance above {c.variance_threshold}")
         self.n_rows, self.n_features = seen.most, seen.features
         self.stats = (
-            _with_positions(stats, seen.features)
+            with_positions(stats, seen.features)
             .withColumn("kept_expr", expressed)
             .withColumn("kept_var", variable)
         )
@@ -113,6 +114,7 @@ class Preprocessor:
         """Scaled cells ``(sample_id, feature, feature_pos, value[, label])`` of
         the features that carry ``flag``."""
         table = stats if stats is not None else self.fitted()
+        require_long(matrix)
         if check:
             self.check(matrix)
         c = self.config
@@ -158,6 +160,7 @@ class Selector:
         ``known`` is the table of a fitted Preprocessor: its F score is used,
         since scaling does not change it.
         """
+        require_long(scaled)
         c = self.config
         if labels is not None:
             scaled = _attach_labels(scaled, labels)
@@ -165,7 +168,7 @@ class Selector:
             raise ValueError("supervised selection needs a label")
         if known is None:
             stats = materialize(feature_moments(class_moments(scaled)), "feature_stats")
-            stats = _with_positions(stats, stats.count())
+            stats = with_positions(stats, stats.count())
         else:
             stats = known.where("kept_var")
         size = stats.agg(F.count("*").alias("features"), F.max("n").alias("rows")).first()  # a small table
@@ -202,6 +205,7 @@ class Selector:
         return self.stats
 
     def transform(self, scaled: DataFrame) -> DataFrame:
+        require_long(scaled)
         return keep(scaled, self.fitted(), "kept_panel")
 
     def names(self) -> DataFrame:
@@ -258,8 +262,13 @@ class FeatureScreen:
         return self.selector.fitted()
 
     def transform(self, matrix: DataFrame, check: bool = True) -> DataFrame:
-        """Scaled cells of the panel; no other feature is computed."""
-        return self.preprocessor.transform(matrix, "kept_panel", self.stats, check)
+        """Scaled cells of the panel; no other feature is computed or, on files
+        that are clustered by feature, read."""
+        if check:
+            self.preprocessor.check(matrix)
+        # At most k_best names: they go to the scan as a filter.
+        wanted = matrix.where(F.col("feature").isin([name for name, _, _ in self.panel()]))
+        return self.preprocessor.transform(wanted, "kept_panel", self.stats, check=False)
 
     def panel(self) -> list[tuple[str, float, float]]:
         """(name, mean, std) of the panel in input order; at most k_best rows."""

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from panelwright.session import local_session
+from panelwright.session import local_session, materialize
 
 
 @pytest.fixture(scope="session")
@@ -29,6 +29,7 @@ def long(spark):
         df = spark.createDataFrame(
             rows, "sample_id string, feature string, value float, feature_pos int, label string"
         )
-        return df if labels else df.drop("label")
+        # Written once, so that no later job starts Python workers for it.
+        return materialize(df if labels else df.drop("label"), "fixture")
 
     return build

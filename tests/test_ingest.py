@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import IngestConfig
 from panelwright.operators import align as al
+from panelwright.session import materialize
 from panelwright.sources import matrix as mx
 from panelwright.sources import phenotype as ph
 
@@ -108,7 +109,7 @@ def _cohort(spark, n, n_null, extra=()):
         [(s, f, 1.0) for s in [*ids, *extra] for f in ("A", "B")], "sample_id string, feature string, value float"
     )
     rows = [(s, None if i < n_null else ("a", "b")[i % 2]) for i, s in enumerate(ids)]
-    return cells, _labels(spark, rows)
+    return materialize(cells, "fixture"), materialize(_labels(spark, rows), "fixture")
 
 
 def test_floor_counts_samples_before_null_labels_go(spark):

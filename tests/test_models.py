@@ -14,7 +14,7 @@ from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
 from panelwright.plans.training import split_cells, train
-from panelwright.session import fits_broadcast
+from panelwright.session import fits_broadcast, materialize
 from panelwright.sources.state import read_ranking, write_ranking
 from panelwright.streaming.scoring import read_records, read_results, start_scoring
 
@@ -33,6 +33,7 @@ def cohort(spark):
             value = rng.uniform(0, 40) + (60 if label == "Dead" and j < 2 else 0)
             rows.append((f"P{i:03d}", name, float(value), label))
     cells = spark.createDataFrame(rows, "sample_id string, feature string, value float, label string")
+    cells = materialize(cells, "fixture")
     return cells.drop("label"), cells.select("sample_id", "label").distinct()
 
 
@@ -129,8 +130,8 @@ def test_search_draws_stay_in_range_and_repeat():
 
 
 def test_search_keeps_the_best_trial(model):
-    tiny = EnsembleConfig(rf_trees=2, rf_max_depth=2, gbt_rounds=2, gbt_max_depth=2, folds=2, max_bins=16)
-    spans = {"rf_trees": (2, 3), "gbt_rounds": (2, 3), "gbt_max_depth": (2, 2), "rf_max_depth": (2, 3)}
+    tiny = EnsembleConfig(rf_trees=2, rf_max_depth=2, gbt_rounds=1, gbt_max_depth=2, folds=2, max_bins=16)
+    spans = {"rf_trees": (2, 3), "gbt_rounds": (1, 2), "gbt_max_depth": (2, 2), "rf_max_depth": (2, 3)}
     stack = StackedEnsemble(tiny).tune(model.train, draws=draw_settings(tiny, 2, spans))
     rows = stack.search_results.collect()
     assert len(rows) == 2 and stack.best_score == max(r.mean_roc_auc for r in rows)
