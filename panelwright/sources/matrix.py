@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelwright.functions.scalar import null_if_token
 from panelwright.sources.state import exists
@@ -26,41 +25,47 @@ def read_header(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
 
 def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions: int | None = None) -> DataFrame:
     """Features in rows, samples in columns -> ``(sample_id, feature,
-    feature_pos, value)`` in single precision.
+    feature_pos, value, column_no)`` in single precision.
 
-    ``column_no`` tells repeated sample names apart. A text that is no number
-    is an error; the usual null tokens become null.
+    Lines are split into one array, so the plan does not grow with the number
+    of columns. ``column_no`` tells repeated sample names apart. A text that is
+    no number, or a line of another width, is an error; the usual null tokens
+    become null.
     """
-    names = read_header(spark, path, sep)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"file not found: {path}")
+    text = spark.read.text(path)
+    first = text.head(1)
+    names = first[0].value.split(sep) if first else []
     if len(names) < 2:
-        raise ValueError(f"{path} has no sample column")
-    fields = [T.StructField("feature", T.StringType())]
-    fields += [T.StructField(f"c{i}", T.StringType()) for i in range(1, len(names))]
-    wide = (
-        spark.read.schema(T.StructType(fields))
-        .option("sep", sep)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("maxColumns", MAX_COLUMNS)
-        .csv(path)
-    )
-    if not wide.limit(1).count():
+        raise ValueError(f"cannot read sample names from the header of {path}")
+    # Each file of a folder repeats the header; no line of numbers equals it.
+    lines = text.where((F.col("value") != first[0].value) & (F.col("value") != ""))
+    if not lines.limit(1).count():
         raise ValueError(f"matrix is empty: {path}")
     # Line order inside the file: ids grow with the position in the input.
-    wide = wide.withColumn("feature_pos", F.monotonically_increasing_id())
-    # A compressed file arrives in one partition; spread its rows before they
+    lines = lines.withColumn("feature_pos", F.monotonically_increasing_id())
+    # A compressed file arrives in one partition; spread its lines before they
     # grow. Inputs that are split already are not shuffled.
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wide.rdd.getNumPartitions() < wanted:
-        wide = wide.repartition(wanted)
-    cells = F.array(*[F.col(f"c{i}") for i in range(1, len(names))])
-    ids = F.array(*[F.lit(n) for n in names[1:]])
-    long = wide.select("feature", "feature_pos", F.posexplode(cells).alias("column_no", "text"))
-    return long.select(
-        F.element_at(ids, F.col("column_no") + 1).alias("sample_id"),
+    if lines.rdd.getNumPartitions() < wanted:
+        lines = lines.repartition(wanted)
+    split_at = f"\\Q{sep}\\E"
+    row, quote = F.split("value", split_at, -1), F.lit('"')
+    problem = F.concat(F.lit(f"expected {len(names)} cells in the line of "), F.col("row")[0])
+    whole = F.when(F.size("row") == len(names), F.col("row")).otherwise(F.raise_error(problem))
+    cells = lines.select("feature_pos", row.alias("row")).select(
+        F.btrim(F.col("row")[0], quote).alias("feature"),
+        "feature_pos",
+        F.posexplode(F.slice(whole, 2, len(names) - 1)).alias("column_no", "text"),
+    )
+    ids = F.split(F.lit(sep.join(names[1:])), split_at, -1)  # one literal, split when the plan is optimised
+    number = null_if_token(F.trim(F.btrim("text", quote)))
+    return cells.select(
+        F.btrim(F.element_at(ids, F.col("column_no") + 1), quote).alias("sample_id"),
         "feature",
         "feature_pos",
-        null_if_token(F.trim("text")).cast("float").alias("value"),
+        number.cast("float").alias("value"),
         "column_no",
     )
 

@@ -81,6 +81,11 @@ def test_wide_matrix_file(spark, tmp_path):
     ]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         mx.read_wide_matrix(spark, _gz(tmp_path / "t.tsv.gz", [["id", "S"], ["G", "abc"]])).collect()
+    with pytest.raises(Exception, match="expected 3 cells in the line of G"):
+        mx.read_wide_matrix(spark, _gz(tmp_path / "s.tsv.gz", [["id", "S", "T"], ["G", "1"]])).collect()
+    quoted = _gz(tmp_path / "q.tsv.gz", [["id", '"S"', "T"], ['"G"', '"1"', ""]])
+    rows = mx.read_wide_matrix(spark, quoted).orderBy("column_no").collect()
+    assert [(r.sample_id, r.feature, r.value) for r in rows] == [("S", "G", 1.0), ("T", "G", None)]
     with pytest.raises(ValueError, match="empty"):
         mx.read_wide_matrix(spark, _gz(tmp_path / "e.tsv.gz", [["id", "S"]]))
     with pytest.raises(FileNotFoundError):
