@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.config import IngestConfig
 from panelwright.functions.scalar import class_percentage, truncate_key
 from panelwright.session import materialize
+from panelwright.sources.matrix import join_samples
 
 CELL_BYTES = 4  # single precision
 
@@ -81,12 +82,12 @@ def align(matrix: DataFrame, labels: DataFrame, config: IngestConfig) -> Aligned
         raise ValueError("after alignment fewer than two distinct labels remain")
     samples = matched.where("label is not null")
     keyed = matrix.withColumn("sample_id", truncate_key(F.col("sample_id"), config.key_length))
+    kept = [c for c in ("feature_pos",) if c in matrix.columns]
+    cells = keyed.select("sample_id", "feature", *kept, F.col("value").cast("float").alias("value"))
     # `samples` is written, so it is broadcast only when its files are small;
     # beyond that adaptive execution splits a skewed sample.
-    joined = keyed.join(samples, "sample_id")
-    kept = [c for c in ("feature_pos",) if c in matrix.columns]
-    cells = joined.select("sample_id", "feature", *kept, F.col("value").cast("float").alias("value"), "label")
-    return Aligned(cells, samples, seen.labelled, seen.n - seen.labelled)
+    joined = join_samples(cells, samples, seen.labelled)
+    return Aligned(joined, samples, seen.labelled, seen.n - seen.labelled)
 
 
 def class_distribution(samples: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.session import materialize
+
 
 LONG_COLUMNS = ("sample_id", "feature", "value")
 
@@ -44,7 +46,7 @@ def check_domain(matrix: DataFrame) -> None:
 
 def feature_mismatch(matrix: DataFrame, stats: DataFrame) -> DataFrame:
     """Features on one side only, or not given once per sample."""
-    seen = matrix.groupBy("feature").agg(F.count("*").alias("n_cells"))
+    seen = materialize(matrix.groupBy("feature").agg(F.count("*").alias("n_cells")), "seen")
     fitted = stats.select("feature", F.lit(True).alias("_fitted"))
     most = seen.agg(F.max("n_cells")).first()[0] or 0
     return (

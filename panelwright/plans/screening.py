@@ -251,8 +251,10 @@ class FeatureScreen:
     def __init__(self, preprocess: PreprocessConfig | None = None, select: SelectConfig | None = None) -> None:
         self.preprocessor = Preprocessor(preprocess)
         self.selector = Selector(select)
+        self._panel: list[tuple[str, float, float]] | None = None
 
     def fit(self, train: DataFrame) -> FeatureScreen:
+        self._panel = None
         scaled = self.preprocessor.fit_transform(train)
         self.selector.fit(scaled, known=self.preprocessor.stats)
         return self
@@ -272,8 +274,10 @@ class FeatureScreen:
 
     def panel(self) -> list[tuple[str, float, float]]:
         """(name, mean, std) of the panel in input order; at most k_best rows."""
-        rows = self.stats.where("kept_panel").orderBy("feature_pos").select("feature", "mean", "std_pop").collect()
-        return [(r.feature, r.mean, r.std_pop) for r in rows]
+        if self._panel is None:
+            rows = self.stats.where("kept_panel").orderBy("feature_pos").select("feature", "mean", "std_pop").collect()
+            self._panel = [(r.feature, r.mean, r.std_pop) for r in rows]
+        return self._panel
 
     def funnel(self) -> DataFrame:
         return funnel(self.stats)

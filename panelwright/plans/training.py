@@ -13,8 +13,8 @@ from panelwright.operators.panel import assemble_panel
 from panelwright.operators.scoring import ScoringBundle
 from panelwright.operators.split import stratified_split
 from panelwright.plans.screening import FeatureScreen
-from panelwright.session import fits_broadcast, materialize, new_path
-from panelwright.sources.matrix import write_matrix
+from panelwright.session import materialize
+from panelwright.sources.matrix import join_samples
 
 
 @dataclass
@@ -33,25 +33,6 @@ def panel_rows(screen: FeatureScreen, matrix: DataFrame, samples: DataFrame, che
     return vectors.join(samples.select("sample_id", "label"), "sample_id")
 
 
-SAMPLE_BYTES = 64  # key, label and flags of one sample
-
-
-def split_cells(matrix: DataFrame, parts: DataFrame) -> DataFrame:
-    """Cells with label and ``is_test``.
-
-    Fitting reads them three times. Where the sample table is small the join is
-    a broadcast and is simply repeated; otherwise it is done once, and the
-    result is written by split and clustered by feature.
-    """
-    spark = matrix.sparkSession
-    cells = matrix.drop("label").join(parts, "sample_id")
-    if fits_broadcast(spark, parts.count(), SAMPLE_BYTES):
-        return cells
-    path = new_path(spark, "cells")
-    write_matrix(cells, path, "is_test")
-    return spark.read.schema(cells.schema).parquet(path)
-
-
 def train(
     matrix: DataFrame,
     samples: DataFrame,
@@ -67,7 +48,7 @@ def train(
     Nothing is learned from a test row.
     """
     parts = materialize(stratified_split(samples.select("sample_id", "label"), test_size=test_size, seed=seed), "split")
-    cells = split_cells(matrix, parts)
+    cells = join_samples(matrix.drop("label"), parts, parts.count(), "is_test")
     fit_cells, held_cells = cells.where(~F.col("is_test")), cells.where("is_test")
     screen = FeatureScreen(preprocess, select).fit(fit_cells)
     rows = materialize(panel_rows(screen, fit_cells, parts, check=False), "train_rows")

@@ -22,7 +22,7 @@ SPEND_SELECT = SelectConfig(n_mad=4, k_best=3)
 # Cuts for the models: keep most brands.
 MODEL_PREPROCESS = PreprocessConfig(min_expression=1.0, min_sample_fraction=0.2, variance_threshold=0.1)
 MODEL_SELECT = SelectConfig(n_mad=16, k_best=8)
-MODEL_ENSEMBLE = EnsembleConfig(rf_trees=10, rf_max_depth=5, gbt_rounds=8, gbt_max_depth=3, folds=3, max_bins=32)
+MODEL_ENSEMBLE = EnsembleConfig(rf_trees=10, rf_max_depth=5, gbt_rounds=8, gbt_max_depth=3, folds=3, max_bins=32, parallelism=8)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

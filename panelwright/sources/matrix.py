@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalar import null_if_token
+from panelwright.session import fits_broadcast, new_path
 from panelwright.sources.state import exists
 
 MAX_COLUMNS = 2_000_000
@@ -108,6 +109,25 @@ def densify(cells: DataFrame, samples: DataFrame, features: DataFrame) -> DataFr
     return both.groupBy("sample_id", "feature").agg(F.sum("value").cast("float").alias("value"))
 
 
+SAMPLE_BYTES = 64  # key, label and flags of one sample
+
+
+def join_samples(cells: DataFrame, samples: DataFrame, n_samples: int, *folders: str) -> DataFrame:
+    """Cells with the columns of their sample.
+
+    Later steps read the result several times. Where the table of samples fits a
+    broadcast the join is cheap and simply repeated; otherwise it shuffles every
+    cell, so it is done once and written, clustered by feature.
+    """
+    spark = cells.sparkSession
+    joined = cells.join(samples, "sample_id")
+    if fits_broadcast(spark, n_samples, SAMPLE_BYTES):
+        return joined
+    path = new_path(spark, "cells")
+    write_matrix(joined, path, *folders)
+    return spark.read.schema(joined.schema).parquet(path)
+
+
 def write_matrix(matrix: DataFrame, path: str, *folders: str) -> None:
     """Long matrix clustered by feature, in one directory per value of ``folders``.
 

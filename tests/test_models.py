@@ -13,8 +13,9 @@ from panelwright.operators.attribution import TreeAttribution, pack, shapley, to
 from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
-from panelwright.plans.training import split_cells, train
+from panelwright.plans.training import train
 from panelwright.session import fits_broadcast, materialize
+from panelwright.sources.matrix import join_samples
 from panelwright.sources.state import read_ranking, write_ranking
 from panelwright.streaming.scoring import read_records, read_results, start_scoring
 
@@ -76,10 +77,10 @@ def test_no_training_row_is_tested(model):
 
 def test_large_sample_tables_are_joined_once(spark, cohort, model, monkeypatch):
     """Beyond the broadcast size the cells are written, with the same content."""
-    monkeypatch.setattr("panelwright.plans.training.fits_broadcast", lambda *a: False)
-    written = split_cells(cohort[0], model.samples)
-    monkeypatch.setattr("panelwright.plans.training.fits_broadcast", lambda *a: True)
-    joined = split_cells(cohort[0], model.samples)
+    monkeypatch.setattr("panelwright.sources.matrix.fits_broadcast", lambda *a: False)
+    written = join_samples(cohort[0], model.samples, 120, "is_test")
+    monkeypatch.setattr("panelwright.sources.matrix.fits_broadcast", lambda *a: True)
+    joined = join_samples(cohort[0], model.samples, 120, "is_test")
     assert written.columns == joined.columns
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, joined.collect()))
     assert fits_broadcast(spark, 10, 64) and not fits_broadcast(spark, 10**9, 64)
