@@ -38,6 +38,7 @@ PATH_SCHEMA = (
     "tree int, leaf int, value double, base double, "
     "features array<int>, low array<double>, high array<double>, share array<double>"
 )
+ROWS_PER_TASK = 500  # no task gets fewer, unless there are fewer rows in all
 BATCH_CELLS = 4_000_000  # samples * path entries held by a task at a time
 
 
@@ -189,7 +190,8 @@ class TreeAttribution:
 
         used = subsample(rows.select("sample_id", "features"), c.max_samples, seed=c.seed)
         # Rows are light and the work on each is heavy, so spread them evenly.
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(1, min(most, -(-used.count() // ROWS_PER_TASK)))
         inputs = used.select("sample_id", vector_to_array("features").alias("x")).repartition(tasks)
         schema = "sample_id string, x array<double>, phi array<float>"
         self.values = materialize(inputs.mapInPandas(explain, schema), "shap")

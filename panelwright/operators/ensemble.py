@@ -137,7 +137,10 @@ class StackedEnsemble:
         if len(self.classes) != 2:
             raise ValueError(f"a stack needs exactly two classes; the labels have {self.classes}")
         folded = stratified_folds(encode(rows, codes), folds=c.folds, seed=c.seed)
-        data = folded.select("sample_id", "code", "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        # Written first: tree jobs then run on partitions sized by bytes, and a
+        # lost executor costs a read instead of the whole lineage.
+        data = materialize(folded.select("sample_id", "code", "fold", "features"), "folds")
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._fit_coded(data)
         finally:
@@ -233,7 +236,7 @@ class StackedEnsemble:
         c = self.config
         draws = draws or draw_settings(c, trials or c.tune_trials)
         folded = stratified_folds(rows, folds=c.folds, seed=f"search-{c.seed}")
-        data = folded.withColumnRenamed("fold", "search_fold").persist(StorageLevel.MEMORY_AND_DISK)
+        data = materialize(folded.withColumnRenamed("fold", "search_fold"), "search").persist(StorageLevel.MEMORY_AND_DISK)
         results = []
         for number, drawn in enumerate(draws):
             aucs = []
