@@ -242,3 +242,17 @@ def round_trip_digests(df: DataFrame, path: str, keep: list[str], text: str = "t
 
     fields = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     return append_columns(df, run, fields, [text], keep)
+
+
+def encode_and_check(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep``, token_ids, n_tokens, and round_trip: whether the ids decode to the text."""
+    content = read_vocabulary(df, path)
+
+    def run(column):
+        model = model_of(content, ByteBpe)
+        texts = texts_of(column)
+        ids = [model.encode(t) for t in texts]
+        return [ids, [len(i) for i in ids], [model.decode(i) == t for i, t in zip(ids, texts)]]
+
+    fields = [("token_ids", "array<int>"), ("n_tokens", "bigint"), ("round_trip", "boolean")]
+    return append_columns(df, run, fields, [text], keep)
