@@ -346,7 +346,7 @@ def count_words(texts: DataFrame, flush: int = 400_000) -> tuple[DataFrame, np.n
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(times, kind):
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(times), pa.binary()), pa.array(list(times.values()), pa.int64()), pa.array([kind] * len(times))],
+                [pa.array(list(times), pa.binary()), pa.array(list(times.values()), pa.int64()), pa.array([kind] * len(times), pa.bool_())],
                 names=["word", "c", "is_byte"],
             )
 
