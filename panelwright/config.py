@@ -21,6 +21,9 @@ NULL_TOKENS = (
 KEY_CANDIDATES = ("sample", "submitter_id.samples", "sampleid", "barcode")
 
 
+DEEPEST = 30  # fixed value: the limit of MLlib trees, used where no limit is set
+
+
 @dataclass(frozen=True)
 class IngestConfig:
     label_column: str | None = None
@@ -90,6 +93,10 @@ class EnsembleConfig:
 
     def __post_init__(self) -> None:
         _require(self.folds >= 2, f"folds must be at least 2; got {self.folds}")
+        _require(
+            (self.rf_max_depth is None or 0 < self.rf_max_depth <= DEEPEST) and 0 < self.gbt_max_depth <= DEEPEST,
+            f"depths must be in 1..{DEEPEST}; got {self.rf_max_depth} and {self.gbt_max_depth}",
+        )
         _require(
             0.0 < self.gbt_subsample <= 1.0,
             f"gbt_subsample must be in (0, 1]; got {self.gbt_subsample}",
@@ -108,6 +115,7 @@ class AttributionConfig:
     max_samples: int | None = None
     seed: int = 42
     paths_per_chunk: int = field(default=20_000)
+    rows_per_block: int = 2_000
 
     def __post_init__(self) -> None:
         _require(self.learner in ("gbt", "rf"), f"learner must be 'gbt' or 'rf'; got {self.learner!r}")

@@ -30,20 +30,25 @@ def unique_matrix_keys(matrix: DataFrame, length: int) -> DataFrame:
     """Truncated sample keys that stand for one column of the matrix.
 
     Only partial aggregates are shuffled. Two columns with the same full name
-    are told apart by ``column_no``, or else by repeated cells.
+    are told apart by ``column_no``, or else by cells that repeat. A row of the
+    file that repeats does so for every sample: rows are told apart by
+    ``feature_pos``, or else a cell repeats only if some sample has it less often.
     """
     keyed = matrix.withColumn("_key", truncate_key(F.col("sample_id"), length))
+    one_name = F.min("sample_id") == F.max("sample_id")
     if "column_no" in matrix.columns:
-        one = F.min("column_no") == F.max("column_no")
+        single = keyed.groupBy("_key").agg((one_name & (F.min("column_no") == F.max("column_no"))).alias("_single"))
     else:
-        n_features = matrix.select("feature").distinct().count()
-        one = F.count("*") <= n_features
-    return (
-        keyed.groupBy("_key")
-        .agg(((F.min("sample_id") == F.max("sample_id")) & one).alias("_single"))
-        .where("_single")
-        .select(F.col("_key").alias("sample_id"))
-    )
+        row = "feature_pos" if "feature_pos" in matrix.columns else "feature"
+        cells = materialize(
+            keyed.groupBy("_key", row).agg(F.count("*").alias("_n"), F.min("sample_id").alias("_a"), F.max("sample_id").alias("_b")),
+            "cells_of_keys",
+        )
+        usual = cells.groupBy(row).agg(F.min("_n").alias("_usual"))
+        single = cells.join(usual, row).groupBy("_key").agg(
+            ((F.min("_a") == F.max("_b")) & (F.max(F.col("_n") - F.col("_usual")) == 0)).alias("_single")
+        )
+    return single.where("_single").select(F.col("_key").alias("sample_id"))
 
 
 def match_samples(matrix: DataFrame, labels: DataFrame, config: IngestConfig) -> DataFrame:
@@ -75,18 +80,15 @@ def align(matrix: DataFrame, labels: DataFrame, config: IngestConfig) -> Aligned
     ).first()
     if seen.n < config.min_samples:
         raise ValueError(
-            f"only {seen.n} samples are on both sides (minimum: {config.min_samples}); "
-            "compare the key formats, or change key_length"
+            f"{seen.n} keys of {config.key_length} characters are in the matrix and in the labels; minimum: {config.min_samples}"
         )
     if not seen.two:
-        raise ValueError("after alignment fewer than two distinct labels remain")
+        raise ValueError("the samples in both tables do not have two distinct labels")
     samples = matched.where("label is not null")
     keyed = matrix.withColumn("sample_id", truncate_key(F.col("sample_id"), config.key_length))
     kept = [c for c in ("feature_pos",) if c in matrix.columns]
     cells = keyed.select("sample_id", "feature", *kept, F.col("value").cast("float").alias("value"))
-    # `samples` is written, so it is broadcast only when its files are small;
-    # beyond that adaptive execution splits a skewed sample.
-    joined = join_samples(cells, samples, seen.labelled)
+    joined = join_samples(cells, samples)
     return Aligned(joined, samples, seen.labelled, seen.n - seen.labelled)
 
 

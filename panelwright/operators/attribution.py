@@ -2,8 +2,8 @@
 
 Each root-to-leaf path of the model is one row: the interval that the path
 allows for each feature on it, and the share of training weight that follows
-the path at those splits. Samples stay distributed; the paths of a model are
-broadcast in chunks of bounded size.
+the path at those splits. Samples stay in blocks of bounded size, and the paths of a
+model are streamed past each block.
 
 For a path with leaf value v, features M, d = |M|, indicator o_j (the sample is
 inside the interval of j) and share z_j, the Shapley value of j is
@@ -27,8 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.config import AttributionConfig
-from panelwright.operators.ensemble import DEEPEST, StackedEnsemble
+from panelwright.config import DEEPEST, AttributionConfig
+from panelwright.operators.ensemble import StackedEnsemble
 from panelwright.operators.split import subsample
 from panelwright.session import materialize, new_path, ship_package
 
@@ -38,7 +38,6 @@ PATH_SCHEMA = (
     "tree int, leaf int, value double, base double, "
     "features array<int>, low array<double>, high array<double>, share array<double>"
 )
-ROWS_PER_TASK = 500  # no task gets fewer, unless there are fewer rows in all
 BATCH_CELLS = 4_000_000  # samples * path entries held by a task at a time
 
 
@@ -141,6 +140,55 @@ def shapley(x: np.ndarray, blocks: list[PathBlock], out: np.ndarray) -> None:
             out[:, flat[order][firsts]] += np.add.reduceat(phi[:, order], firsts, axis=1)
 
 
+def explain_in_blocks(rows: DataFrame, paths: DataFrame, blocks: int, width: int, chunk: int) -> DataFrame:
+    """``(sample_id, x, phi)``: each block of rows meets all paths, streamed past it.
+
+    A task holds the rows of one block and ``chunk`` paths. Neither the driver
+    nor an executor ever holds the whole model.
+    """
+    columns = [f.name for f in paths.schema]
+    row = rows.select(
+        F.pmod(F.xxhash64("sample_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "sample_id", "x",
+        *[F.lit(None).cast(paths.schema[c].dataType).alias(c) for c in columns],
+    )
+    path = paths.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"),
+        F.lit(None).cast("string").alias("sample_id"), F.lit(None).cast("array<double>").alias("x"), *columns,
+    )
+    slices = min(blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = row.unionByName(path).repartition(slices, "block").sortWithinPartitions("block", "kind", "tree", "leaf")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, held, x, phi = None, [], None, None
+
+        def done():
+            # A block without rows, or rows without paths, which get zeros.
+            table = pd.concat(held, ignore_index=True)
+            values = phi if phi is not None else np.zeros((len(table), width))
+            return table.assign(phi=list(values.astype(np.float32)))
+
+        for batch in batches:
+            for number, part in batch.groupby("block", sort=True):
+                if number != block:
+                    if held:
+                        yield done()
+                    block, held, x, phi = number, [], None, None
+                of_rows, of_paths = part[part["kind"] == 0], part[part["kind"] == 1]
+                if len(of_rows):
+                    held.append(of_rows[["sample_id", "x"]])
+                if not held or not len(of_paths):
+                    continue
+                if x is None:
+                    x = np.stack([v for table in held for v in table["x"]])
+                    phi = np.zeros((len(x), width))
+                for low in range(0, len(of_paths), chunk):
+                    shapley(x, pack(of_paths.iloc[low : low + chunk]), phi)
+        if held:
+            yield done()
+
+    return met.mapInPandas(run, "sample_id string, x array<double>, phi array<float>")
+
+
 class TreeAttribution:
     """Signed attributions of one base learner towards the positive class."""
 
@@ -166,35 +214,11 @@ class TreeAttribution:
         if self.model.getOrDefault("maxDepth") >= DEEPEST:
             log.warning("explaining a forest of unlimited depth: work grows with its number of leaves")
         paths = materialize(path_table(node_table(self.model, spark)), "paths")
-        n_paths, base = paths.agg(F.count("*"), F.sum("base")).first()
-        self.base_value = float(base)
-        chunks = -(-n_paths // c.paths_per_chunk)
-        # The model itself lives on the driver; no chunk exceeds the set size.
-        numbered = paths.withColumn("chunk", F.abs(F.xxhash64("tree", "leaf")) % chunks)
-        sent = []
-        for i in range(chunks):
-            part = numbered.where(F.col("chunk") == i).toPandas()
-            if len(part):
-                sent.append(spark.sparkContext.broadcast(pack(part)))
-        width = len(self.names)
-
-        def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if not len(batch):
-                    continue
-                x = np.stack(batch["x"].to_numpy())
-                phi = np.zeros((len(x), width))
-                for chunk in sent:
-                    shapley(x, chunk.value, phi)
-                yield batch.assign(phi=list(phi.astype(np.float32)))
-
+        self.base_value = float(paths.agg(F.sum("base")).first()[0])
         used = subsample(rows.select("sample_id", "features"), c.max_samples, seed=c.seed)
-        # Rows are light and the work on each is heavy, so spread them evenly.
-        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(1, min(most, -(-used.count() // ROWS_PER_TASK)))
-        inputs = used.select("sample_id", vector_to_array("features").alias("x")).repartition(tasks)
-        schema = "sample_id string, x array<double>, phi array<float>"
-        self.values = materialize(inputs.mapInPandas(explain, schema), "shap")
+        used = materialize(used.select("sample_id", vector_to_array("features").alias("x")), "explained")
+        blocks = max(1, -(-used.count() // c.rows_per_block))
+        self.values = materialize(explain_in_blocks(used, paths, blocks, len(self.names), c.paths_per_chunk), "shap")
         return self
 
     def _fitted(self) -> DataFrame:

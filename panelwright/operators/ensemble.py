@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from contextvars import copy_context
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -26,21 +27,20 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.config import EnsembleConfig
+from panelwright.config import DEEPEST, EnsembleConfig
 from panelwright.operators.evaluate import classification_report, confusion, evaluate, ranking_metrics
 from panelwright.operators.labels import class_codes, encode
 from panelwright.operators.split import stratified_folds
-from panelwright.session import materialize
+from panelwright.session import materialize, scratch
 from panelwright.sources.state import read_config, write_config
 
 log = logging.getLogger(__name__)
 
-DEEPEST = 30  # fixed value: the limit of MLlib trees
 TOLERANCE = 1e-6
 
 
 def forest(c: EnsembleConfig) -> RandomForestClassifier:
-    depth = DEEPEST if c.rf_max_depth is None else min(c.rf_max_depth, DEEPEST)
+    depth = DEEPEST if c.rf_max_depth is None else c.rf_max_depth
     return RandomForestClassifier(
         featuresCol="features", labelCol="code", weightCol="w_rf", numTrees=c.rf_trees, maxDepth=depth,
         minInstancesPerNode=c.rf_min_leaf, featureSubsetStrategy="sqrt", maxBins=c.max_bins, seed=c.seed, maxMemoryInMB=1024,
@@ -77,6 +77,7 @@ class Weights:
     """Row weights from class counts: [fold][code] -> rows."""
 
     counts: dict[int, dict[int, int]]
+    ratio: float | None = None  # given from outside, or that of these rows
 
     @property
     def total(self) -> dict[int, int]:
@@ -88,6 +89,8 @@ class Weights:
 
     @property
     def positive_ratio(self) -> float:
+        if self.ratio is not None:
+            return self.ratio
         total = self.total
         if set(total) != {0, 1} or not total[1]:
             return 1.0
@@ -110,8 +113,9 @@ class Weights:
 def _in_parallel(spark: SparkSession, jobs: list[Callable], threads: int) -> list:
     pool = ThreadPool(max(1, min(threads, len(jobs))))
     inherit = inheritable_thread_target(spark)
+    contexts = [copy_context() for _ in jobs]
     try:
-        return pool.map(lambda job: job(), [inherit(job) for job in jobs])
+        return pool.starmap(lambda context, job: context.run(job), list(zip(contexts, [inherit(job) for job in jobs])))
     finally:
         pool.close()
 
@@ -126,6 +130,7 @@ class StackedEnsemble:
         self.meta: LogisticRegressionModel | None = None
         self.classes: list[str] = []
         self.out_of_fold: DataFrame | None = None
+        self.positive_ratio: float | None = None  # fixed for a search, else that of the rows
 
     # -- fitting ---------------------------------------------------------
 
@@ -152,7 +157,7 @@ class StackedEnsemble:
         counts: dict[int, dict[int, int]] = {}
         for r in data.groupBy("fold", "code").count().collect():  # folds * 2 rows
             counts.setdefault(r.fold, {})[r.code] = r["count"]
-        weights = Weights(counts)
+        weights = Weights(counts, self.positive_ratio)
         n_rows = sum(weights.total.values())
 
         def base(make: Callable, fold: int | None) -> Callable:
@@ -181,7 +186,7 @@ class StackedEnsemble:
 
     def _fitted(self) -> None:
         if self.meta is None:
-            raise RuntimeError("StackedEnsemble is not fitted: call fit() or tune() first")
+            raise RuntimeError("the stack is not fitted: it has no meta-model yet")
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Add probabilities (array in code order), score, code and prediction.
@@ -231,21 +236,31 @@ class StackedEnsemble:
         """Random search for the best cross-validated ROC-AUC, then refit.
 
         ``draws`` replaces the random draws; ``search_results`` has one row per
-        trial.
+        trial. The weight ratio of the classes is that of all ``rows`` in every
+        fold. Trials run ``parallelism`` at a time; the tables of a fit are
+        deleted as soon as it is scored. A fold with one class gives no score.
         """
         c = self.config
         draws = draws or draw_settings(c, trials or c.tune_trials)
         folded = stratified_folds(rows, folds=c.folds, seed=f"search-{c.seed}")
         data = materialize(folded.withColumnRenamed("fold", "search_fold"), "search").persist(StorageLevel.MEMORY_AND_DISK)
-        results = []
-        for number, drawn in enumerate(draws):
+        labels = {r.label: r["count"] for r in data.groupBy("label").count().orderBy("label").limit(3).collect()}
+        ratio = labels[min(labels)] / labels[max(labels)] if len(labels) == 2 else None
+
+        def trial(drawn: EnsembleConfig) -> float:
             aucs = []
             for fold in range(c.folds):
-                stack = StackedEnsemble(drawn).fit(data.where(F.col("search_fold") != fold).drop("search_fold"))
-                scored = stack.predict(data.where(F.col("search_fold") == fold)).select("label", "score")
-                aucs.append(ranking_metrics(scored).first().roc_auc)
-            results.append((number, drawn, float(np.mean(aucs))))
-            log.info("trial %d: mean ROC-AUC %.4f", number, results[-1][2])
+                with scratch(data.sparkSession, "trial"):
+                    stack = StackedEnsemble(replace(drawn, parallelism=1))
+                    stack.positive_ratio = ratio
+                    stack.fit(data.where(F.col("search_fold") != fold).drop("search_fold"))
+                    scored = stack.predict(data.where(F.col("search_fold") == fold)).select("label", "score")
+                    auc = ranking_metrics(scored).first().roc_auc
+                aucs += [] if auc is None else [auc]
+            return float(np.mean(aucs)) if aucs else float("-inf")
+
+        jobs = [lambda drawn=drawn: trial(drawn) for drawn in draws]
+        results = list(zip(range(len(draws)), draws, _in_parallel(data.sparkSession, jobs, c.parallelism)))
         data.unpersist()
         number, best, auc = max(results, key=lambda r: r[2])
         self.config = best

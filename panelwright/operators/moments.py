@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalar import log2_shift
+from panelwright.operators.checks import MARKS, mark_sums
 
 
 def class_moments(
@@ -27,12 +28,13 @@ def class_moments(
     label = F.col("label") if "label" in matrix.columns else F.lit(None).cast("string")
     pos = F.col("feature_pos") if "feature_pos" in matrix.columns else F.lit(None).cast("int")
     cells = matrix.select(
-        "feature", label.alias("label"), pos.alias("_pos"), raw.alias("_raw"), bad.alias("_bad"), x.cast("float").alias("_x")
+        "sample_id", "feature", label.alias("label"), pos.alias("_pos"), raw.alias("_raw"), bad.alias("_bad"), x.cast("float").alias("_x")
     )
     good = F.when(~F.col("_bad"), F.col("_x").cast("double"))
     return cells.groupBy("feature", "label").agg(
         F.min("_pos").alias("feature_pos"),
         F.count("*").alias("n"),
+        *mark_sums(),
         F.count_if("_bad").alias("n_missing"),
         F.count_if((F.col("_raw") < 0) & ~F.col("_bad")).alias("n_negative"),
         F.count_if(F.abs(good) == F.lit(float("inf"))).alias("n_infinite"),
@@ -60,6 +62,7 @@ def feature_moments(moments: DataFrame) -> DataFrame:
         F.min("feature_pos").alias("feature_pos"),
         F.sum("n").alias("n"),
         F.count("*").alias("n_classes"),
+        *[F.sum(mark).alias(mark) for mark in MARKS],
         F.sum("n_missing").alias("n_missing"),
         F.sum("n_negative").alias("n_negative"),
         F.sum("n_infinite").alias("n_infinite"),
@@ -83,6 +86,7 @@ def feature_moments(moments: DataFrame) -> DataFrame:
         "feature",
         "feature_pos",
         "n",
+        *MARKS,
         "n_missing",
         "n_negative",
         "n_infinite",

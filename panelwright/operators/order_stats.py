@@ -1,9 +1,8 @@
-"""Exact medians and median absolute deviations of every feature.
+"""Exact medians and median absolute deviations of every feature, by counting.
 
-Groups whose size is known to be small use the built-in ``median``, which holds
-a map of value counts per group. Larger groups are narrowed by counting: a
-histogram with map-side combine finds the cell that holds the wanted rank, and
-only that cell is looked at again. Both ways give the same exact value.
+A histogram with map-side combine finds the cell that holds the wanted rank,
+and only that cell is looked at again, until it is small. No task ever holds
+the values of a whole group, so a feature may have any number of rows.
 """
 
 from __future__ import annotations
@@ -13,24 +12,11 @@ from pyspark.sql import functions as F
 
 from panelwright.session import materialize
 
-MAP_ROWS = 1 << 20  # largest group that one in-memory map of counts may hold
+MAP_ROWS = 1 << 14  # rows of a range that are ranked in one sort
 CELLS = 4096
 
 
-def medians(values: DataFrame, group: str = "feature", value: str = "x", largest: int | None = None) -> DataFrame:
-    """Exact median of ``value`` per ``group`` as ``(group, median)``.
-
-    ``largest`` is the measured size of the biggest group, counted if absent.
-    """
-    if largest is None:
-        sizes = values.groupBy(group).agg(F.count(value).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= MAP_ROWS:
-        return values.groupBy(group).agg(F.median(F.col(value)).alias("median"))
-    return medians_by_counting(values, group, value)
-
-
-def medians_by_counting(
+def medians(
     values: DataFrame, group: str = "feature", value: str = "x", cells: int = CELLS, map_rows: int = MAP_ROWS
 ) -> DataFrame:
     """Median by repeated histograms, for groups of any size and any skew."""
@@ -99,15 +85,12 @@ def _select(points: DataFrame, wanted: DataFrame, group: str) -> DataFrame:
     return done.unionByName(picked)
 
 
-def mad(values: DataFrame, group: str = "feature", value: str = "x", largest: int | None = None) -> DataFrame:
+def mad(values: DataFrame, group: str = "feature", value: str = "x") -> DataFrame:
     """``(group, median, mad)`` without a consistency factor."""
-    if largest is None:
-        sizes = values.groupBy(group).agg(F.count(value).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
     # Written once: one row per group, broadcast only if its files are small.
-    centre = materialize(medians(values, group, value, largest), "medians")
+    centre = materialize(medians(values, group, value), "medians")
     away = values.join(centre, group).select(
         group, F.abs(F.col(value).cast("double") - F.col("median")).alias("away")
     )
-    spread = medians(away, group, "away", largest).withColumnRenamed("median", "mad")
+    spread = medians(away, group, "away").withColumnRenamed("median", "mad")
     return centre.join(spread, group)

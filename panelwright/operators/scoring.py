@@ -124,9 +124,9 @@ class ScoringBundle:
             (no_id, INVALID, F.lit("patient_id must not be empty")),
             (empty, INVALID, F.lit("expressions must not be empty")),
             (F.size(bad) > 0, INVALID,
-             F.concat(F.size(bad).cast("string"), F.lit(" gene(s) negative or non-finite: "), _listed(bad, 5))),
+             F.concat(F.size(bad).cast("string"), F.lit(" value(s) below zero or not finite, of: "), _listed(bad, 5))),
             (F.size(gone) > 0, MISSING,
-             F.concat(F.size(gone).cast("string"), F.lit(" required gene(s) missing: "), _listed(F.array_sort(gone), 10))),
+             F.concat(F.size(gone).cast("string"), F.lit(" needed value(s) absent, of: "), _listed(F.array_sort(gone), 10))),
             (F.size(big) > 0, FAILED, F.lit("a value is out of range for the fitted steps")),
         ]
         code, reason = F.lit(None).cast("int"), F.lit(None).cast("string")

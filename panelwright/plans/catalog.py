@@ -25,9 +25,9 @@ from panelwright.functions.scalar import (
 from panelwright.operators import align as al
 from panelwright.operators import attribution as at
 from panelwright.operators import checks, evaluate, labels, select, split
-from panelwright.operators.ensemble import StackedEnsemble, draw_settings
+from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
 from panelwright.operators.moments import class_moments, feature_moments, log2_moments
-from panelwright.operators.order_stats import mad, medians_by_counting
+from panelwright.operators.order_stats import mad, medians
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import anova_f, mutual_information
@@ -163,6 +163,14 @@ def sample_alignment(spark, folder):
     )
 
 
+@query
+def incomplete_samples(spark, folder):
+    """Customers without exactly one purchase of every brand."""
+    names = wl.table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("sample_id"))
+    bought = wl.purchases(spark, folder, F.col("p_brand")).withColumnRenamed("sample_id", "c_custkey")
+    return checks.incomplete_samples(bought.join(names, "c_custkey").select("sample_id", "feature", "value"))
+
+
 @query
 def ingest_metadata(spark, folder):
     """Validation gate and the one-row summary."""
@@ -327,7 +335,7 @@ def mad_of_vectors(spark, folder):
 def median_by_counting(spark, folder):
     """The method for groups of any size, forced to narrow by histograms."""
     cells = materialize(wl.spend_matrix(spark, folder).withColumn("x", log2_shift(F.col("value"))), "logged")
-    return rounded(medians_by_counting(cells, cells=64, map_rows=100), "median")
+    return rounded(medians(cells, cells=64, map_rows=100), "median")
 
 
 @query
@@ -416,7 +424,7 @@ def screen_train_only(spark, folder):
     """Fitted on the training rows, replayed on the test rows."""
     cells = wl.spend_matrix(spark, folder, labelled=False)
     parts = materialize(split.stratified_split(wl.customers(spark, folder)), "split")
-    both = cells.join(parts, "sample_id")
+    both = mx.join_samples(cells, parts, "is_test")
     screen = FeatureScreen(wl.SPEND_PREPROCESS, SelectConfig(n_mad=4, k_best=2)).fit(both.where("not is_test"))
     held = screen.transform(both.where("is_test"))
     out = held.groupBy("feature").agg(
@@ -586,13 +594,47 @@ def forest_importances(spark, folder):
 
 
 @query
-def random_search(spark, folder):
-    """M7: two small draws over the cross-validated stack."""
+def importance_checks(spark, folder):
+    """The importances cover the panel, sum to one and are in order."""
     t = trained(spark, folder)
-    small = EnsembleConfig(rf_trees=3, rf_max_depth=3, gbt_rounds=2, gbt_max_depth=3, folds=2, max_bins=32)
-    spans = {"rf_trees": (3, 5), "rf_max_depth": (3, 4), "gbt_rounds": (2, 3), "gbt_max_depth": (2, 3)}
-    stack = StackedEnsemble(small)
-    return stack.tune(t.train, draws=draw_settings(small, 2, spans)).search_results
+    table = t.stack.importances(_panel_names(t))
+    rows = table.collect()  # one per panel feature
+    values = [r.importance for r in rows]
+    seen = (len(rows), abs(sum(values) - 1) < 1e-9, values == sorted(values, reverse=True),
+            sorted(r.feature for r in rows) == sorted(_panel_names(t)))
+    return spark.createDataFrame([seen], "n_features bigint, sums_to_one boolean, in_order boolean, is_panel boolean")
+
+
+def _search(spark, folder, trials: int) -> StackedEnsemble:
+    """Draws of the fixed ranges but for the number of trees and rounds, with which
+    the time of the check grows and nothing else."""
+    t = trained(spark, folder)
+    base = EnsembleConfig(folds=2, max_bins=32, parallelism=8)
+    draws = draw_settings(base, trials, {"rf_trees": (3, 6), "gbt_rounds": (2, 4)})
+    return StackedEnsemble(base).tune(t.train, draws=draws)
+
+
+@query
+def search_checks(spark, folder):
+    """M7: one row per trial, settings inside their ranges, the best is the largest."""
+    stack = _search(spark, folder, 4)
+    rows = stack.search_results.collect()  # one per trial
+    outside = sum(
+        not (r.rf_max_depth in SEARCH_RANGES["rf_max_depth"] and 1 <= r.rf_min_leaf <= 7 and 3 <= r.gbt_max_depth <= 8
+             and 0.01 <= r.gbt_learning_rate <= 0.3 and 0.6 <= r.gbt_subsample <= 1.0 and 0.01 <= r.meta_c <= 10.0)
+        for r in rows
+    )
+    best = max(r.mean_roc_auc for r in rows)
+    return spark.createDataFrame(
+        [(len({r.trial for r in rows}), outside, stack.best_score == best)],
+        "n_trials bigint, n_outside bigint, best_is_largest boolean",
+    )
+
+
+@query
+def random_search(spark, folder):
+    """M7: trials over the cross-validated stack."""
+    return _search(spark, folder, 2).search_results
 
 
 # -- attribution --------------------------------------------------------
@@ -761,16 +803,14 @@ def stream_against_batch(spark, folder):
     bundle = trained(spark, folder).bundle
     rows = records(spark, folder)
     path, output, checkpoint = (new_path(spark, n) for n in ("records", "scored", "progress"))
-    # JSON has no NaN or infinity, so only finite records can arrive in files.
-    finite = F.forall(F.map_values("expressions"), lambda v: ~F.isnan(v) & (v != F.lit(float("inf"))))
-    sent = materialize(rows.where(finite & (F.col("patient_id") != "")), "sent")
+    sent = materialize(rows, "sent")
     sent.write.json(path)
     start_scoring(bundle, read_records(spark, path, 4), output, checkpoint).awaitTermination()
-    streamed = read_results(spark, output).select(
-        "patient_id", F.col("risk_probability").alias("stream_risk"), F.col("reject_code").alias("stream_code")
-    )
-    batch = bundle.score(sent).select("patient_id", "risk_probability", "reject_code")
-    same = F.col("stream_risk").eqNullSafe(F.col("risk_probability")) & F.col("stream_code").eqNullSafe(F.col("reject_code"))
-    return batch.join(streamed, "patient_id", "full_outer").agg(
-        F.count("*").alias("n_records"), F.count_if(~same).alias("n_different")
-    )
+    # Ids may be empty and repeat, so equal result rows are counted instead of joined.
+    columns = ["patient_id", "risk_probability", "reject_code", "reject_reason"]
+    streamed = read_results(spark, output).groupBy(*columns).agg(F.count("*").alias("n_stream"))
+    batch = bundle.score(sent).groupBy(*columns).agg(F.count("*").alias("n_batch"))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns]
+    both = batch.alias("b").join(streamed.alias("s"), same[0] & same[1] & same[2] & same[3], "full_outer")
+    n_batch, n_stream = F.coalesce("n_batch", F.lit(0)), F.coalesce("n_stream", F.lit(0))
+    return both.agg(F.sum(n_stream).alias("n_records"), F.sum(F.abs(n_batch - n_stream)).alias("n_different"))

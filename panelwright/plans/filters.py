@@ -52,8 +52,8 @@ class ExpressionFilter(FeatureFilter):
         kept = F.col("frac_expressed") >= c.min_sample_fraction
         seen = stats.agg(F.count("*").alias("n"), F.count_if(kept).alias("kept")).first()
         if not seen.kept:
-            raise ValueError(f"the filter removed all {seen.n} features: min_expression={c.min_expression} is too strict")
-        self.stats = with_positions(stats, seen.n).withColumn("kept", kept)
+            raise ValueError(f"none of {seen.n} features reaches {c.min_expression} in enough samples")
+        self.stats = with_positions(stats).withColumn("kept", kept)
         return self
 
     def transform_arrays(self, rows: DataFrame, sample: str, values: str) -> DataFrame:
@@ -71,11 +71,11 @@ class MadFilter(FeatureFilter):
         require_long(matrix)
         moments = feature_moments(class_moments(matrix.drop("label")))
         stats = materialize(moments.select("feature", "feature_pos", "n"), "features")
-        seen = stats.agg(F.count("*").alias("features"), F.max("n").alias("rows")).first()
-        if self.n >= seen.features:
-            raise ValueError(f"n ({self.n}) must be less than the number of features ({seen.features})")
-        spread = materialize(mad(matrix.withColumnRenamed("value", "x"), largest=seen.rows), "mad")
-        scored = with_positions(stats, seen.features).join(spread, "feature")
+        n_features = stats.count()
+        if self.n >= n_features:
+            raise ValueError(f"n ({self.n}) must be less than the number of features ({n_features})")
+        spread = materialize(mad(matrix.withColumnRenamed("value", "x")), "mad")
+        scored = with_positions(stats).join(spread, "feature")
         top = top_by_mad(scored, self.n).select("feature", F.lit(True).alias("kept"))
         marked = scored.join(top, "feature", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
         self.stats = materialize(marked, "mad_filter")

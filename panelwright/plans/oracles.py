@@ -363,11 +363,20 @@ SELECT c_name AS patient_id, width + CASE WHEN fault = 5 THEN 1 ELSE 0 END AS n_
     "rejected_records": f"""WITH {_records()}
 SELECT CASE WHEN fault = 6 THEN '' ELSE c_name END AS patient_id,
        CAST(CASE WHEN fault = 4 THEN 400 ELSE 422 END AS INT) AS reject_code,
-       CASE fault WHEN 0 THEN 'expressions must not be empty' WHEN 4 THEN '1 required gene(s) missing: ' || first_name
-            WHEN 6 THEN 'patient_id must not be empty' ELSE '1 gene(s) negative or non-finite: ' || first_name END AS reject_reason
+       CASE fault WHEN 0 THEN 'expressions must not be empty' WHEN 4 THEN '1 needed value(s) absent, of: ' || first_name
+            WHEN 6 THEN 'patient_id must not be empty' ELSE '1 value(s) below zero or not finite, of: ' || first_name END AS reject_reason
 FROM faults WHERE fault NOT IN (5, 99)""",
     "bundle_readiness": """SELECT 'ok' AS status, TRUE AS models_loaded, count(DISTINCT p_brand) AS n_expected_genes,
        CAST(8 AS BIGINT) AS n_model_input_genes, 'neg,pos' AS classes FROM part""",
     "stream_against_batch": f"""WITH {_records()}
-SELECT count(*) AS n_records, CAST(0 AS BIGINT) AS n_different FROM faults WHERE fault NOT IN (2, 3, 6)""",
+SELECT count(*) AS n_records, CAST(0 AS BIGINT) AS n_different FROM faults""",
+    "incomplete_samples": """WITH bought AS (
+  SELECT c_name, p_brand, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
+), one AS (SELECT c_name, count(*) AS features, sum(n) AS cells FROM bought GROUP BY 1)
+SELECT c_name AS sample_id, (SELECT count(DISTINCT p_brand) FROM bought) - features AS n_missing,
+       CAST(cells - features AS BIGINT) AS n_repeated
+FROM one WHERE cells <> features OR features < (SELECT count(DISTINCT p_brand) FROM bought)""",
+    "importance_checks": """SELECT CAST(8 AS BIGINT) AS n_features, TRUE AS sums_to_one, TRUE AS in_order, TRUE AS is_panel""",
+    "search_checks": """SELECT CAST(4 AS BIGINT) AS n_trials, CAST(0 AS BIGINT) AS n_outside, TRUE AS best_is_largest""",
 }

@@ -6,14 +6,14 @@ with it, so only the features that are asked for are ever computed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.config import PreprocessConfig, SelectConfig
 from panelwright.functions.scalar import log2_shift, zscore
-from panelwright.operators.checks import raise_on_domain, require_long
+from panelwright.operators.checks import mark_sums, marks_match, raise_on_domain, require_long, sample_marks
 from panelwright.operators.moments import class_moments, feature_moments, log2_moments
-from panelwright.operators.order_stats import MAP_ROWS, mad
+from panelwright.operators.order_stats import mad
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import SCORERS
 from panelwright.operators.select import funnel, keep, surviving_names, top_by_mad, top_by_score
@@ -21,11 +21,8 @@ from panelwright.session import materialize
 from panelwright.sources.state import read_config, read_table, write_config, write_table
 
 
-def with_positions(stats: DataFrame, n_features: int) -> DataFrame:
+def with_positions(stats: DataFrame) -> DataFrame:
     """Positions 0, 1, ... in the order of the source, or of names if it gave none."""
-    if n_features <= MAP_ROWS:  # a table of features, measured to be small
-        in_order = Window.partitionBy(F.lit(0)).orderBy("feature_pos", "feature")
-        return stats.withColumn("feature_pos", F.row_number().over(in_order).cast("int") - 1)
     placed = ranks(stats, [("feature_pos", False), ("feature", False)], name="_place")
     return placed.withColumn("feature_pos", (F.col("_place") - 1).cast("int")).drop("_place")
 
@@ -45,6 +42,7 @@ class Preprocessor:
         stats = materialize(
             feature_moments(log2_moments(train, c.pseudocount, c.min_expression)), "feature_stats"
         )
+        samples = sample_marks(train)
         expressed = F.col("frac_expressed") >= c.min_sample_fraction
         variable = expressed & (F.col("var_pop") > c.variance_threshold)
         seen = stats.agg(
@@ -52,28 +50,28 @@ class Preprocessor:
             F.coalesce(F.sum("n_missing"), F.lit(0)).alias("missing"),
             F.coalesce(F.sum("n_negative"), F.lit(0)).alias("negative"),
             F.coalesce(F.sum(F.when(expressed, F.col("n_infinite"))), F.lit(0)).alias("infinite"),
-            F.min("n").alias("fewest"),
-            F.max("n").alias("most"),
+            F.count_if(~marks_match(samples)).alias("incomplete"),
+            F.max("n").alias("rows"),
             F.count_if(expressed).alias("expressed"),
             F.count_if(variable).alias("variable"),
         ).first()
         if not seen.features:
             raise ValueError("the training matrix is empty")
         raise_on_domain(seen.missing, seen.negative)
-        if seen.fewest != seen.most:
-            raise ValueError("some samples lack a feature or repeat one: the matrix is not complete")
+        if seen.incomplete:
+            raise ValueError(f"the matrix is not complete: {seen.incomplete} features are not given once for each sample")
         if not seen.expressed:
             raise ValueError(
-                f"the expression filter removed all {seen.features} features; "
-                f"min_expression={c.min_expression} is likely too strict"
+                f"none of {seen.features} features reaches min_expression={c.min_expression} "
+                f"in a share of {c.min_sample_fraction} of the samples"
             )
         if seen.infinite:
             raise ValueError("matrix contains infinite values: they cannot be scaled")
         if not seen.variable:
             raise ValueError(f"no feature has variance above {c.variance_threshold}")
-        self.n_rows, self.n_features = seen.most, seen.features
+        self.n_rows, self.n_features = seen.rows, seen.features
         self.stats = (
-            with_positions(stats, seen.features)
+            with_positions(stats)
             .withColumn("kept_expr", expressed)
             .withColumn("kept_var", variable)
         )
@@ -88,8 +86,10 @@ class Preprocessor:
         """Domain and feature-set checks of new data, in one pass over it."""
         value = F.col("value")
         bad = value.isNull() | F.isnan(value)
+        samples = sample_marks(matrix)
         seen = matrix.groupBy("feature").agg(
-            F.count("*").alias("cells"),
+            F.count("*").alias("n"),
+            *mark_sums(),
             F.count_if(bad).alias("missing"),
             F.count_if((value < 0) & ~bad).alias("negative"),
         )
@@ -99,14 +99,12 @@ class Preprocessor:
             .agg(
                 F.sum("missing").alias("missing"),
                 F.sum("negative").alias("negative"),
-                F.count_if(F.col("fitted").isNull() | F.col("cells").isNull()).alias("different"),
-                F.min("cells").alias("fewest"),
-                F.max("cells").alias("most"),
+                F.count_if(F.col("fitted").isNull() | F.col("n").isNull() | ~marks_match(samples)).alias("different"),
             )
             .first()
         )
         raise_on_domain(row.missing or 0, row.negative or 0)
-        if row.different or row.fewest != row.most:
+        if row.different:
             raise ValueError("Column mismatch: the matrix does not have the fitted features for each sample")
 
     def transform(self, matrix: DataFrame, flag: str = "kept_var", stats: DataFrame | None = None,
@@ -168,15 +166,15 @@ class Selector:
             raise ValueError("supervised selection needs a label")
         if known is None:
             stats = materialize(feature_moments(class_moments(scaled)), "feature_stats")
-            stats = with_positions(stats, stats.count())
+            stats = with_positions(stats)
         else:
             stats = known.where("kept_var")
-        size = stats.agg(F.count("*").alias("features"), F.max("n").alias("rows")).first()  # a small table
-        if c.n_mad >= size.features:
-            raise ValueError(f"n_mad ({c.n_mad}) must be less than the number of features ({size.features})")
+        n_features = stats.count()
+        if c.n_mad >= n_features:
+            raise ValueError(f"n_mad ({c.n_mad}) must be less than the number of features ({n_features})")
 
         cells = scaled.select("sample_id", "feature", F.col("value").alias("x"), "label")
-        spread = materialize(mad(cells, largest=size.rows), "mad")
+        spread = materialize(mad(cells), "mad")
         # From here on every input is a small written table.
         scored = stats.drop("median", "mad").join(spread, "feature")
         survivors = top_by_mad(scored, c.n_mad)

@@ -48,7 +48,7 @@ def train(
     Nothing is learned from a test row.
     """
     parts = materialize(stratified_split(samples.select("sample_id", "label"), test_size=test_size, seed=seed), "split")
-    cells = join_samples(matrix.drop("label"), parts, parts.count(), "is_test")
+    cells = join_samples(matrix.drop("label"), parts, "is_test")
     fit_cells, held_cells = cells.where(~F.col("is_test")), cells.where("is_test")
     screen = FeatureScreen(preprocess, select).fit(fit_cells)
     rows = materialize(panel_rows(screen, fit_cells, parts, check=False), "train_rows")

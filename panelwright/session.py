@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +55,41 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application inside the shared one."""
+    return f"{shared_folder(spark)}/panelwright-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch.get() or run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables that this application has written to the shared folder.
+
+    DataFrames that were built on them cannot be read any more.
+    """
+    delete_folder(spark, run_folder(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables that are written inside the block are deleted at its end."""
+    path = new_path(spark, name)
+    token = _scratch.set(path)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -70,15 +105,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(spark: SparkSession, n_rows: int, row_bytes: int) -> bool:
-    """Whether a table of a measured size stays below the broadcast threshold."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    found = re.fullmatch(r"(-?\d+)([bkmg]?)b?", text.strip().lower())
-    limit = int(found[1]) * units[found[2] or "b"]
-    return n_rows * row_bytes <= limit
-
-
 _shipped: set[str] = set()
 
 

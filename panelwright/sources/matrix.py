@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalar import null_if_token
-from panelwright.session import fits_broadcast, new_path
+from panelwright.session import new_path
 from panelwright.sources.state import exists
 
-MAX_COLUMNS = 2_000_000
+COMPRESSED = (".gz", ".deflate", ".snappy", ".zst", ".lz4")  # one task per file
 
 
 def read_header(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
     """Names of the columns, from the first line only; repeats are kept."""
     if not exists(spark, path):
         raise FileNotFoundError(f"file not found: {path}")
-    first = (
-        spark.read.option("sep", sep).option("header", False).option("maxColumns", MAX_COLUMNS).csv(path).head(1)
-    )
-    if not first:
+    line = spark.read.text(path).head(1)
+    if not line:
         raise ValueError(f"cannot read a header from {path}")
-    return [name if name is not None else "" for name in first[0]]
+    return header_names(line[0].value, sep)
+
+
+def header_names(line: str, sep: str) -> list[str]:
+    csv.field_size_limit(max(csv.field_size_limit(), len(line)))
+    return next(csv.reader([line], delimiter=sep), [])
+
+
+def cells_of_line(line: Column, sep: str) -> Column:
+    """The cells of a line; a separator inside a quoted cell does not count."""
+    q = re.escape(sep)
+    quoted = F.regexp_extract_all(line, F.lit(f'(?:^|{q})("[^"]*+(?:""[^"]*+)*+"|[^{q}]*+)'), F.lit(1))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, f"\\Q{sep}\\E", -1))
 
 
 def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions: int | None = None) -> DataFrame:
@@ -37,7 +50,7 @@ def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions
         raise FileNotFoundError(f"file not found: {path}")
     text = spark.read.text(path)
     first = text.head(1)
-    names = first[0].value.split(sep) if first else []
+    names = header_names(first[0].value, sep) if first else []
     if len(names) < 2:
         raise ValueError(f"cannot read sample names from the header of {path}")
     # Each file of a folder repeats the header; no line of numbers equals it.
@@ -49,10 +62,10 @@ def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions
     # A compressed file arrives in one partition; spread its lines before they
     # grow. Inputs that are split already are not shuffled.
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if lines.rdd.getNumPartitions() < wanted:
+    files = text.inputFiles()
+    if partitions or (len(files) < wanted and all(f.endswith(COMPRESSED) for f in files)):
         lines = lines.repartition(wanted)
-    split_at = f"\\Q{sep}\\E"
-    row, quote = F.split("value", split_at, -1), F.lit('"')
+    row, quote = cells_of_line(F.col("value"), sep), F.lit('"')
     problem = F.concat(F.lit(f"expected {len(names)} cells in the line of "), F.col("row")[0])
     whole = F.when(F.size("row") == len(names), F.col("row")).otherwise(F.raise_error(problem))
     cells = lines.select("feature_pos", row.alias("row")).select(
@@ -60,10 +73,10 @@ def read_wide_matrix(spark: SparkSession, path: str, sep: str = "\t", partitions
         "feature_pos",
         F.posexplode(F.slice(whole, 2, len(names) - 1)).alias("column_no", "text"),
     )
-    ids = F.split(F.lit(sep.join(names[1:])), split_at, -1)  # one literal, split when the plan is optimised
+    ids = F.split(F.lit("\n".join(names[1:])), "\n", -1)  # one literal, split when the plan is optimised
     number = null_if_token(F.trim(F.btrim("text", quote)))
     return cells.select(
-        F.btrim(F.element_at(ids, F.col("column_no") + 1), quote).alias("sample_id"),
+        F.element_at(ids, F.col("column_no") + 1).alias("sample_id"),
         "feature",
         "feature_pos",
         number.cast("float").alias("value"),
@@ -109,20 +122,13 @@ def densify(cells: DataFrame, samples: DataFrame, features: DataFrame) -> DataFr
     return both.groupBy("sample_id", "feature").agg(F.sum("value").cast("float").alias("value"))
 
 
-SAMPLE_BYTES = 64  # key, label and flags of one sample
-
-
-def join_samples(cells: DataFrame, samples: DataFrame, n_samples: int, *folders: str) -> DataFrame:
-    """Cells with the columns of their sample.
+def join_samples(cells: DataFrame, samples: DataFrame, *folders: str) -> DataFrame:
+    """Cells with the columns of their sample, written once, clustered by feature.
 
-    Later steps read the result several times. Where the table of samples fits a
-    broadcast the join is cheap and simply repeated; otherwise it shuffles every
-    cell, so it is done once and written, clustered by feature.
+    Later steps read the result several times; none goes back to the source.
     """
     spark = cells.sparkSession
     joined = cells.join(samples, "sample_id")
-    if fits_broadcast(spark, n_samples, SAMPLE_BYTES):
-        return joined
     path = new_path(spark, "cells")
     write_matrix(joined, path, *folders)
     return spark.read.schema(joined.schema).parquet(path)

@@ -1,19 +1,21 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.config import PreprocessConfig, SelectConfig
+from panelwright.config import IngestConfig, PreprocessConfig, SelectConfig
 from panelwright.operators import split
-from panelwright.operators.align import unique_label_keys
+from panelwright.operators.align import align, unique_label_keys
 from panelwright.operators.moments import log2_moments
 from panelwright.operators.running import running_totals
 from panelwright.plans import workloads as wl
 from panelwright.plans.filters import ExpressionFilter, MadFilter
 from panelwright.plans.screening import FeatureScreen
-from panelwright.sources.matrix import write_matrix
+from panelwright.sources.matrix import read_wide_matrix, write_matrix
 
 FOLDER = "/root/testdata/sf0.001"
-MIXED = {"ALWAYS_ON": [2, 2, 2, 2, 2], "NEVER_ON": [0] * 5, "BOUNDARY": [2, 0, 0, 0, 0]}
-SPREAD = {"VARIABLE": [1, 2, 3, 4, 5], "FLAT": [5] * 5, "OUTLIER": [5, 5, 5, 5, 100]}
+# Four samples at a cut of 3 in half of them: rye has 3 of 4, oat exactly 2, bean 1.
+GRAINS = {"rye": [3, 7, 4, 1], "bean": [9, 2, 0, 1], "oat": [0, 3, 5, 2]}
+# Medians 6, 40 and 3; absolute deviations {4, 2, 2, 8}, {0, 0, 0, 0}, {1, 0, 0, 60}: MAD 3, 0 and 0.5.
+HEIGHTS = {"hill": [2, 4, 8, 14], "plain": [40] * 4, "tower": [2, 3, 3, 63]}
 
 
 def _features(df):
@@ -21,25 +23,25 @@ def _features(df):
 
 
 def test_expression_filter(spark, long):
-    kept = ExpressionFilter(1.0, 0.2).fit(long(MIXED))
-    assert [r.feature for r in kept.names().collect()] == ["ALWAYS_ON", "BOUNDARY"]
+    kept = ExpressionFilter(3.0, 0.5).fit(long(GRAINS))
+    assert [r.feature for r in kept.names().collect()] == ["rye", "oat"]
     assert kept.n_removed() == 1
-    assert _features(kept.transform(long(MIXED))) == ["ALWAYS_ON", "BOUNDARY"]
-    rows = spark.createDataFrame([("r", [1.0, 2.0, 3.0])], "id string, v array<float>")
+    assert _features(kept.transform(long(GRAINS))) == ["oat", "rye"]
+    rows = spark.createDataFrame([("r", [8.0, 6.0, 4.0])], "id string, v array<float>")
     got = kept.transform_arrays(rows, "id", "v").collect()
-    assert {(r.feature, r.value) for r in got} == {("ALWAYS_ON", 1.0), ("BOUNDARY", 3.0)}
+    assert {(r.feature, r.value) for r in got} == {("rye", 8.0), ("oat", 4.0)}
     with pytest.raises(ValueError, match="Column mismatch"):
-        kept.transform(long({"ALWAYS_ON": [1], "OTHER": [1], "BOUNDARY": [1]}))
+        kept.transform(long({"rye": [1], "millet": [1], "oat": [1]}))
 
 
 def test_mad_filter(spark, long):
-    kept = MadFilter(1).fit(long(SPREAD))
-    assert [r.feature for r in kept.names().collect()] == ["VARIABLE"]
-    assert kept.n_removed() == 2
-    assert kept.scores().first().mad == 1.0
-    assert _features(kept.transform(long(SPREAD))) == ["VARIABLE"]
+    kept = MadFilter(2).fit(long(HEIGHTS))
+    assert [r.feature for r in kept.names().collect()] == ["hill", "tower"]
+    assert kept.n_removed() == 1
+    assert [r.mad for r in kept.scores().collect()] == [3.0, 0.5, 0.0]
+    assert _features(kept.transform(long(HEIGHTS))) == ["hill", "tower"]
     with pytest.raises(ValueError, match="Column mismatch"):
-        kept.transform(long({"X": [1, 2]}))
+        kept.transform(long({"valley": [1, 2]}))
     # Unnamed arrays are never taken for a matrix here.
     arrays = spark.createDataFrame([("r", [1.0, 2.0, 3.0])], "id string, v array<float>")
     with pytest.raises(TypeError):
@@ -48,16 +50,16 @@ def test_mad_filter(spark, long):
 
 def test_guards(long):
     with pytest.raises(ValueError, match="min_sample_fraction"):
-        ExpressionFilter(min_sample_fraction=1.5)
-    with pytest.raises(ValueError, match="removed all"):
-        ExpressionFilter(min_expression=1000.0).fit(long(MIXED))
+        ExpressionFilter(min_sample_fraction=-0.1)
+    with pytest.raises(ValueError, match="none of 3 features"):
+        ExpressionFilter(min_expression=50.0).fit(long(GRAINS))
     with pytest.raises(ValueError, match="must be less"):
-        MadFilter(10).fit(long(SPREAD))
+        MadFilter(3).fit(long(HEIGHTS))
     with pytest.raises(TypeError):
         ExpressionFilter().fit([[1.0]])
     for unfitted in (ExpressionFilter(), MadFilter()):
         with pytest.raises(RuntimeError, match="not fitted"):
-            unfitted.transform(long(SPREAD))
+            unfitted.transform(long(HEIGHTS))
 
 
 # -- plans --------------------------------------------------------------
@@ -68,7 +70,7 @@ def _plan(df) -> str:
 
 
 def test_moments_fold_before_their_only_shuffle(spark, long):
-    plan = _plan(log2_moments(long(SPREAD, ["a", "a", "b", "b", "b"])))
+    plan = _plan(log2_moments(long(HEIGHTS, ["a", "a", "b", "b"])))
     assert plan.count("Exchange (") <= 2 and "partial_avg" in plan
     assert "Python" not in plan
 
@@ -81,6 +83,17 @@ def test_matrix_needs_no_cross_join(spark):
         assert wrong not in plan + _plan(items)
 
 
+def test_no_text_is_read_after_alignment(spark, tmp_path):
+    lines = ["id\t" + "\t".join(f"TCGA-{i:04d}" for i in range(120))]
+    lines += [f"g{j}\t" + "\t".join(str(i % (j + 2)) for i in range(120)) for j in range(3)]
+    (tmp_path / "m.tsv").write_text("\n".join(lines) + "\n")
+    cells = read_wide_matrix(spark, str(tmp_path / "m.tsv"))
+    labels = spark.createDataFrame([(f"TCGA-{i:04d}", "ab"[i % 2]) for i in range(120)], "sample_id string, label string")
+    out = align(cells, labels, IngestConfig())
+    assert "Scan text" in _plan(cells) and "Scan text" not in _plan(out.matrix) + _plan(out.samples)
+    assert out.matrix.count() == 360
+
+
 def test_panel_names_reach_the_scan(spark, tmp_path):
     cells = wl.spend_matrix(spark, FOLDER)
     path = str(tmp_path / "m")

@@ -142,6 +142,25 @@ def test_matrix_collisions(spark):
     assert al.align(cells, rows, IngestConfig()).n_samples == 100
 
 
+def test_repeated_rows_of_the_file_keep_all_samples(spark):
+    cells, rows = _cohort(spark, 100, 0)
+    again = cells.unionByName(cells.where("feature = 'A'"))
+    assert al.align(again, rows, IngestConfig()).n_samples == 100
+    placed = cells.withColumn("feature_pos", F.when(F.col("feature") == "A", 0).otherwise(1))
+    repeated = placed.unionByName(placed.where("feature = 'A'").withColumn("feature_pos", F.lit(2)))
+    assert al.align(repeated, rows, IngestConfig()).n_samples == 100
+    half = placed.withColumn("column_no", F.when((F.col("sample_id") == "TCGA-0007") & (F.col("feature") == "A"), 500).otherwise(1))
+    single = al.unique_matrix_keys(half, 15)  # two columns of one name, half of the cells each
+    assert single.count() == 99 and single.where("sample_id = 'TCGA-0007'").count() == 0
+
+
+def test_separators_inside_quotes(spark, tmp_path):
+    path = _gz(tmp_path / "s.tsv.gz", [["id", '"S\t1"', "T"], ['"a\tb"', "1", '"2"'], ['"say ""x"""', "3", "4"], ["c", "", "5"]])
+    rows = mx.read_wide_matrix(spark, path).orderBy("feature_pos", "column_no").collect()
+    assert [(r.sample_id, r.value) for r in rows] == [("S\t1", 1.0), ("T", 2.0), ("S\t1", 3.0), ("T", 4.0), ("S\t1", None), ("T", 5.0)]
+    assert rows[0].feature == "a\tb"
+
+
 def test_null_twin_removes_the_valid_one(spark):
     cells, rows = _cohort(spark, 102, 0)
     out = al.align(cells, rows.unionByName(_labels(spark, [("TCGA-0005", None)])), IngestConfig())

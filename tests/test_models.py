@@ -14,7 +14,7 @@ from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
 from panelwright.plans.training import train
-from panelwright.session import fits_broadcast, materialize
+from panelwright.session import clean_up, materialize, new_path, run_folder, scratch
 from panelwright.sources.matrix import join_samples
 from panelwright.sources.state import read_ranking, write_ranking
 from panelwright.streaming.scoring import read_records, read_results, start_scoring
@@ -43,7 +43,7 @@ def model(cohort):
     return train(*cohort, PreprocessConfig(), SelectConfig(n_mad=5, k_best=4), SMALL)
 
 
-@pytest.mark.parametrize("wrong", [{"folds": 1}, {"gbt_subsample": 0.0}, {"gbt_colsample": 1.5}])
+@pytest.mark.parametrize("wrong", [{"folds": 1}, {"gbt_subsample": 0.0}, {"gbt_colsample": 1.5}, {"rf_max_depth": 31}, {"gbt_max_depth": 0}])
 def test_ensemble_guards(wrong):
     with pytest.raises(ValueError):
         EnsembleConfig(**wrong)
@@ -75,15 +75,12 @@ def test_no_training_row_is_tested(model):
     assert len(train_ids) == 96 and len(test_ids) == 24 and not train_ids & test_ids
 
 
-def test_large_sample_tables_are_joined_once(spark, cohort, model, monkeypatch):
-    """Beyond the broadcast size the cells are written, with the same content."""
-    monkeypatch.setattr("panelwright.sources.matrix.fits_broadcast", lambda *a: False)
-    written = join_samples(cohort[0], model.samples, 120, "is_test")
-    monkeypatch.setattr("panelwright.sources.matrix.fits_broadcast", lambda *a: True)
-    joined = join_samples(cohort[0], model.samples, 120, "is_test")
+def test_joined_cells_are_written_once(cohort, model):
+    written = join_samples(cohort[0], model.samples, "is_test")
+    joined = cohort[0].join(model.samples, "sample_id")
     assert written.columns == joined.columns
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, joined.collect()))
-    assert fits_broadcast(spark, 10, 64) and not fits_broadcast(spark, 10**9, 64)
+    assert "Join" not in written._jdf.queryExecution().toString()
 
 
 def test_out_of_fold_scores_cover_each_row_once(model):

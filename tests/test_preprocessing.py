@@ -9,14 +9,15 @@ from panelwright.plans.screening import Preprocessor
 from panelwright.sources.matrix import arrays_to_matrix
 
 OPEN = {"min_expression": 0.0, "min_sample_fraction": 0.0}
-MIXED = {"ALWAYS_ON": [2, 2, 2, 2, 2.5], "NEVER_ON": [0, 0, 0, 0, 0], "BOUNDARY": [2, 0, 0, 0, 0]}
+# log2 values of four samples: at a cut of 2 in a quarter of them, bean is out and oat just in.
+GRAINS = {"rye": [2, 3, 5, 4], "bean": [1, 0, 1.5, 1], "oat": [0, 0, 3, 1]}
 
 
 def test_log2_values_and_type(long):
-    df = long({"A": [3, 7], "B": [0, 3]}).withColumn("x", log2_shift(F.col("value")))
+    df = long({"rye": [15, 0], "oat": [31, 1]}).withColumn("x", log2_shift(F.col("value")))
     assert dict(df.dtypes)["x"] == "float"
     assert {(r.sample_id, r.feature): r.x for r in df.collect()} == {
-        ("S0", "A"): 2.0, ("S1", "A"): 3.0, ("S0", "B"): 0.0, ("S1", "B"): 2.0
+        ("S0", "rye"): 4.0, ("S1", "rye"): 0.0, ("S0", "oat"): 5.0, ("S1", "oat"): 1.0
     }
 
 
@@ -49,31 +50,51 @@ def test_other_features_are_a_mismatch(long):
         fitted.transform(gap)
 
 
-def test_incomplete_training_matrix_is_an_error(long):
-    df = long({"A": [1, 2], "B": [1, 5]}).where("not (sample_id = 'S1' and feature = 'A')")
-    with pytest.raises(ValueError, match="not complete"):
-        Preprocessor(PreprocessConfig(**OPEN)).fit(df)
+def _holes(long):
+    """Matrices that are not given once for each sample and feature."""
+    full = long({"A": [1, 2], "B": [1, 5]})
+    one = full.where("sample_id = 'S0' and feature = 'A'")
+    without = full.where("not (sample_id = 'S0' and feature = 'A')")
+    return {
+        "one cell missing": without,
+        "samples that lack different features": without.where("not (sample_id = 'S1' and feature = 'B')"),
+        "a missing and a repeated cell": without.unionByName(full.where("sample_id = 'S1' and feature = 'A'")),
+        "a repeated cell": full.unionByName(one),
+        "crosswise": without.where("not (sample_id = 'S1' and feature = 'B')")
+        .unionByName(full.where("sample_id = 'S1' and feature = 'A'")).unionByName(full.where("sample_id = 'S0' and feature = 'B'")),
+    }
+
+
+def test_incomplete_matrices_are_errors(long):
+    fitted = Preprocessor(PreprocessConfig(**OPEN)).fit(long({"A": [1, 2], "B": [1, 5]}))
+    for name, df in _holes(long).items():
+        with pytest.raises(ValueError, match="not complete"):
+            Preprocessor(PreprocessConfig(**OPEN)).fit(df)
+        with pytest.raises(ValueError, match="Column mismatch"):
+            fitted.check(df)
+        with pytest.raises(ValueError, match="incomplete"):
+            checks.check_features(df, fitted.stats)
+        assert checks.incomplete_samples(df).count() > 0, name
+    found = checks.incomplete_samples(_holes(long)["crosswise"]).orderBy("sample_id").collect()
+    assert [tuple(r) for r in found] == [("S0", 1, 1), ("S1", 1, 1)]
 
 
 def test_expression_cut_is_inclusive_on_both_sides(long):
-    # log2(1 + 1) = 1 is expressed; one of five samples is exactly 0.2.
-    raw = {name: [0 if v == 0 else 2.0**v - 1 for v in values] for name, values in MIXED.items()}
-    raw["EDGE"] = [1, 0, 0, 0, 0]
-    stats = Preprocessor(PreprocessConfig(variance_threshold=0.0)).fit(long(raw)).stats
-    kept = {r.feature for r in stats.where("kept_expr").collect()}
-    assert kept == {"ALWAYS_ON", "BOUNDARY", "EDGE"}
+    raw = {name: [2.0**v - 1 for v in values] for name, values in GRAINS.items()}
+    stats = Preprocessor(PreprocessConfig(min_expression=2.0, min_sample_fraction=0.25, variance_threshold=0.0)).fit(long(raw)).stats
+    assert {r.feature for r in stats.where("kept_expr").collect()} == {"rye", "oat"}
     assert stats.where("not kept_expr").count() == 1
 
 
 def test_guards(long):
     with pytest.raises(ValueError, match="min_sample_fraction"):
-        PreprocessConfig(min_sample_fraction=1.5)
-    with pytest.raises(ValueError, match="removed all"):
-        Preprocessor(PreprocessConfig(min_expression=1000.0)).fit(long(MIXED))
+        PreprocessConfig(min_sample_fraction=2.0)
+    with pytest.raises(ValueError, match="none of 3 features"):
+        Preprocessor(PreprocessConfig(min_expression=50.0)).fit(long(GRAINS))
     with pytest.raises(ValueError, match="variance"):
         Preprocessor(PreprocessConfig(variance_threshold=50.0, **OPEN)).fit(long({"A": [1, 2]}))
     with pytest.raises(RuntimeError, match="not fitted"):
-        Preprocessor().transform(long(MIXED))
+        Preprocessor().transform(long(GRAINS))
 
 
 def _from_log2(values):

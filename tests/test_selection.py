@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from panelwright.config import SelectConfig
 from panelwright.functions.scalar import digamma
-from panelwright.operators.order_stats import mad, medians, medians_by_counting
+from panelwright.operators.order_stats import mad, medians, medians
 from panelwright.operators.scorers import anova_f, mutual_information
 from panelwright.operators.select import funnel, pair_scores, top_by_mad, top_by_score
 from panelwright.plans.screening import FeatureScreen, Selector
 
-SPREAD = {"VARIABLE": [1, 2, 3, 4, 5], "FLAT": [5] * 5, "OUTLIER": [5, 5, 5, 5, 100]}
+# Medians 6, 40 and 3; absolute deviations {4, 2, 2, 8}, {0, 0, 0, 0}, {1, 0, 0, 60}: MAD 3, 0 and 0.5.
+HEIGHTS = {"hill": [2, 4, 8, 14], "plain": [40] * 4, "tower": [2, 3, 3, 63]}
 
 
 def _mads(df):
@@ -19,7 +20,7 @@ def _mads(df):
 
 
 def test_mad_by_hand_and_outliers(long):
-    assert {f: m for f, (_, m) in _mads(long(SPREAD)).items()} == {"VARIABLE": 1.0, "FLAT": 0.0, "OUTLIER": 0.0}
+    assert _mads(long(HEIGHTS)) == {"hill": (6.0, 3.0), "plain": (40.0, 0.0), "tower": (3.0, 0.5)}
 
 
 def test_even_median_averages_the_middle(long):
@@ -27,37 +28,37 @@ def test_even_median_averages_the_middle(long):
 
 
 def test_selector_cuts(long):
-    labels = ["a", "a", "b", "b", "b"]
-    picked = Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(SPREAD, labels))
-    assert [r.feature for r in picked.names().collect()] == ["VARIABLE"]
+    labels = ["a", "a", "b", "b"]
+    picked = Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(HEIGHTS, labels))
+    assert [r.feature for r in picked.names().collect()] == ["hill"]
     assert picked.stats.where("not kept_mad").count() == 1
-    assert {r.feature for r in picked.transform(long(SPREAD)).select("feature").collect()} == {"VARIABLE"}
-    assert picked.mad_scores().first().feature == "VARIABLE"
+    assert {r.feature for r in picked.transform(long(HEIGHTS)).select("feature").collect()} == {"hill"}
+    assert picked.mad_scores().first().feature == "hill"
     assert picked.best_scores(1).count() == 1
 
 
 def test_selector_guards(spark, long):
     with pytest.raises(ValueError, match="must be less"):
-        Selector(SelectConfig(n_mad=10, k_best=2)).fit(long(SPREAD, ["a", "a", "b", "b", "b"]))
+        Selector(SelectConfig(n_mad=10, k_best=2)).fit(long(HEIGHTS, ["a", "a", "b", "b"]))
     with pytest.raises(ValueError, match="must exceed"):
         SelectConfig(n_mad=5, k_best=5)
     with pytest.raises(ValueError, match="not registered"):
         SelectConfig(scorer="none")
     with pytest.raises(RuntimeError, match="not fitted"):
-        Selector().transform(long(SPREAD))
+        Selector().transform(long(HEIGHTS))
     with pytest.raises(ValueError, match="label"):
-        Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(SPREAD))
+        Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(HEIGHTS))
     few = spark.createDataFrame([("S0", "a"), ("S1", "b")], "sample_id string, label string")
     with pytest.raises(ValueError, match="differ"):
-        Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(SPREAD), few)
+        Selector(SelectConfig(n_mad=2, k_best=1)).fit(long(HEIGHTS), few)
 
 
 def test_separate_labels_equal_a_label_column(spark, long):
-    names = ["a", "a", "b", "b", "b"]
+    names = ["a", "a", "b", "b"]
     table = spark.createDataFrame([(f"S{i}", n) for i, n in enumerate(names)], "sample_id string, label string")
     config = SelectConfig(n_mad=2, k_best=1)
     both = [Selector(config).fit(*given).stats.where("kept_panel").collect()
-            for given in ((long(SPREAD), table), (long(SPREAD, names),))]
+            for given in ((long(HEIGHTS), table), (long(HEIGHTS, names),))]
     assert both[0] == both[1]
 
 
@@ -108,7 +109,7 @@ def test_median_by_counting_equals_numpy(spark, cells, map_rows):
     rows = [(g, float(v)) for g, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "feature string, x double")
     want = {g: float(np.median(v)) for g, v in groups.items()}
-    for method in (medians_by_counting(df, cells=cells, map_rows=map_rows), medians(df)):
+    for method in (medians(df, cells=cells, map_rows=map_rows), medians(df)):
         assert {r.feature: r.median for r in method.collect()} == pytest.approx(want, rel=1e-12)
 
 
