@@ -173,10 +173,44 @@ class StackedEnsemble:
             scored = self._base_scores(data.where(F.col("fold") == fold), *pairs[fold])
             scored = scored.select("sample_id", "fold", "code", "p_rf", "p_gbt")
             held_out = scored if held_out is None else held_out.unionByName(scored)
+        self._fit_meta(held_out, n_rows)
+        self.rf, self.gbt = pairs[None]
+
+    def fit_parts(self, rows: DataFrame, parts: list[tuple[DataFrame, DataFrame]]) -> StackedEnsemble:
+        """As ``fit``, with folds whose rows were made apart, such as by a screen of their own.
+
+        ``parts`` has the rows to learn from and those to score, per fold;
+        ``rows`` are all training rows, for the models that are kept.
+        """
+        c = self.config
+        codes = materialize(class_codes(rows), "classes")
+        self.classes = [r.label for r in codes.orderBy("code").limit(3).collect()]
+        if len(self.classes) != 2:
+            raise ValueError(f"a stack needs exactly two classes; the labels have {self.classes}")
+
+        def coded(part: DataFrame) -> DataFrame:
+            return materialize(encode(part, codes).select("sample_id", "code", "features"), "coded")
+
+        def weighted(part: DataFrame) -> DataFrame:
+            counts = {r.code: r["count"] for r in part.groupBy("code").count().collect()}  # two rows
+            return Weights({0: counts}, self.positive_ratio).add(part, None)
+
+        learned = [weighted(coded(part)) for part in [*(outside for outside, _ in parts), rows]]
+        jobs = [lambda part=part, make=make: make(c).fit(part) for part in learned for make in (forest, booster)]
+        models = _in_parallel(rows.sparkSession, jobs, c.parallelism)
+        held_out = None
+        for fold, (_, held) in enumerate(parts):
+            scored = self._base_scores(coded(held), *models[2 * fold : 2 * fold + 2])
+            scored = scored.select("sample_id", F.lit(fold).alias("fold"), "code", "p_rf", "p_gbt")
+            held_out = scored if held_out is None else held_out.unionByName(scored)
+        self._fit_meta(held_out, rows.count())
+        self.rf, self.gbt = models[-2:]
+        return self
+
+    def _fit_meta(self, held_out: DataFrame, n_rows: int) -> None:
         self.out_of_fold = materialize(held_out, "out_of_fold")
         meta_rows = self.out_of_fold.withColumn("meta", array_to_vector(F.array("p_rf", "p_gbt")))
-        self.meta = meta_model(c, n_rows).fit(meta_rows)
-        self.rf, self.gbt = pairs[None]
+        self.meta = meta_model(self.config, n_rows).fit(meta_rows)
 
     @staticmethod
     def _base_scores(rows: DataFrame, rf, gbt) -> DataFrame:

@@ -34,7 +34,7 @@ from panelwright.operators.scorers import anova_f, mutual_information
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
 from panelwright.plans import workloads as wl
 from panelwright.plans.screening import FeatureScreen, Preprocessor, Selector
-from panelwright.plans.training import Trained, train
+from panelwright.plans.training import Trained, fold_screens, train
 from panelwright.session import materialize, new_path
 from panelwright.sources import matrix as mx
 from panelwright.sources import phenotype as ph
@@ -444,6 +444,18 @@ def screen_state_round_trip(spark, folder):
     return rounded(out, "mean", "std_pop", "mad")
 
 
+@query
+def panels_per_fold(spark, folder):
+    """The panel of each fold, chosen without the rows of the fold."""
+    cells = wl.spend_matrix(spark, folder, labelled=False)
+    select = SelectConfig(n_mad=4, k_best=2)
+    out = None
+    for fold, (screen, _, _) in enumerate(fold_screens(cells, wl.customers(spark, folder), wl.SPEND_PREPROCESS, select, 3, 42)):
+        part = screen.stats.where("kept_panel").select(F.lit(fold).alias("fold"), "feature", "mean", "score")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, "mean", "score")
+
+
 # -- splits -------------------------------------------------------------
 
 
@@ -692,6 +704,48 @@ def shap_ranking_file(spark, folder):
     return state.read_ranking(spark, path)
 
 
+#: Two small trees: (tree, id, cover, output, left, right, feature, threshold). The second splits twice on one feature.
+FIXED_TREES = [
+    (0, 0, 100.0, 0.0, 1, 2, 0, 4500.0), (0, 1, 60.0, 0.0, 3, 4, 1, 12.0), (0, 2, 40.0, 0.0, 5, 6, 2, 0.5),
+    (0, 3, 20.0, 8.0, -1, -1, -1, 0.0), (0, 4, 40.0, -2.0, -1, -1, -1, 0.0),
+    (0, 5, 10.0, 5.0, -1, -1, -1, 0.0), (0, 6, 30.0, 1.0, -1, -1, -1, 0.0),
+    (1, 0, 80.0, 0.0, 1, 2, 0, 7000.0), (1, 1, 64.0, 0.0, 3, 4, 0, 1000.0), (1, 2, 16.0, 9.0, -1, -1, -1, 0.0),
+    (1, 3, 16.0, 3.0, -1, -1, -1, 0.0), (1, 4, 48.0, 0.0, 5, 6, 1, 6.0),
+    (1, 5, 12.0, 4.0, -1, -1, -1, 0.0), (1, 6, 36.0, -4.0, -1, -1, -1, 0.0),
+]
+
+
+def _fixed_attributions(spark, folder) -> DataFrame:
+    """Signed values of two fixed trees for every customer."""
+    nodes = spark.createDataFrame(
+        FIXED_TREES, "tree int, id int, cover double, output double, left int, right int, feature int, threshold double"
+    )
+    paths = materialize(at.path_table(nodes), "paths")
+    x = F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double"), (wl.segment_label() == "pos").cast("double"))
+    rows = wl.table(spark, folder, "customer").select(F.col("c_name").alias("sample_id"), x.alias("x"))
+    found = at.explain_in_blocks(rows, paths, 3, 3, 4)
+    names = F.array(*[F.lit(n) for n in ("balance", "nation", "segment")])
+    return found.select("sample_id", F.posexplode("phi").alias("feature_pos", "shap_value")).withColumn(
+        "feature", names[F.col("feature_pos")]
+    )
+
+
+@query
+def fixed_tree_attributions(spark, folder):
+    """H1: exact Shapley values of two fixed trees."""
+    out = _fixed_attributions(spark, folder).select("sample_id", "feature", F.col("shap_value").cast("double").alias("shap_value"))
+    return out.withColumn("shap_value", F.round("shap_value", 4))
+
+
+@query
+def fixed_tree_ranking(spark, folder):
+    """Their ranking, written and read back."""
+    path = new_path(spark, "ranking")
+    state.write_ranking(at.rank_attributions(materialize(_fixed_attributions(spark, folder), "values")), path)
+    out = state.read_ranking(spark, path).select("feature", F.col("mean_shap").cast("double"), F.col("mean_abs_shap").cast("double"))
+    return out.withColumns({c: F.round(c, 3) for c in ("mean_shap", "mean_abs_shap")})
+
+
 def _signed_ranking(spark, folder) -> DataFrame:
     cells = wl.embedding_matrix(spark, folder)
     return at.rank_attributions(cells.withColumnRenamed("value", "shap_value"))

@@ -104,6 +104,35 @@ agreement AS (
   FROM per_class, total)"""
 
 
+def _fold_panel(fold: int) -> str:
+    rows = f"(SELECT l.* FROM logged l JOIN folded USING (sample_id) WHERE fold <> {fold})"
+    return f"""(WITH outside AS {rows}, {_screen('outside', 4, 2)}
+SELECT CAST({fold} AS INT) AS fold, feature, round(mean, 6) AS mean, round(score, 6) AS score FROM panel)"""
+
+
+# Shapley values by enumeration: every set of known features, the unknown ones by the share of training rows.
+SUBSETS = """subsets AS (SELECT a.i AS s0, b.i AS s1, c.i AS s2 FROM range(2) a(i), range(2) b(i), range(2) c(i)),
+seen AS (
+  SELECT c_name, CASE WHEN c_acctbal <= 4500 THEN 1.0 ELSE 0.0 END AS o0, CASE WHEN c_nationkey <= 12 THEN 1.0 ELSE 0.0 END AS o1,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 0.0 ELSE 1.0 END AS o2,
+         CASE WHEN c_acctbal <= 7000 THEN 1.0 ELSE 0.0 END AS q0, CASE WHEN c_acctbal <= 1000 THEN 1.0 ELSE 0.0 END AS q1,
+         CASE WHEN c_nationkey <= 6 THEN 1.0 ELSE 0.0 END AS q2
+  FROM customer),
+shares AS (
+  SELECT c_name, s0, s1, s2, if(s0 = 1, o0, 0.6) AS a, if(s1 = 1, o1, 1.0 / 3) AS b, if(s2 = 1, o2, 0.25) AS c,
+         if(s0 = 1, q0, 0.8) AS d, if(s0 = 1, q1, 0.25) AS e, if(s1 = 1, q2, 0.25) AS f
+  FROM seen, subsets),
+worth AS (
+  SELECT c_name, s0, s1, s2, a * (b * 8 - (1 - b) * 2) + (1 - a) * (c * 5 + (1 - c))
+         + d * (e * 3 + (1 - e) * (f * 4 - (1 - f) * 4)) + (1 - d) * 9 AS v
+  FROM shares),
+phi AS (
+  SELECT c_name AS sample_id, feature, sum(if(own = 1, 1, -1) * v * CASE others WHEN 1 THEN 1.0 / 6 ELSE 1.0 / 3 END) AS shap
+  FROM (SELECT c_name, v, unnest(['balance', 'nation', 'segment']) AS feature, unnest([s0, s1, s2]) AS own,
+               unnest([s1 + s2, s0 + s2, s0 + s1]) AS others FROM worth)
+  GROUP BY 1, 2)"""
+
+
 COHORT = f"""cohort AS (
   SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'GTEX-' ELSE 'TCGA-' END || c_name AS key, c_nationkey,
          CASE WHEN c_acctbal < 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'Not Reported' ELSE {LABEL} END AS label
@@ -305,6 +334,12 @@ FROM held JOIN panel USING (feature) GROUP BY feature""",
 SELECT f.feature, round(f.mean, 6) AS mean, round(f.std, 6) AS std_pop, round(s.mad, 6) AS mad, f.kept_expr, f.kept_var,
        f.feature IN (SELECT feature FROM wide) AS kept_mad, f.feature IN (SELECT feature FROM panel) AS kept_panel
 FROM flags f LEFT JOIN spread s USING (feature)""",
+    "panels_per_fold": f"""WITH {SPEND}, folded AS (
+  SELECT sample_id, CAST(({FOLDS} - 1) % 3 AS INT) AS fold FROM (SELECT c_name AS sample_id, {LABEL} AS label FROM customer))
+{_fold_panel(0)} UNION ALL {_fold_panel(1)} UNION ALL {_fold_panel(2)}""",
+    "fixed_tree_attributions": f"WITH {SUBSETS} SELECT sample_id, feature, round(shap, 4) AS shap_value FROM phi",
+    "fixed_tree_ranking": f"""WITH {SUBSETS}
+SELECT feature, round(avg(shap), 3) AS mean_shap, round(avg(abs(shap)), 3) AS mean_abs_shap FROM phi GROUP BY 1""",
     "stratified_split": f"WITH {SPLIT} SELECT sample_id, label, is_test FROM parts",
     "stratified_folds": f"""SELECT sample_id, label, CAST(({FOLDS} - 1) % 5 AS INT) AS fold
 FROM (SELECT c_name AS sample_id, c_mktsegment AS label FROM customer)""",

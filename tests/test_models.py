@@ -13,10 +13,11 @@ from panelwright.operators.attribution import TreeAttribution, pack, shapley, to
 from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
-from panelwright.plans.training import train
-from panelwright.session import clean_up, materialize, new_path, run_folder, scratch
+from panelwright.operators.split import stratified_folds
+from panelwright.plans.training import fold_screens, train
+from panelwright.session import materialize, new_path, run_folder, scratch
 from panelwright.sources.matrix import join_samples
-from panelwright.sources.state import read_ranking, write_ranking
+from panelwright.sources.state import exists, read_ranking, write_ranking
 from panelwright.streaming.scoring import read_records, read_results, start_scoring
 
 SMALL = EnsembleConfig(rf_trees=4, rf_max_depth=4, gbt_rounds=4, gbt_max_depth=3, folds=2, max_bins=16, gbt_subsample=1.0)
@@ -83,6 +84,45 @@ def test_joined_cells_are_written_once(cohort, model):
     assert "Join" not in written._jdf.queryExecution().toString()
 
 
+def test_screens_of_folds_never_see_their_fold(cohort):
+    """A feature that tells classes apart only inside one fold is not in that fold's panel."""
+    cells, samples = cohort
+    placed = stratified_folds(samples, folds=3, seed=42)
+    leaked = cells.join(placed, "sample_id").withColumn(
+        "value", F.when((F.col("feature") == "G5") & (F.col("fold") == 1), F.when(F.col("label") == "Dead", 9000.0).otherwise(0.0))
+        .otherwise(F.col("value")).cast("float"),
+    )
+    leaked = materialize(leaked.select("sample_id", "feature", "value"), "leaked")
+    screens = fold_screens(leaked, samples, PreprocessConfig(), SelectConfig(n_mad=5, k_best=3), 3, 42)
+    means = {}
+    for fold, (screen, outside, inside) in enumerate(screens):
+        assert not {r.sample_id for r in outside.select("sample_id").distinct().collect()} & {
+            r.sample_id for r in inside.select("sample_id").distinct().collect()
+        }
+        means[fold] = screen.stats.where("feature = 'G5'").first()["mean"]
+    # Values of fold 1 move the mean of G5 in the screens of the other folds only.
+    plain = fold_screens(cells, samples, PreprocessConfig(), SelectConfig(n_mad=5, k_best=3), 3, 42)
+    same = [screen.stats.where("feature = 'G5'").first()["mean"] == means[fold] for fold, (screen, _, _) in enumerate(plain)]
+    assert same == [False, True, False]
+
+
+def test_training_with_a_panel_per_fold(cohort):
+    fitted = train(*cohort, PreprocessConfig(), SelectConfig(n_mad=5, k_best=4), SMALL, screen_per_fold=True)
+    folds = fitted.stack.out_of_fold.collect()
+    assert {r.sample_id for r in folds} == {r.sample_id for r in fitted.train.collect()} and len(folds) == 96
+    assert fitted.stack.evaluate(fitted.test)[0].first().roc_auc > 0.95
+    with pytest.raises(ValueError, match="one panel"):
+        train(*cohort, PreprocessConfig(), SelectConfig(n_mad=5, k_best=4), SMALL, tune_trials=1, screen_per_fold=True)
+
+
+def test_tables_of_a_block_are_deleted(spark):
+    with scratch(spark, "trial"):
+        path = new_path(spark, "inside")
+        spark.range(3).write.parquet(path)
+        assert exists(spark, path)
+    assert not exists(spark, path) and new_path(spark, "x").startswith(run_folder(spark))
+
+
 def test_out_of_fold_scores_cover_each_row_once(model):
     folds = model.stack.out_of_fold
     assert folds.count() == 96
