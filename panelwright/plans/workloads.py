@@ -47,8 +47,19 @@ def purchases(spark: SparkSession, folder: str, feature) -> DataFrame:
     return joined.select("sample_id", "feature", "value")
 
 
+_built: dict[tuple[str, str, bool], DataFrame] = {}
+
+
 def spend_matrix(spark: SparkSession, folder: str, by_type: bool = False, labelled: bool = True) -> DataFrame:
-    """Dense ``(sample_id, feature, value[, label])``, written once.
+    """Dense ``(sample_id, feature, value[, label])``, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, by_type)
+    if key not in _built:
+        _built[key] = build_spend_matrix(spark, folder, by_type)
+    return _built[key] if labelled else _built[key].drop("label")
+
+
+def build_spend_matrix(spark: SparkSession, folder: str, by_type: bool = False) -> DataFrame:
+    """The labelled matrix, written.
 
     Line items and zeros meet in one aggregation, folded before its shuffle;
     names and labels join the folded cells.
@@ -60,8 +71,7 @@ def spend_matrix(spark: SparkSession, folder: str, by_type: bool = False, labell
         purchases(spark, folder, feature), customer.select(F.col("c_custkey").alias("sample_id")), features
     ).withColumnRenamed("sample_id", "c_custkey")
     named = dense.join(customer.select("c_custkey", "c_name", segment_label().alias("label")), "c_custkey")
-    columns = [F.col("c_name").alias("sample_id"), "feature", "value"] + (["label"] if labelled else [])
-    return materialize(named.select(*columns), "spend")
+    return materialize(named.select(F.col("c_name").alias("sample_id"), "feature", "value", "label"), "spend")
 
 
 def embedding_matrix(spark: SparkSession, folder: str) -> DataFrame:
