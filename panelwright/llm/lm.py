@@ -1,19 +1,23 @@
 """Language-model scores: a word-count base and online logistic context mixing.
 
-The model predicts a text bit by bit; a byte is written in a prefix code that
-gives frequent bytes few bits, so there are half as many bits to predict. Five
-predictors look up adaptive counts in hashed tables: the last one, two, three
-and four bytes, and the word so far. Their log-odds are mixed by weights that a
-gate chooses (how much two of the contexts have been seen, place in the word).
+A text is the sequence of its tokens, as the base takes them: words in lower
+case, each with a space behind it, and one end. A token is predicted bit by
+bit; a byte is written in a prefix code that gives frequent bytes few bits.
+Four predictors look up adaptive counts in hashed tables: the last two, three
+and four bytes of the token, and the token so far. Their log-odds are mixed by weights that a gate
+chooses (how much two of the contexts have been seen, place in the word).
 Weights are learned online, chunk by chunk: predict, move the weights along the
 gradient, then count. A last stage refines the mixed probability with counts
 per gate and probability. The sum over all bits is the length of the text.
 
-Every training byte is counted; weights and refinement move on every eighth.
-Each task learns over its own training texts. Counts of all tasks are added as
-whole numbers, weights are averaged by the number of chunks: the order of tasks
-does not matter. What is gathered grows with the tasks, while the model has a
-fixed size, which bounds its broadcast.
+Contexts stay inside a token, so equal tokens cost the same and are computed once
+per chunk; that is what makes the model affordable on every text. Every
+training byte is counted; weights and refinement move on every eighth byte of
+the distinct tokens, by how often they occur. Each task learns over its own
+training texts. Counts of all tasks are added as whole numbers, weights are
+averaged by the number of chunks: the order of tasks does not matter. What is
+gathered grows with the tasks, while the model has a fixed size, which bounds
+its broadcast.
 
 Rules: A-Z in lower case; a null text is empty; the end of a text is its last
 token and its last byte. Rows may repeat, each gives one row. Without training
@@ -36,7 +40,7 @@ from panelwright.llm.common import map_batches, slices, texts_of
 from panelwright.session import materialize
 
 BEFORE, END = b"\xfe\xfe\xfe\xfe", b"\xff"  # bytes that are not in UTF-8
-TABLE_BITS = (16, 20, 21, 22, 22)  # slots of each predictor: orders 1 to 4, word
+TABLE_BITS = (19, 20, 21, 21)  # slots of each predictor: orders 2 to 4, token so far
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])]).astype(np.int64)
 SLOTS = int(OFFSETS[-1])
 BLOCK = 1 << 16  # slots that travel in one row
@@ -48,12 +52,12 @@ REACH = 12.0  # largest log-odds
 PRIOR = 0.2
 STRIDE = 8
 STEP = 1 << 13  # bits between two moves of the weights
-CHUNK = 2_000_000  # characters that are learned or scored together
+CHUNK = 4_000_000  # characters that are learned or scored together
 WEIGHT_UNIT = float(1 << 20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32, 0xFE])
+KNOWN_TOKENS = 250_000  # words whose cost a worker remembers
 
 
 # -- bytes and bits -------------------------------------------------------
@@ -79,29 +83,57 @@ def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Bytes:
-    """The bytes of some texts and a context per predictor and byte."""
+    """The bytes of some tokens and a context per predictor and byte.
 
-    def __init__(self, texts: list[bytes]):
-        data = np.frombuffer(b"".join([BEFORE + t + END for t in texts]), dtype=np.uint8)
-        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        self.owner = np.repeat(np.arange(len(texts)), sizes)
-        at = np.arange(len(self.owner)) + 4 * (self.owner + 1)
+    Bytes are sorted by the length of their code, longest first, so those that
+    have a bit of some depth are always in front.
+    """
+
+    def __init__(self, tokens: list[bytes], code: np.ndarray, length: np.ndarray):
+        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        data = np.frombuffer(BEFORE + BEFORE.join(tokens), dtype=np.uint8)
+        owner = np.repeat(np.arange(len(tokens)), sizes)
+        at = np.arange(len(owner)) + 4 * (owner + 1)
+        at = at[np.argsort(-length.astype(np.int8)[data[at]], kind="stable")]
+        # Four bytes stand before each token.
+        first = (np.cumsum(sizes) - sizes) + 4 * (np.arange(len(sizes)) + 1)
+        self.owner = np.searchsorted(first, at, "right") - 1 if len(first) else at
+        first = first[self.owner] if len(first) else at
         wide = data.astype(np.uint64)
-        self.byte = data[at]
-        one = wide[at - 1]
-        two = one | wide[at - 2] << np.uint64(8)
+        byte = data[at]
+        self.code, self.length = code[byte].astype(np.uint64), length[byte]
+        two = wide[at - 1] | wide[at - 2] << np.uint64(8)
         three = two | wide[at - 3] << np.uint64(16)
         four = three | wide[at - 4] << np.uint64(24)
-        # Hash of the word so far: a difference of running sums, moved to a common power.
-        place = np.arange(len(data))
-        blank = BLANK[data]
-        first = np.maximum.accumulate(np.where(blank, place + 1, 0))[at - 1]
+        # Hash of the token so far: a difference of running sums, moved to a common power.
         powers = np.cumprod(np.full(len(data), ODD))
         backward = np.cumprod(np.full(len(data), INVERSE))
         sums = np.concatenate([[np.uint64(0)], np.cumsum((wide + np.uint64(1)) * powers)])
-        word = (sums[at] - sums[first]) * backward[np.minimum(first, len(data) - 1)]
-        self.contexts = (one, two, three, four, (word * MIX) >> np.uint64(8))
-        self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the word
+        so_far = (sums[at] - sums[first]) * backward[first]
+        self.contexts = [hashed(c, i) for i, c in enumerate((two, three, four, so_far))]
+        self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the token
+
+    def every(self, step: int, start: int) -> Bytes:
+        """Each ``step``-th byte, still in order of the length."""
+        chosen = slice(start, None, step)
+        out = object.__new__(Bytes)
+        out.owner, out.code, out.length, out.place = (x[chosen] for x in (self.owner, self.code, self.length, self.place))
+        out.contexts = [c[chosen] for c in self.contexts]
+        return out
+
+    def bits(self) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+        """Per depth: how many bytes have a bit there, their slots, and the bit."""
+        for depth in range(int(self.length.max(initial=0))):
+            n = int(np.searchsorted(-self.length, -depth, "left"))
+            left = (self.length[:n] - depth).astype(np.uint64)
+            prefix = (np.uint64(1 << depth) | self.code[:n] >> left) * np.uint64(0x9E3779B1)
+            slots = []
+            for i, bits in enumerate(TABLE_BITS):
+                h = (self.contexts[i][:n] ^ prefix) * MIX
+                h >>= np.uint64(64 - bits)
+                h += np.uint64(OFFSETS[i])
+                slots.append(h.view(np.int64))
+            yield n, slots, (self.code[:n] >> (left - np.uint64(1)) & np.uint64(1)).view(np.int64)
 
 
 def hashed(context: np.ndarray, predictor: int) -> np.ndarray:
@@ -109,33 +141,15 @@ def hashed(context: np.ndarray, predictor: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * ODD
 
 
-def slot_of(context_hash: np.ndarray, prefix: np.ndarray, predictor: int) -> np.ndarray:
-    h = (context_hash ^ prefix.astype(np.uint64) * np.uint64(0x9E3779B1)) * MIX
-    return (h >> np.uint64(64 - TABLE_BITS[predictor])).astype(np.int64) + OFFSETS[predictor]
-
-
-def bit_levels(byte: np.ndarray, code: np.ndarray, length: np.ndarray):
-    """For each bit of the code: positions that have it, the prefix before it, and the bit."""
-    size, whole = length[byte], code[byte]
-    at = np.arange(len(byte))
-    for bit in range(int(length.max())):
-        if bit:
-            at = at[size[at] > bit]
-        if not len(at):
-            return
-        left = size[at] - bit
-        yield bit, at, (1 << bit) | (whole[at] >> left), (whole[at] >> (left - 1)) & 1
-
-
 def odds_of(counts: np.ndarray) -> np.ndarray:
     """Log-odds of a one per slot, in 256ths."""
-    zeros, ones = counts.astype(np.float32) + np.float32(PRIOR)
-    return np.rint(256 * np.log(ones / zeros)).astype(np.int16)
+    smooth = counts.astype(np.float32) + np.float32(PRIOR)
+    return np.rint(256 * np.log(smooth[:, 1] / smooth[:, 0])).astype(np.int16)
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """How much a slot has been seen: 0 never, 1 up to three times, 2 up to 31, 3 more."""
-    n = counts[0] + counts[1]
+    n = counts[:, 0] + counts[:, 1]
     return ((n > 0).astype(np.uint8) + (n > 3) + (n > 31)).astype(np.uint8)
 
 
@@ -147,7 +161,7 @@ def first_weights() -> np.ndarray:
 def mix(odds, levels, weights, slots, place):
     """Inputs, gate and mixed log-odds of some bit predictions."""
     x = [odds[s] for s in slots]
-    gate = levels[slots[4]] * np.uint8(16) + levels[slots[3]] * np.uint8(4) + place
+    gate = levels[slots[3]] * np.uint8(16) + levels[slots[2]] * np.uint8(4) + place
     mixed = weights[:, INPUTS - 1][gate]
     for i, values in enumerate(x):
         mixed += weights[:, i][gate] * values
@@ -162,7 +176,7 @@ class Learner:
 
     def __init__(self, code: np.ndarray, length: np.ndarray):
         self.code, self.length = code, length
-        self.counts = np.zeros((2, SLOTS), dtype=np.int32)
+        self.counts = np.zeros((SLOTS, 2), dtype=np.int32)  # zeros and ones
         self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.weights = first_weights()
         self.speed = np.full((GATES, INPUTS), 1e-3, dtype=np.float64)
@@ -170,31 +184,31 @@ class Learner:
         self.chunks = 0
 
     def learn(self, texts: list[bytes], rate: float = 0.02) -> None:
-        data = Bytes(texts)
+        times: Counter = Counter()
+        for t in texts:
+            times.update(t.split())
+        data = Bytes([*(w + b" " for w in times), END], self.code, self.length)
+        weight = np.array([*times.values(), len(texts)], dtype=np.int32)[data.owner]
         if self.chunks:
-            self._move_weights(data, rate)
-        for i, context in enumerate(data.contexts):
-            self._count(i, context, data.byte)
+            part = data.every(STRIDE, self.chunks % STRIDE)
+            for n, slots, y in part.bits():
+                for low in range(0, n, STEP):
+                    some = slice(low, low + STEP)
+                    self._step([s[some] for s in slots], y[some], part.place[:n][some], weight[self.chunks % STRIDE :: STRIDE][:n][some], rate)
+        for n, slots, y in data.bits():
+            for slot in slots:
+                np.add.at(self.counts.reshape(-1), slot * 2 + y, weight[:n])
         self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.chunks += 1
 
-    def _move_weights(self, data: Bytes, rate: float) -> None:
-        chosen = slice(self.chunks % STRIDE, None, STRIDE)
-        byte, place = data.byte[chosen], data.place[chosen]
-        contexts = [hashed(c[chosen], i) for i, c in enumerate(data.contexts)]
-        for bit, at, prefix, y in bit_levels(byte, self.code, self.length):
-            slots = [slot_of(c[at], prefix, i) for i, c in enumerate(contexts)]
-            for low in range(0, len(at), STEP):
-                part = slice(low, low + STEP)
-                self._step([s[part] for s in slots], y[part], place[at[part]], rate)
-
-    def _step(self, slots: list[np.ndarray], y: np.ndarray, place: np.ndarray, rate: float) -> None:
+    def _step(self, slots: list[np.ndarray], y, place, weight, rate: float) -> None:
         """Predict some bits, refine, and move the weights of each gate along the gradient."""
         x, gate, mixed = mix(self.odds, self.levels, self.weights, slots, place)
         cell = gate.astype(np.int64) * APM_CELLS + np.rint((mixed + REACH) * ((APM_CELLS - 1) / (2 * REACH))).astype(np.int64)
-        self.apm += [np.bincount(cell[y == b], minlength=GATES * APM_CELLS) for b in (0, 1)]
-        error = y - 1.0 / (1.0 + np.exp(-mixed))
-        n = np.maximum(np.bincount(gate, minlength=GATES), 1)
+        for b in (0, 1):
+            self.apm[b] += np.bincount(cell, weight * (y == b), GATES * APM_CELLS).astype(np.int64)
+        error = weight * (y - 1.0 / (1.0 + np.exp(-mixed)))
+        n = np.maximum(np.bincount(gate, weight, GATES), 1)
         for i in range(INPUTS):
             # Log-odds come in 256ths, so their weights are 256 times smaller.
             unit = 256.0 if i < INPUTS - 1 else 1.0
@@ -202,22 +216,10 @@ class Learner:
             self.speed[:, i] += pull * pull
             self.weights[:, i] += (rate * pull / np.sqrt(self.speed[:, i]) / unit).astype(np.float32)
 
-    def _count(self, predictor: int, context: np.ndarray, byte: np.ndarray) -> None:
-        """Count equal (context, byte) once, then the bits of each."""
-        pairs, times = np.unique(context << np.uint64(8) | byte, return_counts=True)
-        context_hash = hashed(pairs >> np.uint64(8), predictor)
-        low, high = OFFSETS[predictor], OFFSETS[predictor + 1]
-        own = (pairs & np.uint64(0xFF)).astype(np.int64)
-        for _, at, prefix, y in bit_levels(own, self.code, self.length):
-            slot = slot_of(context_hash[at], prefix, predictor)
-            for b in (0, 1):
-                np.add.at(self.counts[b], slot[y == b], times[at][y == b].astype(np.int32))
-        assert high > low
-
     def rows(self) -> Iterator[tuple[int, bytes]]:
         """What the task has learned, as blocks of whole numbers that can be added."""
         for low in range(0, SLOTS, BLOCK):
-            part = self.counts[:, low : low + BLOCK]
+            part = self.counts[low : low + BLOCK]
             if part.any():
                 yield low // BLOCK, part.tobytes()
         moved = max(0, self.chunks - 1)
@@ -251,7 +253,7 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray) -> Data
             if current < 0:
                 odds, levels = total.tobytes(), b""
             else:
-                odds, levels = odds_of(total.reshape(2, -1)).tobytes(), levels_of(total.reshape(2, -1)).tobytes()
+                odds, levels = odds_of(total.reshape(-1, 2)).tobytes(), levels_of(total.reshape(-1, 2)).tobytes()
             return pa.RecordBatch.from_arrays(
                 [pa.array([current], pa.int32()), pa.array([odds], pa.binary()), pa.array([levels], pa.binary())],
                 names=["block", "odds", "levels"],
@@ -283,21 +285,31 @@ class Scorer:
         self.code, self.length = code, length
         self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
 
-    def text_bits(self, texts: list[bytes]) -> np.ndarray:
-        """Bits that each text costs, its end included."""
-        data = Bytes(texts)
-        contexts = [hashed(c, i) for i, c in enumerate(data.contexts)]
-        total = np.zeros(len(data.byte))
-        block = 1 << 17
-        for low in range(0, len(data.byte), block):
-            byte, place = data.byte[low : low + block], data.place[low : low + block]
-            own = [c[low : low + block] for c in contexts]
-            for bit, at, prefix, y in bit_levels(byte, self.code, self.length):
-                slots = [slot_of(c[at], prefix, i) for i, c in enumerate(own)]
-                _, gate, mixed = mix(self.odds, self.levels, self.weights, slots, place[at])
-                cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
-                total[low + at] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
-        return np.bincount(data.owner, total, len(texts))
+        self.known: dict[bytes, float] = {}
+
+    def token_bits(self, tokens: list[bytes]) -> np.ndarray:
+        """Bits that each token costs; words come with their space."""
+        if not tokens:
+            return np.zeros(0)
+        data = Bytes(tokens, self.code, self.length)
+        total = np.zeros(len(data.owner))
+        for n, slots, y in data.bits():
+            _, gate, mixed = mix(self.odds, self.levels, self.weights, slots, data.place[:n])
+            cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
+            total[:n] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
+        return np.bincount(data.owner, total, len(tokens))
+
+    def text_bits(self, texts: list[list[bytes]]) -> list[float]:
+        """Bits that each text costs, given as its words; its end is included."""
+        if len(self.known) > KNOWN_TOKENS:
+            self.known = {}
+        known = self.known
+        new = list({w for words in texts for w in words if w not in known})
+        for low in range(0, len(new), 1 << 15):
+            some = new[low : low + (1 << 15)]
+            known.update(zip(some, self.token_bits([w + b" " for w in some]).tolist()))
+        end = float(self.token_bits([END])[0])
+        return [sum(map(known.__getitem__, words)) + end for words in texts]
 
 
 def cost_table(apm: np.ndarray) -> np.ndarray:
@@ -337,7 +349,7 @@ def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, leng
 # -- the base -------------------------------------------------------------
 
 
-def count_words(texts: DataFrame, flush: int = 400_000) -> tuple[DataFrame, np.ndarray]:
+def count_words(texts: DataFrame, flush: int = 200_000) -> tuple[DataFrame, np.ndarray]:
     """(word, c) over all texts, and how often each byte occurs.
 
     A task adds up before the shuffle and holds at most ``flush`` words.
@@ -353,9 +365,9 @@ def count_words(texts: DataFrame, flush: int = 400_000) -> tuple[DataFrame, np.n
         times, raw = Counter(), np.zeros(256, dtype=np.int64)
         for batch in batches:
             for text in texts_of(batch.column("text")):
-                low = text.encode().lower()
-                times.update(low.split())
-                raw += np.bincount(np.frombuffer(low + END, dtype=np.uint8), minlength=256)
+                words = text.encode().lower().split()
+                times.update(words)
+                raw += np.bincount(np.frombuffer(b" ".join([*words, END]), dtype=np.uint8), minlength=256)
                 if len(times) > flush:
                     yield out(times, False)
                     times = Counter()
@@ -370,7 +382,7 @@ def count_words(texts: DataFrame, flush: int = 400_000) -> tuple[DataFrame, np.n
     return counts.where("NOT is_byte").select("word", "c"), raw
 
 
-def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", frequent: int = 200_000) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", frequent: int = 150_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Learns from the rows whose ``held_out`` is false. Counts of the
@@ -398,15 +410,16 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
         logs = {w: log10((c + 1) / size) for w, c in hot.items()}
         at_end = log10((ends + 1) / size)
         for batch in batches:
-            texts = [t.encode().lower() for t in texts_of(batch.column("text"))]
-            rows = []
-            for t in texts:
-                found = t.split()
-                known = [x for x in map(logs.get, found) if x is not None]
-                rest = Counter(w for w in found if w not in logs) if len(known) < len(found) else {}
-                rows.append((len(found) + 1, len(known) + (ends > 0), sum(known) + at_end, list(rest), list(rest.values())))
-            bits = [scorer.text_bits(texts[a:b]) for a, b in slices(texts, CHUNK)]
-            score = np.concatenate(bits) * -log10(2) if bits else np.zeros(0)
+            texts = texts_of(batch.column("text"))
+            rows, bits = [], []
+            for a, b in slices(texts, CHUNK):
+                split = [t.encode().lower().split() for t in texts[a:b]]
+                bits += scorer.text_bits(split)
+                for found in split:
+                    known = [x for x in map(logs.get, found) if x is not None]
+                    rest = Counter(w for w in found if w not in logs) if len(known) < len(found) else {}
+                    rows.append((len(found) + 1, len(known) + (ends > 0), sum(known) + at_end, list(rest), list(rest.values())))
+            score = np.array(bits, dtype=np.float64) * -log10(2)
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
             made = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
