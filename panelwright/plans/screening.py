@@ -70,11 +70,8 @@ class Preprocessor:
         if not seen.variable:
             raise ValueError(f"no feature has variance above {c.variance_threshold}")
         self.n_rows, self.n_features = seen.rows, seen.features
-        self.stats = (
-            with_positions(stats)
-            .withColumn("kept_expr", expressed)
-            .withColumn("kept_var", variable)
-        )
+        placed = with_positions(stats).withColumn("kept_expr", expressed).withColumn("kept_var", variable)
+        self.stats = materialize(placed, "feature_stats")
         return self
 
     def fitted(self) -> DataFrame:
@@ -166,7 +163,7 @@ class Selector:
             raise ValueError("supervised selection needs a label")
         if known is None:
             stats = materialize(feature_moments(class_moments(scaled)), "feature_stats")
-            stats = with_positions(stats)
+            stats = materialize(with_positions(stats), "feature_stats")
         else:
             stats = known.where("kept_var")
         n_features = stats.count()
