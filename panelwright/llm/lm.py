@@ -27,8 +27,9 @@ rows no token is known and the mixer predicts without counts.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 from math import log10
 
 import numpy as np
@@ -57,7 +58,7 @@ WEIGHT_UNIT = float(1 << 20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-KNOWN_TOKENS = 250_000  # words whose cost a worker remembers
+KNOWN_TOKENS = 300_000  # words that a worker remembers
 
 
 # -- bytes and bits -------------------------------------------------------
@@ -285,8 +286,6 @@ class Scorer:
         self.code, self.length = code, length
         self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
 
-        self.known: dict[bytes, float] = {}
-
     def token_bits(self, tokens: list[bytes]) -> np.ndarray:
         """Bits that each token costs; words come with their space."""
         if not tokens:
@@ -299,17 +298,53 @@ class Scorer:
             total[:n] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
         return np.bincount(data.owner, total, len(tokens))
 
-    def text_bits(self, texts: list[list[bytes]]) -> list[float]:
-        """Bits that each text costs, given as its words; its end is included."""
-        if len(self.known) > KNOWN_TOKENS:
-            self.known = {}
-        known = self.known
-        new = list({w for words in texts for w in words if w not in known})
+
+class KnownWords:
+    """Numbers, costs and base scores of the words that a worker has met lately.
+
+    A word is looked up once per occurrence; all else is array work. Beyond
+    ``KNOWN_TOKENS`` words it starts anew, so its size is bounded.
+    """
+
+    def __init__(self, scorer: Scorer, base: dict[bytes, float]):
+        self.scorer, self.base_of = scorer, base
+        self.end = float(scorer.token_bits([END])[0])
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: defaultdict[bytes, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.bits = self.base = np.zeros(0)
+
+    def numbers(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The number of each word of all texts; costs of new words are added."""
+        if len(self.number) > KNOWN_TOKENS:
+            self._clear()
+        found = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        new = list(islice(self.number, len(self.bits), None))
         for low in range(0, len(new), 1 << 15):
             some = new[low : low + (1 << 15)]
-            known.update(zip(some, self.token_bits([w + b" " for w in some]).tolist()))
-        end = float(self.token_bits([END])[0])
-        return [sum(map(known.__getitem__, words)) + end for words in texts]
+            self.bits = np.concatenate([self.bits, self.scorer.token_bits([w + b" " for w in some])])
+            self.base = np.concatenate([self.base, [self.base_of.get(w, np.nan) for w in some]])
+        return found
+
+    def score(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray, pa.ListArray]:
+        """Per text: bits, how many words have a base score and its sum, the other words and how often."""
+        n = len(texts)
+        word = self.numbers(texts)
+        owner = np.repeat(np.arange(n), [len(t) for t in texts])
+        base = self.base[word]
+        has = ~np.isnan(base)
+        bits = np.bincount(owner, self.bits[word], n) + self.end
+        total = np.bincount(owner, np.where(has, base, 0.0), n)
+        pairs, times = np.unique(owner[~has] * len(self.bits) + word[~has], return_counts=True)
+        size = max(1, len(self.bits))
+        offsets = pa.array(np.searchsorted(pairs // size, np.arange(n + 1)), pa.int32())
+        words = pa.array(list(self.number), pa.binary()).take(pa.array(pairs % size))
+        return (
+            bits, np.bincount(owner, has, n).astype(np.int64), total,
+            pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+        )
 
 
 def cost_table(apm: np.ndarray) -> np.ndarray:
@@ -382,7 +417,26 @@ def count_words(texts: DataFrame, flush: int = 200_000) -> tuple[DataFrame, np.n
     return counts.where("NOT is_byte").select("word", "c"), raw
 
 
-def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", frequent: int = 150_000) -> DataFrame:
+def common_words(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The counts of the commonest words, at most ``most`` of them.
+
+    A histogram of the counts on a scale of eighths of a doubling, some hundred
+    rows, gives the count from which on they are few enough; nothing is sorted.
+    """
+    step = F.floor(F.log2("c") * 8).cast("int")
+    found, lowest = 0, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        found += row["count"]
+        if found > most:
+            break
+        lowest = row.step
+    if lowest is None:
+        return {}
+    rows = counts.where(step >= lowest).toArrow()
+    return dict(zip(rows.column("word").to_pylist(), rows.column("c").to_pylist()))
+
+
+def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", frequent: int = 120_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Learns from the rows whose ``held_out`` is false. Counts of the
@@ -400,33 +454,27 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
     # Written, so that a lost executor does not repeat the learning; its size is that of the model.
     learned = materialize(learn_counts(training, code, length), "lm-counts")
     scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length)
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).toPandas()
-    hot = dict(zip(map(bytes, top["word"]), top["c"].tolist()))
-    model = spark.sparkContext.broadcast((scorer, hot))
+    model = spark.sparkContext.broadcast((scorer, common_words(counts, frequent)))
     size = n + (v + 1)  # add-one smoothing over the known tokens and one unknown
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, hot = model.value
-        logs = {w: log10((c + 1) / size) for w, c in hot.items()}
+        known = KnownWords(scorer, {w: log10((c + 1) / size) for w, c in hot.items()})
         at_end = log10((ends + 1) / size)
         for batch in batches:
             texts = texts_of(batch.column("text"))
-            rows, bits = [], []
             for a, b in slices(texts, CHUNK):
                 split = [t.encode().lower().split() for t in texts[a:b]]
-                bits += scorer.text_bits(split)
-                for found in split:
-                    known = [x for x in map(logs.get, found) if x is not None]
-                    rest = Counter(w for w in found if w not in logs) if len(known) < len(found) else {}
-                    rows.append((len(found) + 1, len(known) + (ends > 0), sum(known) + at_end, list(rest), list(rest.values())))
-            score = np.array(bits, dtype=np.float64) * -log10(2)
-            columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-            made = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("row_no", "doc_id", "held_out")], *made, pa.array(score)],
-                names=["row_no", "doc_id", "held_out", "n_tokens", "n_known", "base", "rest", "times", "score"],
-            )
+                bits, found, base, rest, times = known.score(split)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part.column(c) for c in ("row_no", "doc_id", "held_out")],
+                        pa.array([len(t) + 1 for t in split], pa.int64()), pa.array(found + (ends > 0)), pa.array(base + at_end),
+                        rest, times, pa.array(bits * -log10(2)),
+                    ],
+                    names=["row_no", "doc_id", "held_out", "n_tokens", "n_known", "base", "rest", "times", "score"],
+                )
 
     kind = given.schema["doc_id"].dataType.simpleString()
     numbered = given.withColumn("row_no", F.monotonically_increasing_id())

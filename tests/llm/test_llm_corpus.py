@@ -200,33 +200,44 @@ def test_scores_of_odd_rows(spark):
     assert all(r.n_known == 0 for r in lm.score_texts(docs.withColumn("held_out", F.lit(True)), "held_out").collect())
 
 
-def test_scores_are_a_distribution_over_bytes():
+def small_scorer():
     learner = lm.Learner(*lm.prefix_code(np.arange(256)))
     for _ in range(3):
-        learner.learn([b"the cat sat on the mat", b"the dog"])
-    parts = [(b, lm.odds_of(np.frombuffer(c, np.int32).reshape(2, -1)).tobytes(), lm.levels_of(np.frombuffer(c, np.int32).reshape(2, -1)).tobytes()) if b >= 0 else (b, c, b"") for b, c in learner.rows()]
-    scorer = lm.scorer_from(parts, learner.code, learner.length)
-    # All continuations of a text by one byte share its cost of going on.
-    assert sum(2.0 ** -(scorer.text_bits([b"the c" + bytes([b])])[0] - _end(scorer, b"the c" + bytes([b]))) for b in range(256)) == pytest.approx(2.0 ** -_prefix(scorer, b"the c"), rel=1e-6)
-    assert scorer.text_bits([b"the cat"])[0] < scorer.text_bits([b"xqz vjk"])[0]
-
-
-def _end(scorer, text):
-    return scorer.text_bits([text])[0] - _prefix(scorer, text)
-
-
-def _prefix(scorer, text):
-    """Bits of ``text`` without its end."""
-    data = lm.Bytes([text])
-    cost = 0.0
-    contexts = [lm.hashed(c, i) for i, c in enumerate(data.contexts)]
-    for _, at, prefix, y in lm.bit_levels(data.byte, scorer.code, scorer.length):
-        slots = [lm.slot_of(c[at], prefix, i) for i, c in enumerate(contexts)]
-        _, gate, mixed = lm.mix(scorer.odds, scorer.levels, scorer.weights, slots, data.place[at])
-        cell = ((mixed + np.float32(lm.REACH)) * np.float32((lm.FINE - 1) / (2 * lm.REACH)) + np.float32(0.5)).astype(np.int32)
-        own = scorer.cost[(gate.astype(np.int32) * lm.FINE + cell) * 2 + y]
-        cost += own[at < len(text)].sum()
-    return cost
+        learner.learn([b"the cat sat on the mat", b"the dog", b""])
+    rows = []
+    for block, counts in learner.rows():
+        part = np.frombuffer(counts, np.int32 if block >= 0 else np.int64)
+        part = part.reshape(-1, 2) if block >= 0 else part
+        rows.append((block, lm.odds_of(part).tobytes(), lm.levels_of(part).tobytes()) if block >= 0 else (block, counts, b""))
+    return lm.scorer_from(rows, learner.code, learner.length)
+
+
+def test_scores_are_a_distribution():
+    scorer = small_scorer()
+    # What follows a c is one of 256 bytes, and their probabilities sum to that of the c.
+    both = scorer.token_bits([b"c" + bytes([b]) for b in range(256)])
+    first = scorer.token_bits([bytes([b]) for b in range(256)])
+    assert (2.0**-first).sum() == pytest.approx(1.0, rel=1e-6)
+    assert (2.0**-both).sum() == pytest.approx(2.0 ** -first[ord("c")], rel=1e-6)
+
+
+def test_scores_add_up_over_tokens_and_prefer_known_words(monkeypatch):
+    scorer = small_scorer()
+    known = lm.KnownWords(scorer, {b"the": -1.0})
+    texts = [[b"the", b"cat", b"cat"], [], [b"the", b"cat"], [b"xqz", b"vjk", b"the"]]
+    bits, found, base, rest, times = known.score(texts)
+    assert bits[2] == pytest.approx(scorer.token_bits([b"the ", b"cat ", b"\xff"]).sum()) and bits[2] < bits[3]
+    assert found.tolist() == [1, 0, 1, 1] and base.tolist() == [-1.0, 0.0, -1.0, -1.0]
+    assert rest.to_pylist() == [[b"cat"], [], [b"cat"], [b"xqz", b"vjk"]] and times.to_pylist() == [[2], [], [1], [1, 1]]
+    monkeypatch.setattr(lm, "KNOWN_TOKENS", 1)  # starts anew with every call
+    assert known.score(texts)[0].tolist() == pytest.approx(bits.tolist())
+    assert [x.tolist() for x in known.score([])[:3]] == [[], [], []]
+
+
+def test_prefix_codes_are_complete():
+    code, length = lm.prefix_code(np.arange(256) ** 3)
+    assert sum(2.0**-n for n in length.tolist()) == 1.0
+    assert len({format(c, f"0{n}b") for c, n in zip(code.tolist(), length.tolist())}) == 256
 
 
 # -- mixing ----------------------------------------------------------------
