@@ -12,8 +12,10 @@ import hashlib
 import json
 import re
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from panelwright.llm.common import append_columns, texts_of
@@ -91,7 +93,10 @@ class Recent:
 class ByteBpe:
     """A byte-level BPE model, read from the JSON of the tokenizers library.
 
-    ``cache_size`` bounds what is remembered of stretches between spaces and of pre-tokens.
+    ``cache_size`` bounds what is remembered of pre-tokens; of whole stretches
+    between spaces, which are cheap to take apart, half as many are. What is
+    remembered are ids as bytes, which take half the memory of tuples and are
+    joined without a step per id.
     """
 
     def __init__(self, content: bytes, cache_size: int = 400_000):
@@ -122,15 +127,18 @@ class ByteBpe:
         self.decimal = [str(i) for i in range(len(self.strings))]
         letters = byte_letters()
         self.byte_ids = [self.vocab[c] for c in letters]
-        self.stretches, self.pieces = Recent(cache_size), Recent(cache_size)
+        self.kind = np.dtype(np.uint16 if len(self.strings) <= 1 << 16 else np.uint32)
+        self.stretches, self.pieces = Recent(max(1, cache_size // 2)), Recent(cache_size)
 
-    def _piece(self, piece: str) -> tuple:
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes() if len(ids) > 1 else ids[0].to_bytes(self.kind.itemsize, "little")
+
+    def _piece(self, piece: str) -> bytes:
         """Token ids of one pre-token."""
         ids = [self.byte_ids[b] for b in piece.encode()]
-        found = tuple(merge_ranked(ids, self.ranks.get, self.merged) if len(ids) > 1 else ids)
-        return self.pieces.put(piece, found)
+        return self.pieces.put(piece, self._packed(merge_ranked(ids, self.ranks.get, self.merged) if len(ids) > 1 else ids))
 
-    def _stretch(self, stretch: str) -> tuple:
+    def _stretch(self, stretch: str) -> bytes:
         """Token ids of a text that begins where a pre-token does."""
         found = self.stretches.old.get(stretch)
         if found is None:
@@ -142,14 +150,12 @@ class ByteBpe:
             if len(pieces) == 1:
                 p = pieces[0]
                 return new(p) or old(p) or self._piece(p)
-            found = tuple(chain.from_iterable([new(p) or old(p) or self._piece(p) for p in pieces]))
+            found = b"".join([new(p) or old(p) or self._piece(p) for p in pieces])
         return self.stretches.put(stretch, found)
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> bytes:
         """A pre-token starts before each space that a non-space follows, and the
         pattern never looks back, so stretches cut there encode on their own."""
-        if not text:
-            return []
         first, *rest = text.split(" ")
         if any(not s or s[0] in SPACES for s in rest):
             glued = [first]
@@ -162,17 +168,18 @@ class ByteBpe:
         else:
             stretches = [first, *[" " + s for s in rest]]
         known, whole, cut = self.stretches.new.get, self.pieces.new.get, self._stretch
-        return list(chain.from_iterable([known(s) or whole(s) or cut(s) for s in stretches if s]))
+        return b"".join([known(s) or whole(s) or cut(s) for s in stretches if s])
 
-    def encode(self, text: str) -> list[int]:
-        if self.split_added is None:
-            return self._plain(text)
-        parts = self.split_added(text)
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        parts = [text] if self.split_added is None else self.split_added(text)
         if len(parts) == 1:
-            return self._plain(text)
-        return list(chain.from_iterable([self.added[p]] if p in self.added else self._plain(p) for p in parts))
+            found = self._plain(text)
+        else:
+            found = b"".join([self._packed([self.added[p]]) if p in self.added else self._plain(p) for p in parts])
+        return np.frombuffer(found, dtype=self.kind)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
@@ -201,13 +208,20 @@ def read_vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    """Lists of ids as one Arrow array, without an object per id."""
+    ends = np.cumsum([0, *map(len, ids)])
+    flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
 def encode_texts(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``token_ids``: the ids of each whole text."""
     content = read_vocabulary(df, path)
 
     def run(column):
         model = model_of(content, ByteBpe)
-        return [[model.encode(t) for t in texts_of(column)]]
+        return [id_lists([model.encode(t) for t in texts_of(column)])]
 
     return append_columns(df, run, [("token_ids", "array<int>")], [text], keep)
 
@@ -234,7 +248,7 @@ def round_trip_digests(df: DataFrame, path: str, keep: list[str], text: str = "t
         model = model_of(content, ByteBpe)
         counts, of_ids, of_text = [], [], []
         for t in texts_of(column):
-            ids = model.encode(t)
+            ids = model.encode(t).tolist()
             counts.append(len(ids))
             of_ids.append(hashlib.sha256(",".join(map(model.decimal.__getitem__, ids)).encode()).hexdigest())
             of_text.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
@@ -252,7 +266,8 @@ def encode_and_check(df: DataFrame, path: str, keep: list[str], text: str = "tex
         model = model_of(content, ByteBpe)
         texts = texts_of(column)
         ids = [model.encode(t) for t in texts]
-        return [ids, [len(i) for i in ids], [model.decode(i) == t for i, t in zip(ids, texts)]]
+        same = [model.decode(i.tolist()) == t for i, t in zip(ids, texts)]
+        return [id_lists(ids), [len(i) for i in ids], same]
 
     fields = [("token_ids", "array<int>"), ("n_tokens", "bigint"), ("round_trip", "boolean")]
     return append_columns(df, run, fields, [text], keep)
