@@ -1,23 +1,19 @@
 """Language-model scores: a word-count base and online logistic context mixing.
 
-A text is the sequence of its tokens, as the base takes them: words in lower
-case, each with a space behind it, and one end. A token is predicted bit by
-bit; a byte is written in a prefix code that gives frequent bytes few bits.
-Four predictors look up adaptive counts in hashed tables: the last two, three
-and four bytes of the token, and the token so far. Their log-odds are mixed by weights that a gate
+A text is predicted bit by bit; a byte is written in a prefix code that gives
+frequent bytes few bits. Five predictors look up adaptive counts in hashed
+tables: the last one, two, three and four bytes of the text, separators
+included, and the word so far. Their log-odds are mixed by weights that a gate
 chooses (how much two of the contexts have been seen, place in the word).
 Weights are learned online, chunk by chunk: predict, move the weights along the
 gradient, then count. A last stage refines the mixed probability with counts
 per gate and probability. The sum over all bits is the length of the text.
 
-Contexts stay inside a token, so equal tokens cost the same and are computed once
-per chunk; that is what makes the model affordable on every text. Every
-training byte is counted; weights and refinement move on every eighth byte of
-the distinct tokens, by how often they occur. Each task learns over its own
-training texts. Counts of all tasks are added as whole numbers, weights are
-averaged by the number of chunks: the order of tasks does not matter. What is
-gathered grows with the tasks, while the model has a fixed size, which bounds
-its broadcast.
+Every training byte is counted; weights and refinement move on every eighth.
+Each task learns over its own training texts. Counts of all tasks are added as
+whole numbers, weights are averaged by the number of chunks: the order of tasks
+does not matter. What is gathered grows with the tasks, while the model has a
+fixed size, which bounds its broadcast.
 
 Rules: A-Z in lower case; a null text is empty; the end of a text is its last
 token and its last byte. Rows may repeat, each gives one row. Without training
@@ -41,7 +37,7 @@ from panelwright.llm.common import map_batches, slices, texts_of
 from panelwright.session import materialize
 
 BEFORE, END = b"\xfe\xfe\xfe\xfe", b"\xff"  # bytes that are not in UTF-8
-TABLE_BITS = (19, 20, 21, 21)  # slots of each predictor: orders 2 to 4, token so far
+TABLE_BITS = (16, 20, 21, 22, 22)  # slots of each predictor: orders 1 to 4, word so far
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])]).astype(np.int64)
 SLOTS = int(OFFSETS[-1])
 BLOCK = 1 << 16  # slots that travel in one row
@@ -53,12 +49,13 @@ REACH = 12.0  # largest log-odds
 PRIOR = 0.2
 STRIDE = 8
 STEP = 1 << 13  # bits between two moves of the weights
-CHUNK = 4_000_000  # characters that are learned or scored together
+CHUNK = 500_000  # characters that are learned or scored together
 WEIGHT_UNIT = float(1 << 20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 KNOWN_TOKENS = 300_000  # words that a worker remembers
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32, 0xFE])
 
 
 # -- bytes and bits -------------------------------------------------------
@@ -84,35 +81,35 @@ def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Bytes:
-    """The bytes of some tokens and a context per predictor and byte.
+    """The bytes of some texts and a context per predictor and byte.
 
     Bytes are sorted by the length of their code, longest first, so those that
     have a bit of some depth are always in front.
     """
 
-    def __init__(self, tokens: list[bytes], code: np.ndarray, length: np.ndarray):
-        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        data = np.frombuffer(BEFORE + BEFORE.join(tokens), dtype=np.uint8)
-        owner = np.repeat(np.arange(len(tokens)), sizes)
+    def __init__(self, texts: list[bytes], code: np.ndarray, length: np.ndarray):
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        data = np.frombuffer(BEFORE + BEFORE.join(texts), dtype=np.uint8)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        # Four bytes stand before each text.
         at = np.arange(len(owner)) + 4 * (owner + 1)
-        at = at[np.argsort(-length.astype(np.int8)[data[at]], kind="stable")]
-        # Four bytes stand before each token.
-        first = (np.cumsum(sizes) - sizes) + 4 * (np.arange(len(sizes)) + 1)
-        self.owner = np.searchsorted(first, at, "right") - 1 if len(first) else at
-        first = first[self.owner] if len(first) else at
+        order = np.argsort(-length.astype(np.int8)[data[at]], kind="stable")
+        at, self.owner = at[order], owner[order]
+        first = np.maximum.accumulate(np.where(BLANK[data], np.arange(1, len(data) + 1), 0))[at - 1]
         wide = data.astype(np.uint64)
         byte = data[at]
         self.code, self.length = code[byte].astype(np.uint64), length[byte]
-        two = wide[at - 1] | wide[at - 2] << np.uint64(8)
+        one = wide[at - 1]
+        two = one | wide[at - 2] << np.uint64(8)
         three = two | wide[at - 3] << np.uint64(16)
         four = three | wide[at - 4] << np.uint64(24)
-        # Hash of the token so far: a difference of running sums, moved to a common power.
+        # Hash of the word so far: a difference of running sums, moved to a common power.
         powers = np.cumprod(np.full(len(data), ODD))
         backward = np.cumprod(np.full(len(data), INVERSE))
         sums = np.concatenate([[np.uint64(0)], np.cumsum((wide + np.uint64(1)) * powers)])
         so_far = (sums[at] - sums[first]) * backward[first]
-        self.contexts = [hashed(c, i) for i, c in enumerate((two, three, four, so_far))]
-        self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the token
+        self.contexts = [hashed(c, i) for i, c in enumerate((one, two, three, four, so_far))]
+        self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the word
 
     def every(self, step: int, start: int) -> Bytes:
         """Each ``step``-th byte, still in order of the length."""
@@ -162,7 +159,7 @@ def first_weights() -> np.ndarray:
 def mix(odds, levels, weights, slots, place):
     """Inputs, gate and mixed log-odds of some bit predictions."""
     x = [odds[s] for s in slots]
-    gate = levels[slots[3]] * np.uint8(16) + levels[slots[2]] * np.uint8(4) + place
+    gate = levels[slots[4]] * np.uint8(16) + levels[slots[3]] * np.uint8(4) + place
     mixed = weights[:, INPUTS - 1][gate]
     for i, values in enumerate(x):
         mixed += weights[:, i][gate] * values
@@ -185,31 +182,27 @@ class Learner:
         self.chunks = 0
 
     def learn(self, texts: list[bytes], rate: float = 0.02) -> None:
-        times: Counter = Counter()
-        for t in texts:
-            times.update(t.split())
-        data = Bytes([*(w + b" " for w in times), END], self.code, self.length)
-        weight = np.array([*times.values(), len(texts)], dtype=np.int32)[data.owner]
+        data = Bytes([t + END for t in texts], self.code, self.length)
         if self.chunks:
             part = data.every(STRIDE, self.chunks % STRIDE)
             for n, slots, y in part.bits():
                 for low in range(0, n, STEP):
                     some = slice(low, low + STEP)
-                    self._step([s[some] for s in slots], y[some], part.place[:n][some], weight[self.chunks % STRIDE :: STRIDE][:n][some], rate)
+                    self._step([s[some] for s in slots], y[some], part.place[:n][some], rate)
         for n, slots, y in data.bits():
             for slot in slots:
-                np.add.at(self.counts.reshape(-1), slot * 2 + y, weight[:n])
+                np.add.at(self.counts.reshape(-1), slot * 2 + y, 1)
         self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.chunks += 1
 
-    def _step(self, slots: list[np.ndarray], y, place, weight, rate: float) -> None:
+    def _step(self, slots: list[np.ndarray], y, place, rate: float) -> None:
         """Predict some bits, refine, and move the weights of each gate along the gradient."""
         x, gate, mixed = mix(self.odds, self.levels, self.weights, slots, place)
         cell = gate.astype(np.int64) * APM_CELLS + np.rint((mixed + REACH) * ((APM_CELLS - 1) / (2 * REACH))).astype(np.int64)
         for b in (0, 1):
-            self.apm[b] += np.bincount(cell, weight * (y == b), GATES * APM_CELLS).astype(np.int64)
-        error = weight * (y - 1.0 / (1.0 + np.exp(-mixed)))
-        n = np.maximum(np.bincount(gate, weight, GATES), 1)
+            self.apm[b] += np.bincount(cell[y == b], minlength=GATES * APM_CELLS)
+        error = y - 1.0 / (1.0 + np.exp(-mixed))
+        n = np.maximum(np.bincount(gate, minlength=GATES), 1)
         for i in range(INPUTS):
             # Log-odds come in 256ths, so their weights are 256 times smaller.
             unit = 256.0 if i < INPUTS - 1 else 1.0
@@ -287,7 +280,7 @@ class Scorer:
         self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
 
     def token_bits(self, tokens: list[bytes]) -> np.ndarray:
-        """Bits that each token costs; words come with their space."""
+        """Bits that each of some texts or tokens costs on its own."""
         if not tokens:
             return np.zeros(0)
         data = Bytes(tokens, self.code, self.length)
@@ -300,15 +293,15 @@ class Scorer:
 
 
 class KnownWords:
-    """Numbers, costs and base scores of the words that a worker has met lately.
+    """Numbers, base scores and, with a scorer, costs on their own of the words that a worker has met lately.
 
     A word is looked up once per occurrence; all else is array work. Beyond
     ``KNOWN_TOKENS`` words it starts anew, so its size is bounded.
     """
 
-    def __init__(self, scorer: Scorer, base: dict[bytes, float]):
+    def __init__(self, scorer: Scorer | None, base: dict[bytes, float]):
         self.scorer, self.base_of = scorer, base
-        self.end = float(scorer.token_bits([END])[0])
+        self.end = float(scorer.token_bits([END])[0]) if scorer else 0.0
         self._clear()
 
     def _clear(self) -> None:
@@ -324,7 +317,8 @@ class KnownWords:
         new = list(islice(self.number, len(self.bits), None))
         for low in range(0, len(new), 1 << 15):
             some = new[low : low + (1 << 15)]
-            self.bits = np.concatenate([self.bits, self.scorer.token_bits([w + b" " for w in some])])
+            own = self.scorer.token_bits([w + b" " for w in some]) if self.scorer else np.zeros(len(some))
+            self.bits = np.concatenate([self.bits, own])
             self.base = np.concatenate([self.base, [self.base_of.get(w, np.nan) for w in some]])
         return found
 
@@ -400,9 +394,9 @@ def count_words(texts: DataFrame, flush: int = 200_000) -> tuple[DataFrame, np.n
         times, raw = Counter(), np.zeros(256, dtype=np.int64)
         for batch in batches:
             for text in texts_of(batch.column("text")):
-                words = text.encode().lower().split()
-                times.update(words)
-                raw += np.bincount(np.frombuffer(b" ".join([*words, END]), dtype=np.uint8), minlength=256)
+                low = text.encode().lower()
+                times.update(low.split())
+                raw += np.bincount(np.frombuffer(low + END, dtype=np.uint8), minlength=256)
                 if len(times) > flush:
                     yield out(times, False)
                     times = Counter()
@@ -459,13 +453,15 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, hot = model.value
-        known = KnownWords(scorer, {w: log10((c + 1) / size) for w, c in hot.items()})
+        known = KnownWords(None, {w: log10((c + 1) / size) for w, c in hot.items()})
         at_end = log10((ends + 1) / size)
         for batch in batches:
             texts = texts_of(batch.column("text"))
             for a, b in slices(texts, CHUNK):
-                split = [t.encode().lower().split() for t in texts[a:b]]
-                bits, found, base, rest, times = known.score(split)
+                low = [t.encode().lower() for t in texts[a:b]]
+                split = [t.split() for t in low]
+                _, found, base, rest, times = known.score(split)
+                bits = scorer.token_bits([t + END for t in low])
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [

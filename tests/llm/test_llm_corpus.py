@@ -234,6 +234,14 @@ def test_scores_add_up_over_tokens_and_prefer_known_words(monkeypatch):
     assert [x.tolist() for x in known.score([])[:3]] == [[], [], []]
 
 
+def test_scores_see_the_order_of_words_and_white_space(spark):
+    texts = ["the cat sat on the mat", "the the on mat cat sat", "the cat\nsat on  the\tmat"]
+    rows = [(i, t, False) for i, t in enumerate([texts[0]] * 20)] + [(100 + i, t, True) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    score = {r.doc_id: r.score for r in lm.score_texts(docs, "held_out").collect()}
+    assert score[100] > max(score[101], score[102]) + 1
+
+
 def test_prefix_codes_are_complete():
     code, length = lm.prefix_code(np.arange(256) ** 3)
     assert sum(2.0**-n for n in length.tolist()) == 1.0
