@@ -12,8 +12,11 @@ per gate and probability. The sum over all bits is the length of the text.
 Every training byte is counted; weights and refinement move on every eighth.
 Each task learns over its own training texts. Counts of all tasks are added as
 whole numbers, weights are averaged by the number of chunks: the order of tasks
-does not matter. What is gathered grows with the tasks, while the model has a
-fixed size, which bounds its broadcast.
+does not matter. The distinct keys (context and bits so far) of each predictor
+are counted first, and its table has ``SPARE`` slots for each; slots do not check
+keys, so a share of 1 - exp(-1 / SPARE) of the keys meets another in its slot.
+The model, its broadcast and what a task holds therefore grow with the distinct
+contexts of the input.
 
 Rules: A-Z in lower case; a null text is empty; the end of a text is its last
 token and its last byte. Rows may repeat, each gives one row. Without training
@@ -37,11 +40,12 @@ from panelwright.llm.common import map_batches, slices, texts_of
 from panelwright.session import materialize
 
 BEFORE, END = b"\xfe\xfe\xfe\xfe", b"\xff"  # bytes that are not in UTF-8
-TABLE_BITS = (16, 20, 21, 22, 22)  # slots of each predictor: orders 1 to 4, word so far
-OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])]).astype(np.int64)
-SLOTS = int(OFFSETS[-1])
+PREDICTORS = 5  # orders 1 to 4, word so far
 BLOCK = 1 << 16  # slots that travel in one row
-INPUTS = len(TABLE_BITS) + 1  # and a constant
+LEAST = (BLOCK,) * PREDICTORS  # slots of each predictor, for small inputs
+SPARE = 2  # slots for each distinct key
+SAMPLE_BITS = 6  # one key of 64 is counted to measure how many there are
+INPUTS = PREDICTORS + 1  # and a constant
 GATES = 64
 APM_CELLS = 33
 FINE = 1537  # cells of the final table of costs
@@ -119,19 +123,26 @@ class Bytes:
         out.contexts = [c[chosen] for c in self.contexts]
         return out
 
-    def bits(self) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
-        """Per depth: how many bytes have a bit there, their slots, and the bit."""
+    def keys(self) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+        """Per depth: how many bytes have a bit there, a hash of context and prefix per predictor, and the bit."""
         for depth in range(int(self.length.max(initial=0))):
             n = int(np.searchsorted(-self.length, -depth, "left"))
             left = (self.length[:n] - depth).astype(np.uint64)
             prefix = (np.uint64(1 << depth) | self.code[:n] >> left) * np.uint64(0x9E3779B1)
-            slots = []
-            for i, bits in enumerate(TABLE_BITS):
-                h = (self.contexts[i][:n] ^ prefix) * MIX
-                h >>= np.uint64(64 - bits)
-                h += np.uint64(OFFSETS[i])
-                slots.append(h.view(np.int64))
-            yield n, slots, (self.code[:n] >> (left - np.uint64(1)) & np.uint64(1)).view(np.int64)
+            keys = [(c[:n] ^ prefix) * MIX for c in self.contexts]
+            yield n, keys, (self.code[:n] >> (left - np.uint64(1)) & np.uint64(1)).view(np.int64)
+
+    def bits(self, sizes: tuple[int, ...]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+        """As ``keys``, with the slots in tables of ``sizes`` one behind the other."""
+        for n, keys, y in self.keys():
+            low = 0
+            for h, size in zip(keys, sizes):
+                h >>= np.uint64(32)
+                h *= np.uint64(size)
+                h >>= np.uint64(32)
+                h += np.uint64(low)
+                low += size
+            yield n, [h.view(np.int64) for h in keys], y
 
 
 def hashed(context: np.ndarray, predictor: int) -> np.ndarray:
@@ -172,9 +183,9 @@ def mix(odds, levels, weights, slots, place):
 class Learner:
     """Online state of one task."""
 
-    def __init__(self, code: np.ndarray, length: np.ndarray):
-        self.code, self.length = code, length
-        self.counts = np.zeros((SLOTS, 2), dtype=np.int32)  # zeros and ones
+    def __init__(self, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST):
+        self.code, self.length, self.sizes = code, length, sizes
+        self.counts = np.zeros((sum(sizes), 2), dtype=np.int32)  # zeros and ones
         self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.weights = first_weights()
         self.speed = np.full((GATES, INPUTS), 1e-3, dtype=np.float64)
@@ -185,11 +196,11 @@ class Learner:
         data = Bytes([t + END for t in texts], self.code, self.length)
         if self.chunks:
             part = data.every(STRIDE, self.chunks % STRIDE)
-            for n, slots, y in part.bits():
+            for n, slots, y in part.bits(self.sizes):
                 for low in range(0, n, STEP):
                     some = slice(low, low + STEP)
                     self._step([s[some] for s in slots], y[some], part.place[:n][some], rate)
-        for n, slots, y in data.bits():
+        for n, slots, y in data.bits(self.sizes):
             for slot in slots:
                 np.add.at(self.counts.reshape(-1), slot * 2 + y, 1)
         self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
@@ -212,7 +223,7 @@ class Learner:
 
     def rows(self) -> Iterator[tuple[int, bytes]]:
         """What the task has learned, as blocks of whole numbers that can be added."""
-        for low in range(0, SLOTS, BLOCK):
+        for low in range(0, len(self.counts), BLOCK):
             part = self.counts[low : low + BLOCK]
             if part.any():
                 yield low // BLOCK, part.tobytes()
@@ -223,7 +234,49 @@ class Learner:
         yield -1, np.concatenate([[moved], weights.ravel(), self.apm.ravel()]).astype(np.int64).tobytes()
 
 
-def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray) -> DataFrame:
+def distinct_keys(texts: DataFrame, code: np.ndarray, length: np.ndarray, most: int = 1 << 20) -> list[int]:
+    """How many distinct keys each predictor has in all texts.
+
+    Keys are sampled by their hash, so each is counted once or not at all
+    wherever it occurs, and what is counted is multiplied. A task holds about
+    ``most`` sampled keys of a predictor.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, dtype=np.uint64) for _ in range(PREDICTORS)]
+
+        def out(i):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(held[i]), i, dtype=np.int32)), pa.array(held[i].view(np.int64))], names=["predictor", "key"]
+            )
+
+        for batch in batches:
+            found = texts_of(batch.column("text"))
+            for a, b in slices(found, CHUNK):
+                data = Bytes([t.encode().lower() + END for t in found[a:b]], code, length)
+                new = [[h] for h in held]
+                for _, keys, _ in data.keys():
+                    for i, h in enumerate(keys):
+                        new[i].append(h[h >> np.uint64(64 - SAMPLE_BITS) == 0])
+                held = [np.unique(np.concatenate(h)) for h in new]
+                for i in range(PREDICTORS):
+                    if len(held[i]) > most:
+                        yield out(i)
+                        held[i] = held[i][:0]
+        for i in range(PREDICTORS):
+            yield out(i)
+
+    sampled = map_batches(texts, run, "predictor int, key bigint").distinct().groupBy("predictor").count()
+    found = {r.predictor: r["count"] << SAMPLE_BITS for r in sampled.collect()}  # one row per predictor
+    return [found.get(i, 0) for i in range(PREDICTORS)]
+
+
+def table_sizes(keys: list[int]) -> tuple[int, ...]:
+    """Slots of each predictor: ``SPARE`` for each distinct key, in whole blocks."""
+    return tuple(BLOCK * max(1, -(-SPARE * n // BLOCK)) for n in keys)
+
+
+def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...]) -> DataFrame:
     """(block, odds, levels): the counts of all tasks added up and turned into the
     tables of the model; block -1 has the weights and the refinement instead.
 
@@ -235,9 +288,13 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray) -> Data
         for batch in batches:
             found = texts_of(batch.column("text"))
             for a, b in slices(found, CHUNK):
-                learner = learner or Learner(code, length)
+                learner = learner or Learner(code, length, sizes)
                 learner.learn([t.encode().lower() for t in found[a:b]])
         for block, counts in learner.rows() if learner else ():
+            if block >= 0:  # only the slots that are in use
+                used = np.frombuffer(counts, dtype=np.int32).reshape(-1, 2)
+                place = np.flatnonzero(used.any(axis=1))
+                counts = place.astype(np.uint16).tobytes() + used[place].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts], pa.binary())], names=["block", "counts"])
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,12 +312,16 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray) -> Data
 
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                values = np.frombuffer(counts.as_buffer(), dtype=np.int64 if block < 0 else np.int32)
+                size = len(counts.as_buffer())
                 if block != current:
                     if current is not None:
                         yield out()
-                    current, total = block, np.zeros(len(values), dtype=np.int64)
-                total += values
+                    current, total = block, np.zeros(size // 8 if block < 0 else 2 * BLOCK, dtype=np.int64)
+                if block < 0:
+                    total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
+                else:
+                    place = np.frombuffer(counts.as_buffer(), dtype=np.uint16, count=size // 10)
+                    total.reshape(-1, 2)[place] += np.frombuffer(counts.as_py()[size // 10 * 2 :], dtype=np.int32).reshape(-1, 2)
         if current is not None:
             yield out()
 
@@ -275,8 +336,8 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray) -> Data
 class Scorer:
     """The learned model: log-odds and levels per slot, weights, cost of each outcome."""
 
-    def __init__(self, code, length, odds, levels, weights, cost):
-        self.code, self.length = code, length
+    def __init__(self, code, length, sizes, odds, levels, weights, cost):
+        self.code, self.length, self.sizes = code, length, sizes
         self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
 
     def token_bits(self, tokens: list[bytes]) -> np.ndarray:
@@ -285,7 +346,7 @@ class Scorer:
             return np.zeros(0)
         data = Bytes(tokens, self.code, self.length)
         total = np.zeros(len(data.owner))
-        for n, slots, y in data.bits():
+        for n, slots, y in data.bits(self.sizes):
             _, gate, mixed = mix(self.odds, self.levels, self.weights, slots, data.place[:n])
             cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
             total[:n] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
@@ -357,9 +418,9 @@ def cost_table(apm: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
-def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, length: np.ndarray) -> Scorer:
+def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST) -> Scorer:
     """The model from the rows of ``learn_counts``."""
-    odds, levels = np.zeros(SLOTS, dtype=np.int16), np.zeros(SLOTS, dtype=np.uint8)
+    odds, levels = np.zeros(sum(sizes), dtype=np.int16), np.zeros(sum(sizes), dtype=np.uint8)
     weights, apm = first_weights(), np.zeros((2, GATES * APM_CELLS), dtype=np.int64)
     for block, some_odds, some_levels in rows:
         if block >= 0:
@@ -372,7 +433,7 @@ def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, leng
             weights = mean.astype(np.float32)
             weights[:, : INPUTS - 1] /= 256
         apm = values[1 + GATES * INPUTS :].reshape(2, -1)
-    return Scorer(code, length, odds, levels, weights, cost_table(apm))
+    return Scorer(code, length, sizes, odds, levels, weights, cost_table(apm))
 
 
 # -- the base -------------------------------------------------------------
@@ -446,8 +507,9 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
     n, v = (total.n or 0) + ends, total.v + (ends > 0)
     code, length = prefix_code(raw)
     # Written, so that a lost executor does not repeat the learning; its size is that of the model.
-    learned = materialize(learn_counts(training, code, length), "lm-counts")
-    scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length)
+    sizes = table_sizes(distinct_keys(training, code, length))
+    learned = materialize(learn_counts(training, code, length, sizes), "lm-counts")
+    scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length, sizes)
     model = spark.sparkContext.broadcast((scorer, common_words(counts, frequent)))
     size = n + (v + 1)  # add-one smoothing over the known tokens and one unknown
 

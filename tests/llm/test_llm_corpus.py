@@ -242,6 +242,24 @@ def test_scores_see_the_order_of_words_and_white_space(spark):
     assert score[100] > max(score[101], score[102]) + 1
 
 
+def test_tables_grow_with_the_distinct_contexts(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.permutation(list("abcdefghijklmnop"))[:8].tobytes().decode("utf-32") for _ in range(100)) for _ in range(120)]
+    code, length = lm.prefix_code(np.bincount(np.frombuffer("".join(texts).encode() + lm.END, np.uint8), minlength=256))
+    exact = [set() for _ in range(lm.PREDICTORS)]
+    for _, keys, _ in lm.Bytes([t.encode() + lm.END for t in texts], code, length).keys():
+        for own, k in zip(exact, keys):
+            own |= set(k.tolist())
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    for found, own in zip(lm.distinct_keys(docs, code, length), exact):
+        assert abs(found - len(own)) < 5 * (64 * len(own)) ** 0.5 + 64
+    sizes = lm.table_sizes([len(own) for own in exact])
+    assert all(a >= lm.SPARE * len(own) for a, own in zip(sizes, exact)) and sizes[4] > 2 * lm.BLOCK
+    slots = {s for _, all_slots, _ in lm.Bytes([t.encode() + lm.END for t in texts], code, length).bits(sizes) for s in all_slots[4].tolist()}
+    load = len(exact[4]) / sizes[4]
+    assert len(slots) / len(exact[4]) == pytest.approx((1 - math.exp(-load)) / load, rel=0.02)
+
+
 def test_prefix_codes_are_complete():
     code, length = lm.prefix_code(np.arange(256) ** 3)
     assert sum(2.0**-n for n in length.tolist()) == 1.0
