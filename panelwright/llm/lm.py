@@ -9,10 +9,12 @@ Weights are learned online, chunk by chunk: predict, move the weights along the
 gradient, then count. A last stage refines the mixed probability with counts
 per gate and probability. The sum over all bits is the length of the text.
 
-Every training byte is counted; weights and refinement move on every eighth.
-Each task learns over its own training texts. Counts of all tasks are added as
-whole numbers, weights are averaged by the number of chunks: the order of tasks
-does not matter. The distinct keys (context and bits so far) of each predictor
+Every training byte is predicted, moves weights and refinement, and is counted,
+from the first chunk on. Texts are dealt to shards by a hash of id and text,
+whose number follows from the size of the input, and a shard is learned in the
+order of the hash, in chunks of ``LEARN`` characters: the model does not depend
+on partitions or batches. Counts of all shards are added as whole numbers,
+weights are averaged by the number of chunks. The distinct keys (context and bits so far) of each predictor
 are counted first, and its table has ``SPARE`` slots for each; slots do not check
 keys, so a share of 1 - exp(-1 / SPARE) of the keys meets another in its slot.
 The model, its broadcast and what a task holds therefore grow with the distinct
@@ -51,9 +53,10 @@ APM_CELLS = 33
 FINE = 1537  # cells of the final table of costs
 REACH = 12.0  # largest log-odds
 PRIOR = 0.2
-STRIDE = 8
 STEP = 1 << 13  # bits between two moves of the weights
-CHUNK = 500_000  # characters that are learned or scored together
+CHUNK = 500_000  # characters that are scored together
+LEARN = 1 << 16  # characters that are learned together
+SHARD = 16_000_000  # bytes of training texts that are learned one after the other
 WEIGHT_UNIT = float(1 << 20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -115,14 +118,6 @@ class Bytes:
         self.contexts = [hashed(c, i) for i, c in enumerate((one, two, three, four, so_far))]
         self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the word
 
-    def every(self, step: int, start: int) -> Bytes:
-        """Each ``step``-th byte, still in order of the length."""
-        chosen = slice(start, None, step)
-        out = object.__new__(Bytes)
-        out.owner, out.code, out.length, out.place = (x[chosen] for x in (self.owner, self.code, self.length, self.place))
-        out.contexts = [c[chosen] for c in self.contexts]
-        return out
-
     def keys(self) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         """Per depth: how many bytes have a bit there, a hash of context and prefix per predictor, and the bit."""
         for depth in range(int(self.length.max(initial=0))):
@@ -167,26 +162,24 @@ def first_weights() -> np.ndarray:
     return np.tile(np.array([0.3] * (INPUTS - 1) + [0.0], dtype=np.float32), (GATES, 1)) / np.float32(256)
 
 
-def mix(odds, levels, weights, slots, place):
-    """Inputs, gate and mixed log-odds of some bit predictions."""
-    x = [odds[s] for s in slots]
-    gate = levels[slots[4]] * np.uint8(16) + levels[slots[3]] * np.uint8(4) + place
+def mix(x, word_level, four_level, weights, place):
+    """Gate and mixed log-odds of some bit predictions with the inputs ``x``."""
+    gate = word_level * np.uint8(16) + four_level * np.uint8(4) + place
     mixed = weights[:, INPUTS - 1][gate]
     for i, values in enumerate(x):
         mixed += weights[:, i][gate] * values
-    return x, gate, np.clip(mixed, -REACH, REACH, out=mixed)
+    return gate, np.clip(mixed, -REACH, REACH, out=mixed)
 
 
 # -- learning -------------------------------------------------------------
 
 
 class Learner:
-    """Online state of one task."""
+    """Online state of one shard."""
 
     def __init__(self, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST):
         self.code, self.length, self.sizes = code, length, sizes
         self.counts = np.zeros((sum(sizes), 2), dtype=np.int32)  # zeros and ones
-        self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.weights = first_weights()
         self.speed = np.full((GATES, INPUTS), 1e-3, dtype=np.float64)
         self.apm = np.zeros((2, GATES * APM_CELLS), dtype=np.int64)
@@ -194,21 +187,22 @@ class Learner:
 
     def learn(self, texts: list[bytes], rate: float = 0.02) -> None:
         data = Bytes([t + END for t in texts], self.code, self.length)
-        if self.chunks:
-            part = data.every(STRIDE, self.chunks % STRIDE)
-            for n, slots, y in part.bits(self.sizes):
-                for low in range(0, n, STEP):
-                    some = slice(low, low + STEP)
-                    self._step([s[some] for s in slots], y[some], part.place[:n][some], rate)
+        seen = []
         for n, slots, y in data.bits(self.sizes):
+            for low in range(0, n, STEP):
+                some = slice(low, low + STEP)
+                self._step([s[some] for s in slots], y[some], data.place[:n][some], rate)
+            seen.append((slots, y))
+        for slots, y in seen:
             for slot in slots:
                 np.add.at(self.counts.reshape(-1), slot * 2 + y, 1)
-        self.odds, self.levels = odds_of(self.counts), levels_of(self.counts)
         self.chunks += 1
 
     def _step(self, slots: list[np.ndarray], y, place, rate: float) -> None:
         """Predict some bits, refine, and move the weights of each gate along the gradient."""
-        x, gate, mixed = mix(self.odds, self.levels, self.weights, slots, place)
+        met = [self.counts[s] for s in slots]
+        x = [odds_of(c) for c in met]
+        gate, mixed = mix(x, levels_of(met[4]), levels_of(met[3]), self.weights, place)
         cell = gate.astype(np.int64) * APM_CELLS + np.rint((mixed + REACH) * ((APM_CELLS - 1) / (2 * REACH))).astype(np.int64)
         for b in (0, 1):
             self.apm[b] += np.bincount(cell[y == b], minlength=GATES * APM_CELLS)
@@ -227,11 +221,10 @@ class Learner:
             part = self.counts[low : low + BLOCK]
             if part.any():
                 yield low // BLOCK, part.tobytes()
-        moved = max(0, self.chunks - 1)
         weights = self.weights.astype(np.float64)
         weights[:, : INPUTS - 1] *= 256
-        weights = np.rint(weights * WEIGHT_UNIT).astype(np.int64) * moved
-        yield -1, np.concatenate([[moved], weights.ravel(), self.apm.ravel()]).astype(np.int64).tobytes()
+        weights = np.rint(weights * WEIGHT_UNIT).astype(np.int64) * self.chunks
+        yield -1, np.concatenate([[self.chunks], weights.ravel(), self.apm.ravel()]).astype(np.int64).tobytes()
 
 
 def distinct_keys(texts: DataFrame, code: np.ndarray, length: np.ndarray, most: int = 1 << 20) -> list[int]:
@@ -276,27 +269,43 @@ def table_sizes(keys: list[int]) -> tuple[int, ...]:
     return tuple(BLOCK * max(1, -(-SPARE * n // BLOCK)) for n in keys)
 
 
-def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...]) -> DataFrame:
-    """(block, odds, levels): the counts of all tasks added up and turned into the
+def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...], shards: int) -> DataFrame:
+    """(block, odds, levels): the counts of all ``shards`` added up and turned into the
     tables of the model; block -1 has the weights and the refinement instead.
 
     Blocks are streamed in order, so a task holds one sum at a time.
     """
 
-    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner = None
-        for batch in batches:
-            found = texts_of(batch.column("text"))
-            for a, b in slices(found, CHUNK):
-                learner = learner or Learner(code, length, sizes)
-                learner.learn([t.encode().lower() for t in found[a:b]])
-        for block, counts in learner.rows() if learner else ():
+    def rows(learner):
+        for block, counts in learner.rows():
             if block >= 0:  # only the slots that are in use
                 used = np.frombuffer(counts, dtype=np.int32).reshape(-1, 2)
                 place = np.flatnonzero(used.any(axis=1))
                 counts = place.astype(np.uint16).tobytes() + used[place].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts], pa.binary())], names=["block", "counts"])
 
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Reads texts sorted by shard; chunks go on from one batch to the next."""
+        learner, current, chunk, size = None, None, [], 0
+        for batch in batches:
+            for shard, text in zip(batch.column("shard").to_pylist(), texts_of(batch.column("text"))):
+                if shard != current:
+                    if learner:
+                        if chunk:
+                            learner.learn(chunk)
+                        yield from rows(learner)
+                    learner = None  # before the next takes its memory
+                    learner, current, chunk, size = Learner(code, length, sizes), shard, [], 0
+                chunk.append(text.encode().lower())
+                size += len(text)
+                if size >= LEARN:
+                    learner.learn(chunk)
+                    chunk, size = [], 0
+        if learner:
+            if chunk:
+                learner.learn(chunk)
+            yield from rows(learner)
+
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, total = None, None
 
@@ -326,7 +335,10 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes:
             yield out()
 
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = map_batches(texts, learn, "block int, counts binary")
+    dealt = texts.withColumn("order", F.xxhash64("doc_id", "text")).withColumn("shard", F.pmod("order", F.lit(shards)))
+    # Each shard is a partition of its own number, so none waits behind another by chance.
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "order")
+    parts = map_batches(dealt.select("shard", "text"), learn, "block int, counts binary")
     return map_batches(parts.repartition(n, "block").sortWithinPartitions("block"), add, "block int, odds binary, levels binary")
 
 
@@ -347,7 +359,8 @@ class Scorer:
         data = Bytes(tokens, self.code, self.length)
         total = np.zeros(len(data.owner))
         for n, slots, y in data.bits(self.sizes):
-            _, gate, mixed = mix(self.odds, self.levels, self.weights, slots, data.place[:n])
+            x = [self.odds[s] for s in slots]
+            gate, mixed = mix(x, self.levels[slots[4]], self.levels[slots[3]], self.weights, data.place[:n])
             cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
             total[:n] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
         return np.bincount(data.owner, total, len(tokens))
@@ -500,7 +513,7 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
     """
     spark = docs.sparkSession
     given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{held_out}`").alias("held_out"), F.col(f"`{text}`").alias("text"))
-    training = given.where("NOT held_out").select("text")
+    training = given.where("NOT held_out").select("doc_id", "text")
     counts, raw = count_words(training)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = int(raw[END[0]])  # one per training row
@@ -508,7 +521,7 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
     code, length = prefix_code(raw)
     # Written, so that a lost executor does not repeat the learning; its size is that of the model.
     sizes = table_sizes(distinct_keys(training, code, length))
-    learned = materialize(learn_counts(training, code, length, sizes), "lm-counts")
+    learned = materialize(learn_counts(training, code, length, sizes, max(1, -(-int(raw.sum()) // SHARD))), "lm-counts")
     scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length, sizes)
     model = spark.sparkContext.broadcast((scorer, common_words(counts, frequent)))
     size = n + (v + 1)  # add-one smoothing over the known tokens and one unknown

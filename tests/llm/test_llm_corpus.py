@@ -260,6 +260,25 @@ def test_tables_grow_with_the_distinct_contexts(spark):
     assert len(slots) / len(exact[4]) == pytest.approx((1 - math.exp(-load)) / load, rel=0.02)
 
 
+def test_scores_do_not_depend_on_partitions_or_batches(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", (id_bucket("doc_id", 7) == 2).alias("held_out"))
+    found = []
+    for n, rows in ((1, 10_000), (5, 7)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        found.append({r.doc_id: r.score for r in lm.score_texts(docs.repartition(n), "held_out").collect()})
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1]
+
+
+def test_the_first_chunk_moves_weights_and_refinement():
+    learner = lm.Learner(*lm.prefix_code(np.arange(256)))
+    learner.learn([b"the cat sat on the mat"])
+    n_bits = int(learner.counts[: lm.BLOCK].sum())
+    assert learner.apm.sum() == n_bits > 0 and (learner.weights != lm.first_weights()).any()
+    learner.learn([b"the dog"])
+    assert learner.apm.sum() == learner.counts[: lm.BLOCK].sum() > n_bits
+
+
 def test_prefix_codes_are_complete():
     code, length = lm.prefix_code(np.arange(256) ** 3)
     assert sum(2.0**-n for n in length.tolist()) == 1.0
