@@ -1,11 +1,12 @@
 """Secrets in texts: fixed patterns, and values that would be hard to guess.
 
 The base patterns find assignments to a known name, access keys and long hex
-runs. Beyond them, any value that stands behind a credential-like name is
+runs. Beyond them, every value that stands behind a credential-like name is
 priced by dynamic programming: the cheapest way to write it as words, dates,
 repeats, keyboard walks and brute-force spans, in decimal digits of guesses. A
 value that costs ``min_digits`` or more is a secret; placeholders are cheap and
-stay, and so do values without a mix of characters, which may be any word.
+stay. Words are ranked by how often the corpus has them outside such values, so
+ordinary words stay too. A quoted value goes up to its closing quote.
 
 Nulls count as empty texts; an empty text has no spans. Positions are code
 points, end exclusive. Every row gives one row; long texts are searched whole.
@@ -15,13 +16,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from math import inf, log10
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.llm.common import append_columns, fresh, texts_of
+from panelwright.llm.common import append_columns, fresh, map_batches, texts_of
+from panelwright.llm.lm import common_words
+from panelwright.session import materialize
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -30,13 +36,19 @@ _assign = re.compile(
 )
 _access = re.compile(r"AKIA[A-Z0-9]+")
 _hex = re.compile(r"[0-9a-f]{24,}")
-#: Names of credentials in a wider sense, a separator, and a value with or without quotes.
-_context = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth)[_-]?key|bearer)"""
-    r"""[A-Za-z0-9_-]{0,40}["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*"""
-    r"""(?:"([^"\s]+)"|'([^'\s]+)'|([^\s"',;]*[^\s"',;:.!?]))""",
-    re.I | re.A,
+#: Names of credentials in a wider sense.
+_name = re.compile(
+    r"""pass(?:word|wd|phrase|code)?|pwd|secret|token|credential|(?:api|access|private|auth)[_-]?key|bearer""", re.I | re.A
 )
+#: A whole name and a separator; the value is matched behind it.
+_head = re.compile(
+    r"""(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)(?:["']?[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|(?<=bearer)[\x20\t]++)""", re.I | re.A
+)
+#: A value with or without quotes.
+_value = re.compile(
+    r""""((?:[^"\\\r\n]|\\[^\r\n])+)"|'((?:[^'\\\r\n]|\\[^\r\n])+)'|["']?([^\s"',;]*[^\s"',;:.!?])""", re.A
+)
+_letters = re.compile(r"[^\W\d_]{3,24}")
 #: One of these is in every text that a pattern with a name can match.
 _hints = ("pass", "pwd", "secret", "token", "credential", "key", "bearer")
 
@@ -69,15 +81,15 @@ def brute_force(char: str) -> float:
     return log10(33)
 
 
-def segments_ending(value: str, end: int) -> list[tuple[int, float]]:
+def segments_ending(value: str, end: int, ranks: dict[str, int] = RANK) -> list[tuple[int, float]]:
     """(start, digits of guesses) of every segment of ``value[:end]`` up to its end."""
     found = [(end - 1, brute_force(value[end - 1]))]
     lower = value.lower() if len(value.lower()) == len(value) else value
     plain = lower.translate(LEET)
-    for start in range(max(0, end - LONGEST), end - 1):
-        rank = RANK.get(lower[start:end])
+    for start in range(max(0, end - max(LONGEST, 24)), end - 1):
+        rank = ranks.get(lower[start:end])
         leet = 0.0 if rank else 0.3
-        rank = rank or RANK.get(plain[start:end])
+        rank = rank or ranks.get(plain[start:end])
         if rank:
             case = 0.0 if value[start:end] == lower[start:end] else 0.6
             found.append((start, SEGMENT + log10(rank + 1) + leet + case))
@@ -101,11 +113,11 @@ def segments_ending(value: str, end: int) -> list[tuple[int, float]]:
     return found
 
 
-def guess_digits(value: str) -> float:
+def guess_digits(value: str, ranks: dict[str, int] = RANK) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs."""
     best = [0.0] + [inf] * len(value)
     for end in range(1, len(value) + 1):
-        best[end] = min(best[start] + cost for start, cost in segments_ending(value, end))
+        best[end] = min(best[start] + cost for start, cost in segments_ending(value, end, ranks))
     return best[-1]
 
 
@@ -121,32 +133,64 @@ def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
     return sorted(spans)
 
 
-def mixed(value: str) -> bool:
-    """Whether a value has two of: letters, digits, signs, capitals behind the first letter."""
-    return (
-        any(c.isalpha() for c in value) + any(c.isdigit() for c in value) + any(not c.isalnum() for c in value)
-        + (value[1:] != value[1:].lower() and value != value.upper())
-    ) >= 2
+def values(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each value in a credential context."""
+    lower = text.lower()
+    if not any(h in lower for h in _hints):
+        return
+    for m in _head.finditer(text):
+        if _name.search(m[1]) and (found := _value.match(text, m.end())):
+            yield found.span(found.lastindex)
 
 
-def guessed_spans(text: str, base: list, min_digits: float, min_length: int = 6) -> list:
+def guessed_spans(text: str, base: list, min_digits: float, min_length: int = 6, ranks: dict[str, int] = RANK) -> list:
     """Values in credential contexts that are hard to guess and not in a base span."""
-    lower = text.lower()
-    if not any(h in lower for h in _hints):
-        return []
-    spans = []
-    for m in _context.finditer(text):
-        start, end = m.span(m.lastindex)
-        if end - start < min_length or any(b[3] <= start and end <= b[4] for b in base):
+    spans, last = [], -1
+    for start, end in values(text):
+        if end - start < min_length or end <= last or any(b[3] <= start and end <= b[4] for b in base):
             continue
-        if mixed(text[start:end]) and guess_digits(text[start:end]) >= min_digits:
+        if guess_digits(text[start:end], ranks) >= min_digits:
             spans.append((start, 3, end, start, end))
+            last = end
     return spans
 
 
-def find_spans(text: str, min_digits: float) -> list:
+def find_spans(text: str, min_digits: float, ranks: dict[str, int] = RANK) -> list:
     base = base_spans(text)
-    return sorted(base + guessed_spans(text, base, min_digits))
+    return sorted(base + guessed_spans(text, base, min_digits, ranks=ranks))
+
+
+def word_ranks(docs: DataFrame, text: str = "text", most: int = 200_000, flush: int = 200_000) -> dict[str, int]:
+    """Ranks of ``WORDS`` and of the commonest words of all texts, at most ``most`` of them.
+
+    Words in credential values do not count, and neither do those that occur once.
+    A task adds up before the shuffle and holds about ``flush`` words.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(times):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(times), pa.string()), pa.array(list(times.values()), pa.int64())], names=["word", "c"]
+            )
+
+        times: Counter = Counter()
+        for batch in batches:
+            for t in texts_of(batch.column("text")):
+                at, parts = 0, []
+                for start, end in values(t):
+                    parts.append(t[at:start])
+                    at = max(at, end)
+                times.update(_letters.findall(" ".join([*parts, t[at:]]).lower()))
+                if len(times) > flush:
+                    yield out(times)
+                    times = Counter()
+        yield out(times)
+
+    parts = map_batches(docs.select(F.col(f"`{text}`").alias("text")), run, "word string, c bigint")
+    counts = materialize(parts.groupBy("word").agg(F.sum("c").alias("c")).where("c > 1"), "secret-words")
+    found = sorted(common_words(counts, most).items(), key=lambda x: (-x[1], x[0]))
+    ranks = {w: i + 1 for i, (w, _) in enumerate(found)}
+    return ranks | {w: min(r, ranks.get(w, r)) for w, r in RANK.items()}
 
 
 def written(spans: list) -> str:
@@ -155,11 +199,12 @@ def written(spans: list) -> str:
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", min_digits: float = 8.0) -> DataFrame:
     """``keep``, n_assign, n_access, n_hex, base_sha256, spans, n_guess."""
+    words = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
 
     def run(column):
         rows = []
         for t in texts_of(column):
-            spans = find_spans(t, min_digits)
+            spans = find_spans(t, min_digits, words.value)
             base = [s for s in spans if s[1] < 3]
             counts = [sum(1 for s in spans if s[1] == k) for k in range(4)]
             digest = hashlib.sha256(written(base).encode()).hexdigest()
@@ -171,10 +216,10 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text", min_digits: float
     return append_columns(docs, run, fields, [text], keep)
 
 
-def redact_text(text: str, min_digits: float, mark: str) -> str:
+def redact_text(text: str, min_digits: float, mark: str, ranks: dict[str, int] = RANK) -> str:
     """``text`` with each secret replaced; overlapping ones become one mark."""
     out, at, last = [], 0, -1
-    for start, end in sorted((s[3], s[4]) for s in find_spans(text, min_digits)):
+    for start, end in sorted((s[3], s[4]) for s in find_spans(text, min_digits, ranks)):
         if start > last:
             out += (text[at:start], mark)
         at = last = max(last, end)
@@ -184,9 +229,10 @@ def redact_text(text: str, min_digits: float, mark: str) -> str:
 def redact(docs: DataFrame, text: str = "text", min_digits: float = 8.0, mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns of ``docs`` with the secrets in ``text`` replaced; null stays null."""
     clean = fresh(docs, "clean")
+    words = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
 
     def run(column):
-        return [[None if t is None else redact_text(t, min_digits, mark) for t in column.to_pylist()]]
+        return [[None if t is None else redact_text(t, min_digits, mark, words.value) for t in column.to_pylist()]]
 
     out = append_columns(docs, run, [(clean, "string")], [text], [c for c in docs.columns if c != text])
     kept = {f.name: f.dataType for f in docs.schema}

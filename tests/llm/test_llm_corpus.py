@@ -116,6 +116,27 @@ def test_added_spans_and_clean_texts():
     assert credentials.redact_text("nothing", 8.0, "[X]") == "nothing"
 
 
+@pytest.mark.parametrize("text, secret", [
+    ("pwd=jqxvkzwpbtnrhgmd", "jqxvkzwpbtnrhgmd"), ("access_key: QXJVKZWPBTNRHGMD", "QXJVKZWPBTNRHGMD"), ("pwd: 83920174650192", "83920174650192"),
+    ('passphrase = "correct horse battery staple"', "correct horse battery staple"),
+    ('pwd = "a \\" xK9#mQ2$vL"', 'a \\" xK9#mQ2$vL'), ("pwd = 'xK9#mQ2$vL", "xK9#mQ2$vL"),
+    ("Authorization: Bearer xK9mQ2vLp0Zr", "xK9mQ2vLp0Zr"), ("a: pwd_" + "x" * 90 + "=xK9mQ2vLp0Zr", "xK9mQ2vLp0Zr"),
+])
+def test_every_value_in_a_context_is_priced(text, secret):
+    assert [text[s[0] : s[2]] for s in credentials.find_spans(text, 8.0) if s[1] == 3] == [secret]
+
+
+def test_long_runs_of_names_are_read_once():
+    assert credentials.find_spans("pass" * 200_000, 8.0) == []
+
+
+def test_words_of_the_corpus_are_cheap(spark):
+    texts = ["an unforgettable evening", "unforgettable", "pwd: unforgettable", "pwd: jqxvkzwpbtnrhgmd", "pwd: jqxvkzwpbtnrhgmd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.n_guess for r in sorted(credentials.scan(docs, ["doc_id"]).collect())] == [0, 0, 0, 1, 1]
+    assert [r.text for r in sorted(credentials.redact(docs).collect())][2:] == [texts[2], "pwd: [SECRET]", "pwd: [SECRET]"]
+
+
 def test_secrets_of_odd_rows(spark):
     extra = [(20, "token = " + "ab12cd34" * 5, "en", "a", 48), (21, "password=x9 " * 3000 + "password=" + "y" * 20000, "en", "a", 1)]
     docs = documents(spark, [*ROWS, *extra])
