@@ -649,6 +649,20 @@ def random_search(spark, folder):
     return _search(spark, folder, 2).search_results
 
 
+@query
+def stack_defaults(spark, folder):
+    """A22 with every model setting at its default, over all training rows; takes long."""
+    cells = wl.spend_matrix(spark, folder, labelled=False)
+    t = train(cells, wl.customers(spark, folder), wl.MODEL_PREPROCESS, wl.MODEL_SELECT, EnsembleConfig())
+    return t.stack.evaluate(t.test)[0]
+
+
+@query
+def search_defaults(spark, folder):
+    """M7 with all default trials and folds, draws of the real ranges; takes long."""
+    return StackedEnsemble(EnsembleConfig()).tune(trained(spark, folder).train).search_results
+
+
 # -- attribution --------------------------------------------------------
 
 

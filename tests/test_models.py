@@ -158,6 +158,33 @@ def test_importances(model):
         model.stack.importances(names[:-1])
 
 
+def test_one_fit_and_one_search_are_at_the_defaults(monkeypatch):
+    from types import SimpleNamespace
+
+    from panelwright.plans import catalog
+
+    seen = []
+
+    class Stack:
+        def __init__(self, config):
+            seen.append(config)
+
+        def tune(self, rows, trials=None, draws=None):
+            seen.append((rows, trials, draws))
+            return SimpleNamespace(search_results="results")
+
+        def evaluate(self, rows):
+            return rows, None, None
+
+    monkeypatch.setattr(catalog, "StackedEnsemble", Stack)
+    monkeypatch.setattr(catalog, "train", lambda *a: SimpleNamespace(stack=Stack(a[4]), test="test", train="train"))
+    monkeypatch.setattr(catalog, "trained", lambda *a: SimpleNamespace(train="train"))
+    monkeypatch.setattr(catalog.wl, "spend_matrix", lambda *a, **b: None)
+    monkeypatch.setattr(catalog.wl, "customers", lambda *a: None)
+    assert catalog.QUERIES["stack_defaults"](None, "") == "test" and catalog.QUERIES["search_defaults"](None, "") == "results"
+    assert seen == [EnsembleConfig(), EnsembleConfig(), ("train", None, None)]
+
+
 def test_search_draws_stay_in_range_and_repeat():
     draws = draw_settings(EnsembleConfig(), 40)
     assert draws == draw_settings(EnsembleConfig(), 40)
