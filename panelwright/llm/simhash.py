@@ -5,9 +5,9 @@ A fingerprint has eight bytes. Two that differ in at most d bits share at least
 A posting list per single byte would hold a 256th of all fingerprints, and
 tallying within it would grow with the square of the input; so the lists are
 kept per combination of 8 - d positions, which is where a pair reaches the
-minimum. Within a list the shared bytes of a pair are tallied, the pair is
-retained in the list of its first shared positions only, and verified by its
-bit distance.
+minimum. In lists of up to ``list_limit`` members the shared bytes of a pair are
+tallied first, a pair is retained in the list of its first shared positions
+only, and what is retained is verified by its bit distance.
 
 Rules: words have A-Z in lower case; a null text has no words and the
 fingerprint zero, which links like any other; equal texts share a fingerprint
@@ -76,22 +76,19 @@ def _links_in_lists(masks: list[int], distance: int, limit: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("large", pa.bool_())])
     sizes = np.array(masks, dtype=np.uint64)
 
-    def first_mask(same: np.ndarray) -> np.ndarray:
-        """The first mask that lies within each set of shared positions."""
-        at = np.full(same.shape, len(masks))
-        for i in reversed(range(len(masks))):
-            at[(same & sizes[i]) == sizes[i]] = i
-        return at
+    # The first mask within each set of shared bytes, a bit per position.
+    within = np.array([sum(1 << p for p in range(8) if m >> 8 * p & 0xFF) for m in masks])
+    sets = np.arange(256)[:, None]
+    inside = (sets & within) == within
+    first_mask = np.where(inside.any(axis=1), inside.argmax(axis=1), len(masks))
 
     def verified(x, y, mask):
+        """Which pairs to link: shared bytes are tallied, a pair is retained in the
+        list of its first shared positions, then verified."""
         differ = x ^ y
-        near = np.flatnonzero(np.bitwise_count(differ) <= distance)
-        differ = differ[near]
-        same = np.zeros(len(near), dtype=np.uint64)
-        for p in range(8):
-            byte = np.uint64(0xFF << 8 * p)
-            same |= np.where(differ & byte == 0, byte, np.uint64(0))
-        return near[first_mask(same) == mask[near]]
+        equal = differ.view(np.uint8).reshape(-1, 8) == 0
+        kept = np.flatnonzero(first_mask[np.packbits(equal, axis=1, bitorder="little")[:, 0]] == mask)
+        return kept[np.bitwise_count(differ[kept]) <= distance]
 
     def lists(mask, fp, starts, stops):
         """The lists of two members or more that are not large, side by side."""
@@ -114,11 +111,11 @@ def _links_in_lists(masks: list[int], distance: int, limit: int):
             a.append(fp[ok])
             b.append(fp[ok + shift])
         for s, e in zip(starts[length > 16].tolist(), stops[length > 16].tolist()):
-            own = fp[s:e]
+            own, listed = fp[s:e], mask[s]
             root = np.arange(e - s)
             # A spanning forest: each fingerprint that is still apart is linked to an earlier one.
             for i in range(1, e - s):
-                j = np.flatnonzero(np.bitwise_count(own[:i] ^ own[i]) <= distance)
+                j = verified(own[:i], own[i], listed)
                 near = np.unique(root[j])
                 if len(near):
                     a.append(own[near])

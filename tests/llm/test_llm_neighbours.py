@@ -76,6 +76,17 @@ def test_near_pairs_are_not_emitted_for_all_of_a_large_list(spark):
     assert len({r.root for r in simhash.components(links).collect()}) == 1
 
 
+@pytest.mark.parametrize("size", [5, 20, 200])
+def test_lists_of_every_size_retain_a_pair_in_its_first_list(size):
+    masks = simhash.position_masks(4)
+    fp = np.uint64(0x0123456789ABCD00) + np.arange(size, dtype=np.uint64)  # share all bytes but the first
+    first = next(i for i, m in enumerate(masks) if not m & 0xFF)
+    for at in (first, len(masks) - 1):
+        batch = simhash.pa.RecordBatch.from_arrays([simhash.pa.array(np.full(size, at)), simhash.pa.array(fp.view(np.int64))], names=["mask", "fp"])
+        links = [(r["a"], r["b"]) for b in simhash._links_in_lists(masks, 4, 2048)([batch]) for r in b.to_pylist()]
+        assert len({x for pair in links for x in pair}) == (size if at == first else 0)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     near = GOOD * 30
     rows = [*ROWS, (30, near, "en", "a", 1), (31, near + " tail", "en", "a", 1), (32, near.upper(), "en", "b", 1), (None, None, None, None, None)]
