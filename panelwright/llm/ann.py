@@ -133,7 +133,7 @@ def search(
     rows that the rotation and the radius are learned from.
     """
     vectors = clean_vectors(rows, vec_id, embedding)
-    sample = vectors.orderBy(F.md5(F.col("row_no").cast("string"))).limit(sample_rows).select("x").toPandas()
+    sample = vectors.orderBy(F.xxhash64("vec_id", "x")).limit(sample_rows).select("x").toPandas()
     n = vectors.count()
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -154,7 +154,7 @@ def search(
 
 def _top(found: DataFrame, k: int) -> DataFrame:
     """The k nearest of the few that each block has found per query."""
-    order = Window.partitionBy("query_no").orderBy("score", "vec_id", "row_no")
+    order = Window.partitionBy("query_no").orderBy("score", F.asc_nulls_last("vec_id"), "row_no")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 

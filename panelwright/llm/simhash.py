@@ -251,15 +251,16 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4,
     list_limit: int = 2048, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, ``carry``, fp, component_id (smallest id reachable) of every row."""
+    """doc_id, ``carry``, fp, root (one fingerprint per component), component_id (smallest
+    id reachable, null if all ids are) of every row."""
     named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), *carry)
     rows = materialize(fingerprints(named, ["doc_id", *carry], "text", shingle), "simhash-rows")
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
     roots = components(near_pairs(prints, distance, list_limit))
     placed = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named_roots = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = placed.join(named_roots, "root").select("fp", "component_id")
-    return rows.join(placed, "fp").select("doc_id", *carry, "fp", "component_id")
+    placed = placed.join(named_roots, "root").select("fp", "root", "component_id")
+    return rows.join(placed, "fp").select("doc_id", *carry, "fp", "root", "component_id")
 
 
 def hex_digits(fp: str) -> Column:
@@ -268,10 +269,12 @@ def hex_digits(fp: str) -> Column:
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the
-    smallest id, and of rows that share it the first read."""
+    smallest id, and of rows that share it the first read. Components are told apart by
+    their fingerprints, so unlike texts stay even where ids are null or repeat; a
+    component with null ids only keeps its first row."""
     key = fresh(docs, "row_no")
     numbered = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-documents")
     found = near_duplicates(numbered, doc_id, text, carry=(key,), **options)
     # Two aggregates with partial sums; a component may hold a large share of all rows.
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min(key).alias(key))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(key).alias(key))
     return numbered.join(first.select(key), key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -233,3 +233,11 @@ def test_run_is_the_stages_in_order(spark):
     digest = hashlib.sha256(str(sorted((r.doc_id, r.n_tokens) for r in rows)).encode()).hexdigest()
     again = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert digest == hashlib.sha256(str(sorted((r.doc_id, r.n_tokens) for r in again)).encode()).hexdigest()
+
+
+def test_one_of_each_keeps_unlike_rows_that_share_an_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (7, texts[4]), (3, texts[4]), (None, texts[4]), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(kept, key=lambda r: r[1]) == [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (3, texts[4])]
