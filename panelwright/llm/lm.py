@@ -195,7 +195,7 @@ class Learner:
             seen.append((slots, y))
         for slots, y in seen:
             for slot in slots:
-                np.add.at(self.counts.reshape(-1), slot * 2 + y, 1)
+                np.add.at(self.counts.reshape(-1), slot * 2 + y, np.int32(1))  # of the table's type: numpy's fast way
         self.chunks += 1
 
     def _step(self, slots: list[np.ndarray], y, place, rate: float) -> None:
