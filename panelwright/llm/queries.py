@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import ann, bpe, chat, credentials, language, lm, mixing, quality, simhash, token_counts
+from panelwright.llm import ann, bpe, chat, credentials, idfiles, language, lm, mixing, quality, simhash, token_counts
 from panelwright.llm.common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,10 @@ def op10_nearest_neighbours(spark, folder):
     """The ten nearest vectors of every hundredth vector."""
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, lambda v: F.pmod(v, F.lit(100)) == 0)
+
+
+@query
+def op11_id_files(spark, folder):
+    """Ids of every document, written to files in order and read back."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return idfiles.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
