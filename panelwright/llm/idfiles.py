@@ -21,16 +21,18 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import byte_letters, id_lists, model_of, read_vocabulary
 from panelwright.llm.common import map_batches
 from panelwright.llm.stretches import Numbers, Pool, cut, joined, runs
-from panelwright.session import new_path
+from panelwright.session import delete_folder, new_path
 
 BLOCK = 1 << 20  # ids of a block, whole documents
 SLICE = 4_000_000  # bytes of texts that are encoded together
@@ -109,28 +111,21 @@ class StretchEncoder:
     def _clear(self) -> None:
         self.ids, self.begin, self.count = Pool(self.kind), Pool(np.int64), Pool(np.int64)
 
-    def _learn(self, names: list[str]) -> None:
-        groups = list(joined(names))
-        order = {n: i for i, n in enumerate(names)}
-        counts = np.zeros(len(names), dtype=np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, dtype=self.kind)]
-        begins = np.zeros(len(names), dtype=np.int64)
-        size = self.ids.size
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, dtype=np.int64)
-            ends = np.cumsum(self.length[ids])
-            want = np.cumsum([len(n.encode()) for n in group])
-            upto = np.searchsorted(ends, want, "right")
-            if len(group) > 1 and not np.array_equal(ends[upto - 1], want):
-                raise ValueError("a token reaches over a cut")
-            own = [order[n] for n in group]
-            counts[own] = np.diff(upto, prepend=0) if len(group) > 1 else len(ids)
-            begins[own] = size + np.concatenate([[0], upto[:-1]])
-            parts.append(ids.astype(self.kind))
-            size += len(ids)
-        self.ids.extend(np.concatenate(parts))
-        self.begin.extend(begins)
-        self.count.extend(counts)
+    def _learn(self, names: pa.Array) -> None:
+        order, texts, _ = joined(names)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.int64, sum(map(len, found)))
+        ends = np.concatenate([[0], np.cumsum(self.length[ids])])
+        want = np.cumsum(pc.binary_length(names).to_numpy()[order])
+        upto = np.searchsorted(ends, want, "right") - 1
+        if not np.array_equal(ends[upto], want):
+            raise ValueError("a token reaches over a cut")
+        begin, count = np.empty(len(names), dtype=np.int64), np.empty(len(names), dtype=np.int64)
+        count[order] = np.diff(upto, prepend=0)
+        begin[order] = self.ids.size + upto - count[order]
+        self.ids.extend(ids.astype(self.kind))
+        self.begin.extend(begin)
+        self.count.extend(count)
 
     def number(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of each stretch of all texts, and where each text ends."""
@@ -145,15 +140,6 @@ class StretchEncoder:
         upto = np.concatenate([[0], np.cumsum(count)])
         return self.ids.data[runs(self.begin.data[number], count)], np.diff(upto[ends])
 
-    def tally(self, texts: pa.Array) -> np.ndarray:
-        """How often each id occurs in the texts."""
-        number, _ = self.number(texts)
-        times = np.bincount(number, minlength=self.numbers.given)
-        met = np.flatnonzero(times)
-        count = self.count.data[met]
-        ids = self.ids.data[runs(self.begin.data[met], count)]
-        return np.bincount(ids, np.repeat(times[met], count), len(self.length)).astype(np.int64)
-
 
 def token_bytes(tokenizer) -> list[bytes]:
     """The bytes of each id of a byte-level vocabulary; added tokens are their text."""
@@ -166,13 +152,11 @@ def token_bytes(tokenizer) -> list[bytes]:
     return out
 
 
-def byte_slices(batch: pa.RecordBatch, text: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about ``limit`` bytes of text, one row at least."""
-    column = batch.column(text)
+def byte_slices(batch: pa.RecordBatch, column_name: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``limit`` bytes in a column, one row at least."""
+    column = batch.column(column_name)
     if not len(column):
         return
-    import pyarrow.compute as pc
-
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())
     start = 0
     while start < len(column):
@@ -185,68 +169,106 @@ def byte_slices(batch: pa.RecordBatch, text: str, limit: int = SLICE) -> Iterato
 # -- writing ------------------------------------------------------------------
 
 
-def rank_table(docs: DataFrame, content, end_id: int) -> np.ndarray:
-    """The id of every rank: all ids of the vocabulary, the commonest in all documents
-    first, ties by id. A task adds up and sends one row per id that it has met."""
+def packed(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Ids of several documents as one binary value each, without an object per document."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * ids.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+
+
+def unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``packed`` and how many each document has."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    return np.frombuffer(raw.tobytes(), dtype=kind), np.diff(ends) // kind.itemsize
+
+
+def encode_rows(docs: DataFrame, content, end_id: int) -> DataFrame:
+    """doc_id, tie, row_no and the ids of every document with ``end_id`` behind them."""
+    given = docs.withColumn("tie", F.xxhash64("text")).withColumn("row_no", F.monotonically_increasing_id())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = model_of(content, StretchEncoder), None
+        encoder = model_of(content, StretchEncoder)
         for batch in batches:
             for part in byte_slices(batch, "text"):
-                found = encoder.tally(part.column("text"))
-                found[end_id] += len(part)
-                total = found if total is None else total + found
-        met = np.flatnonzero(total) if total is not None else np.zeros(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met] if len(met) else met)], names=["id", "c"])
+                ids, counts = encoder.encode(part.column("text"))
+                whole = np.insert(ids, np.cumsum(counts), end_id)
+                columns = [part.column(c) for c in ("doc_id", "tie", "row_no")]
+                yield pa.RecordBatch.from_arrays([*columns, packed(whole, counts + 1)], names=["doc_id", "tie", "row_no", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(given.select("doc_id", "tie", "row_no", "text"), run, f"doc_id {kind}, tie bigint, row_no bigint, ids binary")
+
+
+def ids_by_rank(encoded: DataFrame, size: int, kind: np.dtype) -> np.ndarray:
+    """The id of every rank: all ``size`` ids, the commonest in all documents first, ties
+    by id. A task adds up and sends one row per id that it has met."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(unpacked(batch.column("ids"), kind)[0], minlength=size)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["id", "c"])
 
-    counts = map_batches(docs.select("text"), run, "id bigint, c bigint").groupBy("id").agg(F.sum("c").alias("c"))
+    counts = map_batches(encoded.select("ids"), run, "id bigint, c bigint").groupBy("id").agg(F.sum("c").alias("c"))
     found = counts.toArrow()  # one row per id of the vocabulary at most
-    times = np.zeros(len(model_of(content, StretchEncoder).length), dtype=np.int64)
+    times = np.zeros(size, dtype=np.int64)
     times[found.column("id").to_numpy()] = found.column("c").to_numpy()
-    return np.lexsort((np.arange(len(times)), -times))
+    return np.lexsort((np.arange(size), -times))
 
 
 def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the ids of every document, each with ``end_id`` behind it, to ``folder``.
 
-    ``path`` is a vocabulary of the tokenizers library. Texts are sorted by a range
-    partitioning on (id, hash of the text, row), so neither a common id nor a common
-    row fills one task; ids exist only behind the shuffle and go straight to the files.
+    ``path`` is a vocabulary of the tokenizers library. Texts are encoded once, where
+    they are read, and their ids written beside the tables of this application. Then
+    ids are counted, and sorted by a range partitioning on (document id, hash of the
+    text, row), so that neither a common id nor a common row fills one task.
     """
     spark = docs.sparkSession
     content = read_vocabulary(docs, path)
     given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    ids = rank_table(given, content, end_id)
-    ranks = np.empty(len(ids), dtype=np.int64)
-    ranks[ids] = np.arange(len(ids))
-    spark.createDataFrame(pa.table({"rank": pa.array(np.arange(len(ids))), "id": pa.array(ids)})).coalesce(1).write.parquet(f"{folder}/ranks")
-    shared = spark.sparkContext.broadcast(ranks)
+    encoder = model_of(content, StretchEncoder)
+    size, kind = len(encoder.length), encoder.kind
+    if not 0 <= end_id < size:
+        raise ValueError(f"end_id must be an id of the vocabulary; got {end_id}")
+    scratch = new_path(spark, "id-rows")
+    encoded = encode_rows(given, content, end_id)
+    encoded.write.option("compression", "zstd").parquet(scratch)
+    encoded = spark.read.schema(encoded.schema).parquet(scratch)
+    ids = ids_by_rank(encoded, size, kind)
+    ranks = np.empty(size, dtype=np.int64)
+    ranks[ids] = np.arange(size)
+    table = spark.createDataFrame(pa.table({"rank": pa.array(np.arange(size)), "id": pa.array(ids)}))
+    table.coalesce(1).write.parquet(f"{folder}/ranks")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ["doc_id", "tie", "row_no"]
-    placed = given.withColumn("tie", F.xxhash64("text")).withColumn("row_no", F.monotonically_increasing_id())
-    placed = placed.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    kind = given.schema["doc_id"].dataType.simpleString()
+    placed = encoded.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(F.spark_partition_id().alias("part"), "doc_id", "ids")
+    id_kind = given.schema["doc_id"].dataType
     blocks = map_batches(
-        placed, _blocks(content, shared, end_id, placed.schema["doc_id"].dataType),
-        f"part int, block int, before bigint, n bigint, doc_ids array<{kind}>, sizes array<bigint>, control binary, data binary",
+        placed, _blocks(spark.sparkContext.broadcast(ranks), kind, id_kind),
+        f"part int, block int, before bigint, n bigint, doc_ids array<{id_kind.simpleString()}>, sizes array<bigint>, control binary, data binary",
     )
     blocks.write.option("compression", "zstd").parquet(f"{folder}/ids")
+    delete_folder(spark, scratch)
 
 
-def _blocks(content, shared, end_id: int, id_type):
+def _blocks(shared, kind: np.dtype, id_type):
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = to_arrow_type(id_type)
+    id_kind = to_arrow_type(id_type)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ranks = model_of(content, StretchEncoder), shared.value
+        ranks = shared.value
         codec = Codec(len(ranks))
+        ranks = ranks.astype(codec.kind)
         held, held_ids, held_sizes, size, before, block = [], [], [], 0, 0, 0
 
         def out(part):
             control, data = codec.encode(np.concatenate(held))
-            ids = pa.concat_arrays(held_ids).cast(kind)
-            sizes = pa.array(np.concatenate(held_sizes))
+            ids = pa.concat_arrays(held_ids).cast(id_kind)
+            sizes = pa.array(np.concatenate(held_sizes).astype(np.int64))
             ends = pa.array([0, len(ids)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before]), pa.array([size]),
@@ -257,15 +279,13 @@ def _blocks(content, shared, end_id: int, id_type):
 
         part = 0
         for batch in batches:
-            for some in byte_slices(batch, "text", SLICE // 2):
+            for some in byte_slices(batch, "ids"):
                 part = some.column("part")[0].as_py()
-                ids, counts = encoder.encode(some.column("text"))
-                # The end id behind each document.
-                whole = np.insert(ids.astype(np.int64), np.cumsum(counts), end_id)
-                held.append(ranks[whole].astype(codec.kind))
+                ids, counts = unpacked(some.column("ids"), kind)
+                held.append(ranks[ids])
                 held_ids.append(some.column("doc_id"))
-                held_sizes.append(counts + 1)
-                size += len(whole)
+                held_sizes.append(counts)
+                size += len(ids)
                 if size >= BLOCK:
                     yield out(part)
                     before, block = before + size, block + 1

@@ -8,7 +8,7 @@ stretches than stretches, and only those that are new go to a tokenizer.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -17,51 +17,60 @@ import pyarrow.compute as pc
 
 from panelwright.llm.bpe import SPACES
 
-JOINED = 1 << 14  # characters that go to a tokenizer as one text
+JOINED = 1 << 10  # characters that go to a tokenizer as one text
+BLANKS = pa.array([*sorted(SPACES), ""], pa.string())
 
 
 class Cut(NamedTuple):
     """``names[index[ends[i]:ends[i + 1]]]`` are the stretches of text ``i``."""
 
-    names: list[str]
+    names: pa.Array
     index: np.ndarray
     ends: np.ndarray
 
 
+def flags(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(bool)
+
+
 def cut(texts: pa.Array, lead: bool = False, apart: bool = False) -> Cut:
     """Cut texts before each space that a non-space follows; null is empty.
 
     ``lead`` puts a space before each text. With ``apart`` a cut also needs something
-    else than a space in front of it, so that runs of spaces stay whole.
+    else than a space in front of it, so that runs of spaces stay whole. Names are
+    distinct, and nothing is done word by word in Python but for runs of spaces.
     """
     pieces = pc.split_pattern(pc.fill_null(texts, ""), " ")
     bounds = pieces.offsets.to_numpy().astype(np.int64)
     coded = pieces.flatten().dictionary_encode()
-    piece, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    glued = np.array([not w or w[0] in SPACES for w in words], dtype=bool)[piece]
+    piece, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    glued = flags(pc.is_in(pc.utf8_slice_codeunits(words, 0, 1), value_set=BLANKS))[piece]
     first = np.zeros(len(piece), dtype=bool)
     first[bounds[:-1]] = True
     if apart and len(piece):
-        glued[1:] |= np.array([not w for w in words], dtype=bool)[piece[:-1]]
+        glued[1:] |= flags(pc.equal(words, ""))[piece[:-1]]
     glued[first] = False
     heads = np.flatnonzero(~glued)
     sizes = np.diff(np.append(heads, len(piece)))
     bare = first[heads] if not lead else np.zeros(len(heads), dtype=bool)
-    code = 2 * piece[heads] + bare
     single = sizes == 1
+    # Words behind a space first, then those without one, then runs of spaces.
+    code = piece[heads] + len(words) * bare
     used = np.flatnonzero(np.bincount(code[single], minlength=2 * len(words)))
     place = np.zeros(2 * len(words), dtype=np.int64)
     place[used] = np.arange(len(used))
-    names = [words[c >> 1] if c & 1 else " " + words[c >> 1] for c in used.tolist()]
+    spaced = pc.binary_join_element_wise("", words.take(pa.array(used[used < len(words)])), " ")
+    plain = words.take(pa.array(used[used >= len(words)] - len(words)))
     index = np.zeros(len(heads), dtype=np.int64)
     index[single] = place[code[single]]
     more: dict[str, int] = {}
     for h in np.flatnonzero(~single).tolist():
         a = heads[h]
-        name = " ".join([words[p] for p in piece[a : a + sizes[h]].tolist()])
+        name = " ".join(words.take(pa.array(piece[a : a + sizes[h]])).to_pylist())
         name = name if bare[h] else " " + name
         index[h] = len(used) + more.setdefault(name, len(more))
-    return Cut(names + list(more), index, np.searchsorted(heads, bounds))
+    names = pa.concat_arrays([spaced, plain, pa.array(list(more), pa.string())])
+    return Cut(names, index, np.searchsorted(heads, bounds))
 
 
 def runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -69,24 +78,25 @@ def runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def joined(names: list[str], limit: int = JOINED) -> Iterator[list[str]]:
-    """``names`` in groups whose concatenation is cut again at the same places.
+def joined(names: pa.Array, limit: int = JOINED) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Texts made of several names each, that are cut again at the same places.
 
-    A name that does not begin with a space and a non-space, or ends with a space,
-    stays alone.
+    Returns the order of the names in the texts, the texts, and how many names each
+    has. A name that does not begin with a space and a non-space, or ends with a
+    space, stays alone.
     """
-    group, size = [], 0
-    for name in names:
-        if len(name) < 2 or name[0] != " " or name[1] in SPACES or name[-1] == " ":
-            yield [name]
-            continue
-        group.append(name)
-        size += len(name)
-        if size >= limit:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    alone = flags(pc.is_in(pc.utf8_slice_codeunits(names, 1, 2), value_set=BLANKS))
+    alone |= ~flags(pc.starts_with(names, " ")) | flags(pc.ends_with(names, " "))
+    together = np.flatnonzero(~alone)
+    simple = names.take(pa.array(together))
+    upto = np.cumsum(pc.binary_length(simple).to_numpy()) // limit
+    starts = np.flatnonzero(np.diff(upto, prepend=-1)) if len(upto) else np.zeros(0, dtype=np.int64)
+    bounds = np.append(starts, len(simple)) if len(starts) else np.zeros(1, dtype=np.int64)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), simple), "").to_pylist()
+    lonely = np.flatnonzero(alone)
+    order = np.concatenate([together, lonely])
+    counts = np.concatenate([np.diff(bounds), np.ones(len(lonely), dtype=np.int64)])
+    return order, texts + names.take(pa.array(lonely)).to_pylist(), counts
 
 
 class Pool:
@@ -107,29 +117,26 @@ class Numbers:
     """Numbers of the stretches that a worker has met, with a bound on what it keeps.
 
     ``learn(names)`` is called with the new ones, in the order of their numbers.
-    ``clear`` is called when there are more than ``most`` names or characters of names
-    beyond ``most * 16``; that is tested between batches, so a batch is always whole.
+    ``trim`` forgets all when there are more than ``most`` names, or more than 16 bytes
+    for each of ``most``; it is called between batches, so a batch is always whole.
     """
 
-    def __init__(self, learn: Callable[[list[str]], None], clear: Callable[[], None], most: int = 400_000):
+    def __init__(self, learn: Callable[[pa.Array], None], clear: Callable[[], None], most: int = 1_000_000):
         self.learn, self.clear, self.most = learn, clear, most
-        self.number: dict[str, int] = {}
-        self.held = self.given = 0
-
-    def of(self, names: list[str]) -> np.ndarray:
-        number = self.number
-        new = [n for n in names if n not in number]
-        if new:
-            number.update(zip(new, range(self.given, self.given + len(new))))
-            self.given += len(new)
-            self.held += sum(map(len, new))
+        self.names = pa.array([], pa.string())
+
+    def of(self, names: pa.Array) -> np.ndarray:
+        found = pc.index_in(names, value_set=self.names)
+        fresh = flags(found.is_null())
+        number = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+        if fresh.any():
+            new = names.filter(pa.array(fresh))
+            number[fresh] = len(self.names) + np.arange(len(new))
             self.learn(new)
-        return np.fromiter(map(number.__getitem__, names), np.int64, len(names))
-
-    def trim(self) -> bool:
-        """Forget everything if it has become too much; says whether it did."""
-        if self.given <= self.most and self.held <= 16 * self.most:
-            return False
-        self.number, self.held, self.given = {}, 0, 0
-        self.clear()
-        return True
+            self.names = pa.concat_arrays([self.names, new])
+        return number
+
+    def trim(self) -> None:
+        if len(self.names) > self.most or self.names.nbytes > 16 * self.most:
+            self.names = pa.array([], pa.string())
+            self.clear()
