@@ -92,8 +92,8 @@ def scratch(spark: SparkSession, name: str) -> Iterator[None]:
         delete_folder(spark, path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def materialize(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` once, with ``options`` of the writer, and read it back.
 
     The lineage is cut at files that outlive executors, later passes do not
     recompute it, and Catalyst knows its true size: a join with the result is
@@ -101,7 +101,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
