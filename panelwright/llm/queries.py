@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import ann, bpe, chat, credentials, idfiles, language, lm, mixing, quality, simhash, token_counts
+from panelwright.llm import alignment, ann, bpe, chat, credentials, idfiles, language, lm, mixing, quality, simhash, token_counts
 from panelwright.llm.common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,10 @@ def op11_id_files(spark, folder):
     """Ids of every document, written to files in order and read back."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return idfiles.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op13_tokenizer_alignment(spark, folder):
+    """Tokens of two vocabularies aligned in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
