@@ -134,7 +134,7 @@ class Aligner:
     """Alignment of each stretch that a worker has met: whether tokens give its bytes,
     numbers of tokens, groups and links, groups as text, and its distinct pairs."""
 
-    def __init__(self, vocabularies: Vocabularies, most: int = 300_000):
+    def __init__(self, vocabularies: Vocabularies, most: int = 500_000):
         self.v = vocabularies
         self.wide = len(vocabularies.b_bytes)  # a pair is a * wide + b
         self.numbers = Numbers(self._learn, self._clear, most)

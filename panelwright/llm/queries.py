@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import alignment, ann, bpe, chat, credentials, idfiles, language, lm, mixing, quality, simhash, token_counts
+from panelwright.llm import alignment, ann, bpe, chat, credentials, idfiles, language, lm, mixing, periodic, quality, simhash, token_counts
 from panelwright.llm.common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,10 @@ def op13_tokenizer_alignment(spark, folder):
     """Tokens of two vocabularies aligned in every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    """Periodic runs of words in every document, a tenth of which repeat a pattern by rule."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return periodic.collapse_runs(docs, ["doc_id"], respell=periodic.periodic_copy)
