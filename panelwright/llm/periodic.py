@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import defaultdict
 from collections.abc import Callable
 from itertools import chain
 
@@ -210,8 +211,9 @@ def _narrow(docs, keep, doc_id, text, respell, finish, fields) -> DataFrame:
         nulls, ids = column.is_null().to_pylist(), ids.to_pylist()
         for low, high in slices(texts, CHUNK):
             words = [t.encode().split() for t in texts[low:high]]
-            number: dict[bytes, int] = {}
-            numbers = np.fromiter((number.setdefault(w, len(number)) for w in chain.from_iterable(words)), np.int64, sum(map(len, words)))
+            number: defaultdict[bytes, int] = defaultdict()
+            number.default_factory = number.__len__
+            numbers = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, sum(map(len, words)))
             found = np.split(numbers, np.cumsum([len(w) for w in words])[:-1])
             for i, own in enumerate(words):
                 moved = respell(ids[low + i], len(own)) if respell else None
