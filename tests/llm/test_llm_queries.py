@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_there_is_one_query_per_operator_and_the_pipeline():
     names = driver.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in QUERIES if q.startswith(f"op{n}_")]) == 1
     assert set(QUERIES) | {"pipeline"} <= set(names)
 
