@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import model_of
-from panelwright.llm.common import map_batches
-from panelwright.llm.idfiles import byte_slices, token_bytes
+from panelwright.llm.common import byte_slices, map_batches
+from panelwright.llm.idfiles import token_bytes
 from panelwright.llm.stretches import Numbers, Pool, cut, joined, runs
 from panelwright.session import materialize
 
@@ -306,7 +306,7 @@ def align_blocks(docs: DataFrame, content) -> DataFrame:
             if block is None:
                 # Unique without a shuffle: the number of the first row.
                 name, block = batch.column("row_no")[0].as_py(), Block(aligner)
-            for part in byte_slices(batch, "text", SLICE):
+            for part in byte_slices(batch, ["text"], SLICE):
                 if block is None:
                     name, block = part.column("row_no")[0].as_py(), Block(aligner)
                 block.add(part.column("doc_id"), part.column("text"))

@@ -76,14 +76,19 @@ def merge_ranked(symbols: list[int], rank_of_pair, merged: list[int]) -> list[in
     return [s for s in symbols if s >= 0]
 
 
+LONGEST = 256  # characters of what is remembered
+
+
 class Recent:
     """A bounded memory of computed values: two generations of at most ``size``
-    entries, so that what is used often survives."""
+    entries of at most ``LONGEST`` characters, so that what is used often survives."""
 
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
     def put(self, key, value):
+        if len(key) > LONGEST:  # a text without spaces is one key
+            return value
         if len(self.new) >= self.size:
             self.new, self.old = {}, self.new
         self.new[key] = value

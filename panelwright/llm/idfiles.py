@@ -30,12 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import byte_letters, id_lists, model_of, read_vocabulary
-from panelwright.llm.common import map_batches
+from panelwright.llm.common import byte_slices, map_batches
 from panelwright.llm.stretches import Numbers, Pool, cut, joined, runs
 from panelwright.session import delete_folder, new_path
 
 BLOCK = 1 << 20  # ids of a block, whole documents
-SLICE = 4_000_000  # bytes of texts that are encoded together
 
 
 # -- the code -----------------------------------------------------------------
@@ -152,20 +151,6 @@ def token_bytes(tokenizer) -> list[bytes]:
     return out
 
 
-def byte_slices(batch: pa.RecordBatch, column_name: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about ``limit`` bytes in a column, one row at least."""
-    column = batch.column(column_name)
-    if not len(column):
-        return
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())
-    start = 0
-    while start < len(column):
-        done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 # -- writing ------------------------------------------------------------------
 
 
@@ -190,7 +175,7 @@ def encode_rows(docs: DataFrame, content, end_id: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = model_of(content, StretchEncoder)
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, ["text"]):
                 ids, counts = encoder.encode(part.column("text"))
                 whole = np.insert(ids, np.cumsum(counts), end_id)
                 columns = [part.column(c) for c in ("doc_id", "tie", "row_no")]
@@ -279,7 +264,7 @@ def _blocks(shared, kind: np.dtype, id_type):
 
         part = 0
         for batch in batches:
-            for some in byte_slices(batch, "ids"):
+            for some in byte_slices(batch, ["ids"]):
                 part = some.column("part")[0].as_py()
                 ids, counts = unpacked(some.column("ids"), kind)
                 held.append(ranks[ids])
