@@ -18,7 +18,8 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from math import inf, log10
+from heapq import heappop, heappush
+from math import log10
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,43 +82,99 @@ def brute_force(char: str) -> float:
     return log10(33)
 
 
-def segments_ending(value: str, end: int, ranks: dict[str, int] = RANK) -> list[tuple[int, float]]:
-    """(start, digits of guesses) of every segment of ``value[:end]`` up to its end."""
-    found = [(end - 1, brute_force(value[end - 1]))]
-    lower = value.lower() if len(value.lower()) == len(value) else value
-    plain = lower.translate(LEET)
+class Cheapest:
+    """The cheapest start of a growing segment, at ``price(start) + log10(end - start)``.
+
+    A start that an earlier one beats stays beaten, as the logarithm of the longer
+    segment grows more slowly. What is kept are starts that none beats, each cheaper
+    than the one before, and for each the end from which on the one before beats it.
+    """
+
+    def __init__(self):
+        self.price, self.before, self.after = {}, {}, {}
+        self.last = None
+        self.events: list[tuple[float, int, int]] = []
+
+    def _pair(self, early: int, late: int) -> None:
+        self.before[late], self.after[early] = early, late
+        ratio = 10.0 ** min(self.price[late] - self.price[early], 300.0)
+        if ratio > 1.0:
+            heappush(self.events, ((ratio * late - early) / (ratio - 1.0), late, early))
+
+    def add(self, start: int, price: float, end: int) -> None:
+        """A later start than all before."""
+        if self.last is not None and price + log10(end - start) >= self.cost(end):
+            return
+        self.price[start] = price
+        if self.last is not None:
+            self._pair(self.last, start)
+        self.last = start
+
+    def cost(self, end: int) -> float:
+        while self.events and self.events[0][0] <= end:
+            _, late, early = heappop(self.events)
+            if late not in self.price or self.before.get(late) != early:
+                continue
+            del self.price[late], self.before[late]
+            after = self.after.pop(late, None)
+            self.after.pop(early, None)
+            if after is None:
+                self.last = early
+            else:
+                self._pair(early, after)
+        return self.price[self.last] + log10(end - self.last)
+
+
+def words_ending(value: str, lower: str, plain: str, end: int, ranks: dict[str, int]) -> Iterator[tuple[int, float]]:
+    """(start, digits of guesses) of words and dates up to ``end``."""
     for start in range(max(0, end - max(LONGEST, 24)), end - 1):
         rank = ranks.get(lower[start:end])
         leet = 0.0 if rank else 0.3
         rank = rank or ranks.get(plain[start:end])
         if rank:
             case = 0.0 if value[start:end] == lower[start:end] else 0.6
-            found.append((start, SEGMENT + log10(rank + 1) + leet + case))
+            yield start, SEGMENT + log10(rank + 1) + leet + case
     for size in (4, 8, 10):
         if end >= size and _date.fullmatch(value, end - size, end):
-            found.append((end - size, SEGMENT + (log10(200) if size == 4 else log10(365 * 200))))
-    start = end - 1
-    while start > 0 and end - start < 32 and (lower[start - 1], lower[start]) in NEXT:
-        start -= 1
-        if end - start >= 3:
-            found.append((start, SEGMENT + log10(94 * (end - start))))
-    for unit in range(1, 5):
-        if end < 2 * unit:
-            break
-        times, base = 1, value[end - unit : end]
-        cost = sum(map(brute_force, base))
-        while end - unit * (times + 1) >= 0 and value[end - unit * (times + 1) : end - unit * times] == base and times < 4096:
-            times += 1
-            if unit * times >= 3:
-                found.append((end - unit * times, SEGMENT + cost + log10(times)))
-    return found
+            yield end - size, SEGMENT + (log10(200) if size == 4 else log10(365 * 200))
 
 
 def guess_digits(value: str, ranks: dict[str, int] = RANK) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` needs."""
-    best = [0.0] + [inf] * len(value)
+    """log10 of the guesses that the cheapest segmentation of ``value`` needs.
+
+    Words, dates and single characters have few starts per end. Keyboard walks and
+    repeats of a unit of one to four characters may be of any length; they go on from
+    one end to the next, so a long one costs no more per character than a short one.
+    """
+    lower = value.lower() if len(value.lower()) == len(value) else value
+    plain = lower.translate(LEET)
+    best, char = [0.0], list(map(brute_force, value))
+    walk, walk_from = None, 0
+    run, repeats = [0] * 5, [None] * 5
     for end in range(1, len(value) + 1):
-        best[end] = min(best[start] + cost for start, cost in segments_ending(value, end, ranks))
+        least = best[end - 1] + char[end - 1]
+        for start, cost in words_ending(value, lower, plain, end, ranks):
+            least = min(least, best[start] + cost)
+        if end < 2 or (lower[end - 2], lower[end - 1]) not in NEXT:
+            walk, walk_from = None, end - 1
+        elif end - walk_from >= 3:
+            walk = walk or Cheapest()
+            walk.add(end - 3, best[end - 3], end)
+            least = min(least, SEGMENT + log10(94) + walk.cost(end))
+        for unit in range(1, 5):
+            if end <= unit or value[end - 1] != value[end - 1 - unit]:
+                run[unit], repeats[unit] = 0, None
+                continue
+            run[unit] += 1
+            times = 3 if unit == 1 else 2  # two characters are no repeat
+            if run[unit] >= unit * (times - 1):
+                if repeats[unit] is None:
+                    repeats[unit] = [Cheapest() for _ in range(unit)]
+                starts = repeats[unit][end % unit]
+                starts.add(end - unit * times, best[end - unit * times], end)
+                # Times are characters divided by the unit.
+                least = min(least, SEGMENT + sum(char[end - unit : end]) + starts.cost(end) - log10(unit))
+        best.append(least)
     return best[-1]
 
 

@@ -1,6 +1,7 @@
 """Quality, secrets, languages, scores and mixing on small tables, against brute force."""
 
 import math
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -8,6 +9,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 from edge_cases import GOOD, LONG, ROWS, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelwright.llm import credentials, language, lm, mixing, quality
@@ -91,6 +94,46 @@ def test_base_spans():
     ]
 
 
+def slow_segment(value, a, b, ranks=credentials.RANK):
+    """Digits of guesses of ``value[a:b]`` as one segment, inf if it is none."""
+    part, lower, plain = value[a:b], value.lower()[a:b], value.lower().translate(credentials.LEET)[a:b]
+    costs = [credentials.brute_force(part) if len(part) == 1 else math.inf]
+    if len(part) > 1:
+        for text, leet in ((lower, 0.0), (plain, 0.3)):
+            if text in ranks and not (leet and lower in ranks):
+                costs.append(0.3 + math.log10(ranks[text] + 1) + leet + (0.0 if part == lower else 0.6))
+    if len(part) in (4, 8, 10) and credentials._date.fullmatch(part):
+        costs.append(0.3 + math.log10(200 if len(part) == 4 else 365 * 200))
+    if len(part) >= 3 and all(pair in credentials.NEXT for pair in zip(lower, lower[1:])):
+        costs.append(0.3 + math.log10(94 * len(part)))
+    for unit in range(1, 5):
+        times = len(part) // unit
+        if len(part) >= 3 and times >= 2 and part == part[:unit] * times:
+            costs.append(0.3 + sum(map(credentials.brute_force, part[:unit])) + math.log10(times))
+    return min(costs)
+
+
+def slow_guess(value):
+    best = [0.0]
+    for b in range(1, len(value) + 1):
+        best.append(min(best[a] + slow_segment(value, a, b) for a in range(b)))
+    return best[-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "ab", "abc", "xyzw", "qwertyuiop", "password", "p4ss", "1", "2020", "aab", "Zq"]), st.integers(1, 24)), max_size=4))
+def test_guess_cost_of_walks_and_repeats(parts):
+    value = "".join(text * times for text, times in parts)[:150]
+    assert credentials.guess_digits(value) == pytest.approx(slow_guess(value))
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "qwe", "x9#Q"])
+def test_a_long_repeat_is_quick(unit):
+    start = time.process_time()
+    assert credentials.guess_digits(unit * (100_000 // len(unit))) < 13
+    assert time.process_time() - start < 20
+
+
 @pytest.mark.parametrize("value", ["password1", "Qwerty12", "aaaaab", "2021-05-06x", "Zx9!k2", "abcabc", "p4ss", "19991231"])
 def test_guess_cost_is_the_cheapest_segmentation(value):
     n, best = len(value), math.inf
@@ -98,7 +141,7 @@ def test_guess_cost_is_the_cheapest_segmentation(value):
         for cuts in combinations(range(1, n), k):
             cost = 0.0
             for a, b in zip((0, *cuts), (*cuts, n)):
-                cost += min([c for s, c in credentials.segments_ending(value, b) if s == a], default=math.inf)
+                cost += slow_segment(value, a, b)
             best = min(best, cost)
     assert credentials.guess_digits(value) == pytest.approx(best)
 
