@@ -58,9 +58,11 @@ def feature_moments(moments: DataFrame) -> DataFrame:
     parts = moments.withColumn("_shift", F.col("mean") - grand)
     within = F.col("n") * F.col("var_pop")
     between = F.col("n") * F.col("_shift") * F.col("_shift")
+    stored = [c for c in ("n_stored",) if c in moments.columns]  # of a sparse matrix
     total = parts.groupBy("feature").agg(
         F.min("feature_pos").alias("feature_pos"),
         F.sum("n").alias("n"),
+        *[F.sum(c).alias(c) for c in stored],
         F.count("*").alias("n_classes"),
         *[F.sum(mark).alias(mark) for mark in MARKS],
         F.sum("n_missing").alias("n_missing"),
@@ -98,6 +100,7 @@ def feature_moments(moments: DataFrame) -> DataFrame:
         "low",
         "high",
         f_score.alias("f_score"),
+        *stored,
     )
 
 

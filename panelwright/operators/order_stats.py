@@ -17,21 +17,28 @@ CELLS = 4096
 
 
 def medians(
-    values: DataFrame, group: str = "feature", value: str = "x", cells: int = CELLS, map_rows: int = MAP_ROWS
+    values: DataFrame, group: str = "feature", value: str = "x", cells: int = CELLS, map_rows: int = MAP_ROWS,
+    weight: str | None = None, bounds: DataFrame | None = None,
 ) -> DataFrame:
-    """Median by repeated histograms, for groups of any size and any skew."""
-    points = values.select(F.col(group), F.col(value).cast("double").alias("_x")).where("_x is not null")
+    """Median by repeated histograms, for groups of any size and any skew.
+
+    A row counts ``weight`` times, a whole number; null values do not count.
+    ``bounds`` has group, n (all weights), low and high where they are known: a scan less.
+    """
+    points = values.select(
+        F.col(group), F.col(value).cast("double").alias("_x"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w")
+    ).where("_x is not null")
+    if bounds is None:
+        bounds = points.groupBy(group).agg(F.sum("_w").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"))
     # Two wanted ranks per group: the lower and the upper middle row.
-    n = F.col("_n")
+    n = F.col("n")
     wanted = materialize(
-        points.groupBy(group)
-        .agg(F.count("*").alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
-        .select(
+        bounds.select(
             group,
             F.explode(F.array(((n + 1) / 2).cast("bigint"), (n / 2).cast("bigint") + 1)).alias("_rank"),
             n.alias("_rows"),
-            "_low",
-            "_high",
+            F.col("low").cast("double").alias("_low"),
+            F.col("high").cast("double").alias("_high"),
         )
         .select(group, "_rank", F.col("_rank").alias("_left"), "_rows", "_low", "_high")
         .distinct(),
@@ -56,14 +63,14 @@ def _narrow(points: DataFrame, wanted: DataFrame, group: str, cells: int) -> Dat
     counts = (
         _inside(points, wanted, group)
         .groupBy(group, "_rank", "_left", cell.alias("_cell"))
-        .agg(F.count("*").alias("_rows"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+        .agg(F.count("*").alias("_rows"), F.sum("_w").alias("_weight"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
     )
     upto = Window.partitionBy(group, "_rank").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.withColumn("_upto", F.sum("_rows").over(upto))
-        .where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_rows") < F.col("_left")))
+        counts.withColumn("_upto", F.sum("_weight").over(upto))
+        .where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_weight") < F.col("_left")))
         .select(
-            group, "_rank", (F.col("_left") - (F.col("_upto") - F.col("_rows"))).alias("_left"), "_rows", "_low", "_high"
+            group, "_rank", (F.col("_left") - (F.col("_upto") - F.col("_weight"))).alias("_left"), "_rows", "_low", "_high"
         )
     )
 
@@ -74,23 +81,29 @@ def _select(points: DataFrame, wanted: DataFrame, group: str) -> DataFrame:
     counts = (
         _inside(points, wanted.where("_low < _high"), group)
         .groupBy(group, "_rank", "_left", "_x")
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.sum("_w").alias("_weight"))
     )
     upto = Window.partitionBy(group, "_rank").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        counts.withColumn("_upto", F.sum("_rows").over(upto))
-        .where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_rows") < F.col("_left")))
+        counts.withColumn("_upto", F.sum("_weight").over(upto))
+        .where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_weight") < F.col("_left")))
         .select(group, "_rank", "_x")
     )
     return done.unionByName(picked)
 
 
-def mad(values: DataFrame, group: str = "feature", value: str = "x") -> DataFrame:
-    """``(group, median, mad)`` without a consistency factor."""
+def mad(
+    values: DataFrame, group: str = "feature", value: str = "x", weight: str | None = None, bounds: DataFrame | None = None
+) -> DataFrame:
+    """``(group, median, mad)`` without a consistency factor; arguments as of ``medians``."""
     # Written once: one row per group, broadcast only if its files are small.
-    centre = materialize(medians(values, group, value), "medians")
-    away = values.join(centre, group).select(
-        group, F.abs(F.col(value).cast("double") - F.col("median")).alias("away")
-    )
-    spread = medians(away, group, "away").withColumnRenamed("median", "mad")
+    centre = materialize(medians(values, group, value, weight=weight, bounds=bounds), "medians")
+    x, middle = F.col(value).cast("double"), F.col("median")
+    count = (F.col(weight) if weight else F.lit(1)).alias("weight")
+    away = values.join(centre, group).select(group, F.abs(x - middle).alias("away"), count)
+    if bounds is not None:
+        # The median lies between the bounds, so the farthest value is one of them.
+        farthest = F.greatest(F.abs(F.col("high").cast("double") - middle), F.abs(F.col("low").cast("double") - middle))
+        bounds = bounds.join(centre, group).select(group, "n", F.lit(0.0).alias("low"), farthest.alias("high"))
+    spread = medians(away, group, "away", weight="weight", bounds=bounds).withColumnRenamed("median", "mad")
     return centre.join(spread, group)

@@ -26,12 +26,13 @@ from panelwright.operators import align as al
 from panelwright.operators import attribution as at
 from panelwright.operators import checks, evaluate, labels, select, split
 from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
-from panelwright.operators.moments import class_moments, feature_moments, log2_moments
+from panelwright.operators.moments import class_moments, feature_moments
 from panelwright.operators.order_stats import mad, medians
 from panelwright.operators.panel import assemble_panel
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import anova_f, mutual_information
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
+from panelwright.operators.sparse import sparse_anova_f, sparse_moments, weighted_values
 from panelwright.plans import workloads as wl
 from panelwright.plans.screening import FeatureScreen, Preprocessor, Selector
 from panelwright.plans.training import Trained, fold_screens, train
@@ -294,17 +295,16 @@ def log2_values(spark, folder):
 
 @query
 def expressed_fraction(spark, folder):
-    """Default cut on the brand-and-type matrix."""
-    cells = wl.spend_matrix(spark, folder, by_type=True, labelled=False)
-    stats = feature_moments(log2_moments(cells, 1.0, 1.0))
+    """Default cut on the brand-and-type matrix, from its stored cells."""
+    stats = feature_moments(sparse_moments(wl.sparse_spend(spark, folder, by_type=True), log2_shift, 1.0))
     out = stats.select("feature", "frac_expressed", (F.col("frac_expressed") >= 0.2).alias("kept_expr"))
     return rounded(out, "frac_expressed")
 
 
 @query
 def variance_and_scale(spark, folder):
-    """Population moments of log2 values."""
-    stats = feature_moments(log2_moments(wl.spend_matrix(spark, folder)))
+    """Population moments of log2 values, from stored cells."""
+    stats = feature_moments(sparse_moments(wl.sparse_spend(spark, folder), log2_shift))
     out = stats.select("feature", "mean", "var_pop", "std_pop", (F.col("var_pop") > 6.0).alias("kept"))
     return rounded(out, "mean", "var_pop", "std_pop")
 
@@ -319,8 +319,8 @@ def preprocess_values(spark, folder):
 
 @query
 def mad_scores(spark, folder):
-    """A11, T3 on scaled brand values."""
-    screen = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.spend_matrix(spark, folder))
+    """A11, T3 on scaled brand values, from stored cells."""
+    screen = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.sparse_spend(spark, folder))
     return rounded(screen.selector.mad_scores(), "mad")
 
 
@@ -340,9 +340,8 @@ def median_by_counting(spark, folder):
 
 @query
 def anova_f_of_brands(spark, folder):
-    """A12, two classes."""
-    cells = wl.spend_matrix(spark, folder).withColumn("x", log2_shift(F.col("value")))
-    return rounded(anova_f(cells), "score")
+    """A12, two classes, from stored cells."""
+    return rounded(sparse_anova_f(wl.sparse_spend(spark, folder), log2_shift), "score")
 
 
 @query
@@ -390,8 +389,8 @@ def surviving_names(spark, folder):
 
 @query
 def panel_screen(spark, folder):
-    """The panel of the spend matrix."""
-    stats = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.spend_matrix(spark, folder)).stats
+    """The panel of the spend matrix, from stored cells."""
+    stats = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.sparse_spend(spark, folder)).stats
     panel = stats.where("kept_panel").select("feature", "mad", F.col("score").alias("f_score"), "feature_pos")
     placed = ranks(panel, [("f_score", True), ("feature_pos", True)])
     return rounded(placed.select("feature", "mad", "f_score", "rank"), "mad", "f_score")
@@ -419,6 +418,34 @@ def feature_funnel(spark, folder):
     return FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.spend_matrix(spark, folder)).funnel()
 
 
+@query
+def median_of_stored_cells(spark, folder):
+    """Medians and spreads of the brand-and-type matrix, zeros as one weighted point per
+    feature, forced to narrow by histograms."""
+    found = wl.sparse_spend(spark, folder, by_type=True)
+    stats = materialize(feature_moments(sparse_moments(found, log2_shift)), "stats")
+    values = weighted_values(found.cells, stats.select("feature", "n", "n_stored"), log2_shift(F.lit(0.0)), log2_shift(F.col("value")))
+    centre = medians(values, cells=16, map_rows=50, weight="weight", bounds=stats.select("feature", "n", "low", "high"))
+    wide = mad(values, weight="weight").select("feature", "mad")
+    return rounded(centre.join(wide, "feature"), "median", "mad")
+
+
+@query
+def dense_panel_screen(spark, folder):
+    """The same panel from the filled matrix, its samples known."""
+    screen = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT)
+    stats = screen.fit(wl.spend_matrix(spark, folder), wl.customers(spark, folder)).stats
+    return rounded(stats.where("kept_panel").select("feature", "mad", F.col("score").alias("f_score")), "mad", "f_score")
+
+
+@query
+def panel_of_stored_cells(spark, folder):
+    """Scaled values of the panel, zeros filled in for its features alone."""
+    found = wl.sparse_spend(spark, folder)
+    screen = FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(found)
+    return rounded(screen.transform(found).select("sample_id", "feature", "value", "label"), "value")
+
+
 @query
 def screen_train_only(spark, folder):
     """Fitted on the training rows, replayed on the test rows."""

@@ -304,6 +304,13 @@ SELECT sample_id, feature, round(x, 6) AS value FROM vectors JOIN f_scores USING
     "panel_screen": f"""{SCREEN}
 SELECT feature, round(mad, 6) AS mad, round(score, 6) AS f_score,
        row_number() OVER (ORDER BY score DESC, feature_pos DESC) AS rank FROM panel""",
+    "dense_panel_screen": f"{SCREEN} SELECT feature, round(mad, 6) AS mad, round(score, 6) AS f_score FROM panel",
+    "panel_of_stored_cells": f"""{SCREEN}
+SELECT sample_id, feature, round(z, 6) AS value, label FROM scaled WHERE feature IN (SELECT feature FROM panel)""",
+    "median_of_stored_cells": f"""WITH {_spend("p_brand || '/' || p_type")},
+centre AS (SELECT feature, median(x) AS med FROM logged GROUP BY feature)
+SELECT feature, round(any_value(med), 6) AS median, round(median(abs(x - med)), 6) AS mad
+FROM logged JOIN centre USING (feature) GROUP BY feature""",
     "ranked_scores": f"{SCREEN} SELECT feature, round(score, 6) AS score FROM survivors",
     "vector_selector": f"""WITH {VECTORS}, centre AS (SELECT feature, median(x) AS med FROM vectors GROUP BY 1),
 spread AS (

@@ -6,7 +6,7 @@ with it, so only the features that are asked for are ever computed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.config import PreprocessConfig, SelectConfig
@@ -17,7 +17,9 @@ from panelwright.operators.order_stats import mad
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import SCORERS
 from panelwright.operators.select import funnel, keep, surviving_names, top_by_mad, top_by_score
+from panelwright.operators.sparse import SparseMatrix, sparse_moments, weighted_values
 from panelwright.session import materialize
+from panelwright.sources.matrix import densify
 from panelwright.sources.state import read_config, read_table, write_config, write_table
 
 
@@ -36,13 +38,20 @@ class Preprocessor:
         self.n_rows = 0
         self.n_features = 0
 
-    def fit(self, train: DataFrame) -> Preprocessor:
-        require_long(train)
+    def fit(self, train: DataFrame | SparseMatrix, samples: DataFrame | None = None) -> Preprocessor:
+        """Learn from training cells, or from the stored cells of a sparse matrix.
+
+        ``samples`` are the sample ids of a long matrix where they are known; without
+        them they are looked for in the cells.
+        """
         c = self.config
-        stats = materialize(
-            feature_moments(log2_moments(train, c.pseudocount, c.min_expression)), "feature_stats"
-        )
-        samples = sample_marks(train)
+        if isinstance(train, SparseMatrix):
+            moments, samples = sparse_moments(train, self._logged, c.min_expression), train.samples
+        else:
+            require_long(train)
+            moments = log2_moments(train, c.pseudocount, c.min_expression)
+        stats = materialize(feature_moments(moments), "feature_stats")
+        samples = sample_marks(train if samples is None else samples)
         expressed = F.col("frac_expressed") >= c.min_sample_fraction
         variable = expressed & (F.col("var_pop") > c.variance_threshold)
         seen = stats.agg(
@@ -74,6 +83,21 @@ class Preprocessor:
         self.stats = materialize(placed, "feature_stats")
         return self
 
+    def _logged(self, value: Column) -> Column:
+        return log2_shift(value, self.config.pseudocount)
+
+    def _scaled(self, logged: Column) -> Column:
+        return zscore(logged, F.col("mean"), F.col("std_pop"), self.config.with_mean, self.config.with_std)
+
+    def bounds(self, stats: DataFrame) -> DataFrame:
+        """feature, n, and the range of its scaled values: scaling keeps their order."""
+        return stats.select("feature", "n", self._scaled(F.col("low")).alias("low"), self._scaled(F.col("high")).alias("high"))
+
+    def sparse_values(self, matrix: SparseMatrix, stats: DataFrame) -> DataFrame:
+        """(feature, x, weight) of the scaled features in ``stats``, zeros as one point each."""
+        zero = self._scaled(self._logged(F.lit(0.0).cast("float")))
+        return weighted_values(matrix.cells, stats, zero, self._scaled(self._logged(F.col("value"))))
+
     def fitted(self) -> DataFrame:
         if self.stats is None:
             raise RuntimeError("Preprocessor is not fitted: call fit() on the training rows first")
@@ -112,10 +136,8 @@ class Preprocessor:
         require_long(matrix)
         if check:
             self.check(matrix)
-        c = self.config
         used = table.where(F.col(flag)).select("feature", F.col("feature_pos").alias("_pos"), "mean", "std_pop")
-        logged = log2_shift(F.col("value"), c.pseudocount)
-        scaled = zscore(logged, F.col("mean"), F.col("std_pop"), c.with_mean, c.with_std)
+        scaled = self._scaled(self._logged(F.col("value")))
         extra = ["label"] if "label" in matrix.columns else []
         return matrix.join(used, "feature").select(
             "sample_id", "feature", F.col("_pos").alias("feature_pos"), scaled.alias("value"), *extra
@@ -148,12 +170,14 @@ class Selector:
         self.config = config or SelectConfig()
         self.stats: DataFrame | None = None
 
-    def fit(self, scaled: DataFrame, labels: DataFrame | None = None, known: DataFrame | None = None) -> Selector:
+    def fit(
+        self, scaled: DataFrame, labels: DataFrame | None = None, known: DataFrame | None = None, bounds: DataFrame | None = None
+    ) -> Selector:
         """Learn both cuts from scaled training cells.
 
         ``labels`` gives sample_id and label when ``scaled`` has no label.
         ``known`` is the table of a fitted Preprocessor: its F score is used,
-        since scaling does not change it.
+        since scaling does not change it; ``bounds`` are then those of its values.
         """
         require_long(scaled)
         c = self.config
@@ -164,14 +188,38 @@ class Selector:
         if known is None:
             stats = materialize(feature_moments(class_moments(scaled)), "feature_stats")
             stats = materialize(with_positions(stats), "feature_stats")
+            bounds = stats.select("feature", "n", "low", "high")
         else:
             stats = known.where("kept_var")
+        cells = scaled.select("sample_id", "feature", F.col("value").alias("x"), "label")
+        return self._choose(stats, known, cells, bounds, lambda _: cells)
+
+    def fit_sparse(self, matrix: SparseMatrix, preprocessor: Preprocessor) -> Selector:
+        """As ``fit`` on the scaled cells of a sparse matrix, from its stored cells.
+
+        Only the neighbour scorer needs the cells of its features, those that pass the
+        MAD cut, one by one; their zeros are filled in then.
+        """
+        known = preprocessor.fitted()
+        stats = known.where("kept_var")
+        values = preprocessor.sparse_values(matrix, stats)
+
+        def filled(survivors: DataFrame) -> DataFrame:
+            few = survivors.select("feature")
+            dense = densify(matrix.cells.join(few, "feature", "left_semi"), matrix.samples, few)
+            scaled = preprocessor.transform(dense, stats=known, check=False)
+            return scaled.withColumnRenamed("value", "x").join(matrix.samples, "sample_id")
+
+        return self._choose(stats, known, values, preprocessor.bounds(stats), filled, "weight")
+
+    def _choose(self, stats, known, values, bounds, cells_of, weight: str | None = None) -> Selector:
+        """Both cuts, on ``values`` (feature, x and a weight) with known bounds;
+        ``cells_of(survivors)`` gives the cells for a scorer that needs them."""
+        c = self.config
         n_features = stats.count()
         if c.n_mad >= n_features:
             raise ValueError(f"n_mad ({c.n_mad}) must be less than the number of features ({n_features})")
-
-        cells = scaled.select("sample_id", "feature", F.col("value").alias("x"), "label")
-        spread = materialize(mad(cells), "mad")
+        spread = materialize(mad(values, weight=weight, bounds=bounds), "mad")
         # From here on every input is a small written table.
         scored = stats.drop("median", "mad").join(spread, "feature")
         survivors = top_by_mad(scored, c.n_mad)
@@ -179,7 +227,7 @@ class Selector:
             scores = survivors.withColumn("score", F.col("f_score"))
         else:
             survivors = materialize(survivors, "survivors")
-            picked = cells.join(survivors.select("feature"), "feature", "left_semi")
+            picked = cells_of(survivors).join(survivors.select("feature"), "feature", "left_semi")
             scores = materialize(survivors.join(SCORERS[c.scorer](picked, c.seed), "feature"), "scores")
         panel = top_by_score(scores, c.k_best).select("feature", F.lit(True).alias("kept_panel"))
         marks = scores.select("feature", F.lit(True).alias("kept_mad"), "score").join(panel, "feature", "left")
@@ -248,19 +296,30 @@ class FeatureScreen:
         self.selector = Selector(select)
         self._panel: list[tuple[str, float, float]] | None = None
 
-    def fit(self, train: DataFrame) -> FeatureScreen:
+    def fit(self, train: DataFrame | SparseMatrix, samples: DataFrame | None = None) -> FeatureScreen:
+        """``samples`` as of ``Preprocessor.fit``."""
         self._panel = None
-        scaled = self.preprocessor.fit_transform(train)
-        self.selector.fit(scaled, known=self.preprocessor.stats)
+        pre = self.preprocessor.fit(train, samples)
+        if isinstance(train, SparseMatrix):
+            self.selector.fit_sparse(train, pre)
+        else:
+            kept = pre.bounds(pre.fitted().where("kept_var"))
+            self.selector.fit(pre.transform(train, check=False), known=pre.stats, bounds=kept)
         return self
 
     @property
     def stats(self) -> DataFrame:
         return self.selector.fitted()
 
-    def transform(self, matrix: DataFrame, check: bool = True) -> DataFrame:
+    def transform(self, matrix: DataFrame | SparseMatrix, check: bool = True) -> DataFrame:
         """Scaled cells of the panel; no other feature is computed or, on files
-        that are clustered by feature, read."""
+        that are clustered by feature, read. Zeros of a sparse matrix are filled in for
+        the panel alone."""
+        if isinstance(matrix, SparseMatrix):
+            names = F.col("feature").isin([name for name, _, _ in self.panel()])
+            wanted = densify(matrix.cells.where(names), matrix.samples, self.stats.where("kept_panel"))
+            scaled = self.preprocessor.transform(wanted, "kept_panel", self.stats, check=False)
+            return scaled.join(matrix.samples, "sample_id")
         if check:
             self.preprocessor.check(matrix)
         # At most k_best names: they go to the scan as a filter.

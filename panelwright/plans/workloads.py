@@ -1,7 +1,7 @@
 """Matrices and label tables built from the star-schema test tables.
 
 spend: sample = customer, feature = brand (or brand and type), value = quantity
-bought, label = market segment group. embeddings: 64 signed values per vector,
+bought, label = market segment group; filled with zeros, or as stored cells only. embeddings: 64 signed values per vector,
 eight classes.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.config import EnsembleConfig, PreprocessConfig, SelectConfig
+from panelwright.operators.sparse import SparseMatrix
 from panelwright.session import materialize
 from panelwright.sources.matrix import arrays_to_long, densify
 
@@ -74,6 +75,24 @@ def build_spend_matrix(spark: SparkSession, folder: str, by_type: bool = False)
     return materialize(named.select(F.col("c_name").alias("sample_id"), "feature", "value", "label"), "spend")
 
 
+_folded: dict[tuple[str, str, bool], SparseMatrix] = {}
+
+
+def sparse_spend(spark: SparkSession, folder: str, by_type: bool = False) -> SparseMatrix:
+    """The spend matrix as its stored cells, line items added up, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, by_type)
+    if key not in _folded:
+        feature = F.concat_ws("/", "p_brand", "p_type") if by_type else F.col("p_brand")
+        features = table(spark, folder, "part").select(feature.alias("feature")).distinct()
+        names = table(spark, folder, "customer").select(F.col("c_custkey").alias("sample_id"), F.col("c_name").alias("name"))
+        bought = purchases(spark, folder, feature)
+        # Line items are folded by the number of the customer before the name is joined.
+        folded = bought.groupBy("sample_id", "feature").agg(F.sum("value").alias("value")).join(names, "sample_id")
+        cells = folded.select(F.col("name").alias("sample_id"), "feature", "value")
+        _folded[key] = SparseMatrix.of(cells, customers(spark, folder), features)
+    return _folded[key]
+
+
 def embedding_matrix(spark: SparkSession, folder: str) -> DataFrame:
     """``(sample_id, feature, feature_pos, value, label)``."""
     rows = table(spark, folder, "embeddings")
