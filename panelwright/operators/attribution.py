@@ -22,12 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.config import DEEPEST, AttributionConfig
+from panelwright.operators.boosting import BoostedTrees
 from panelwright.operators.ensemble import StackedEnsemble
 from panelwright.operators.split import subsample
 from panelwright.session import materialize, new_path, ship_package
@@ -45,19 +45,16 @@ def node_table(model, spark) -> DataFrame:
     """Nodes of a saved tree ensemble with their training weight (cover) and
     their output on the explained scale.
 
-    Boosted trees explain log-odds of the positive class, which is twice the
-    margin; the forest explains its probability.
+    Boosted trees explain log-odds of the positive class, and their cover is the sum
+    of hessians; the forest explains its probability.
     """
+    if isinstance(model, BoostedTrees):
+        return model.table(spark)
     path = new_path(spark, "model")
     model.save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-    if isinstance(model, GBTClassificationModel):
-        weights = F.array(*[F.lit(2.0 * w) for w in model.treeWeights])
-        output = F.col("prediction") * weights[F.col("treeID")]
-        cover = F.col("impurityStats")[0]
-    else:
-        cover = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
-        output = F.col("impurityStats")[1] / cover / F.lit(float(model.getNumTrees))
+    cover = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    output = F.col("impurityStats")[1] / cover / F.lit(float(model.getNumTrees))
     return nodes.select(
         F.col("treeID").alias("tree"), "id", cover.alias("cover"), output.alias("output"),
         F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
@@ -211,7 +208,7 @@ class TreeAttribution:
         spark = rows.sparkSession
         ship_package(spark)
         c = self.config
-        if self.model.getOrDefault("maxDepth") >= DEEPEST:
+        if not isinstance(self.model, BoostedTrees) and self.model.getOrDefault("maxDepth") >= DEEPEST:
             log.warning("explaining a forest of unlimited depth: work grows with its number of leaves")
         paths = materialize(path_table(node_table(self.model, spark)), "paths")
         self.base_value = float(paths.agg(F.sum("base")).first()[0])

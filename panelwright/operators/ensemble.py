@@ -16,8 +16,6 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
@@ -28,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.config import DEEPEST, EnsembleConfig
+from panelwright.operators.boosting import BoostedTrees, BoosterParams, SecondOrderBooster
 from panelwright.operators.evaluate import classification_report, confusion, evaluate, ranking_metrics
 from panelwright.operators.labels import class_codes, encode
 from panelwright.operators.split import stratified_folds
@@ -47,13 +46,11 @@ def forest(c: EnsembleConfig) -> RandomForestClassifier:
     )
 
 
-def booster(c: EnsembleConfig) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="features", labelCol="code", weightCol="w_gbt", maxIter=c.gbt_rounds, maxDepth=c.gbt_max_depth,
-        stepSize=c.gbt_learning_rate, subsamplingRate=c.gbt_subsample,
-        featureSubsetStrategy="all" if c.gbt_colsample == 1.0 else str(c.gbt_colsample),
-        maxBins=c.max_bins, seed=c.seed,
-    )
+def booster(c: EnsembleConfig) -> SecondOrderBooster:
+    return SecondOrderBooster(BoosterParams(
+        rounds=c.gbt_rounds, depth=c.gbt_max_depth, rate=c.gbt_learning_rate, subsample=c.gbt_subsample,
+        colsample=c.gbt_colsample, bins=min(c.max_bins, 256), seed=c.seed,
+    ))
 
 
 def meta_model(c: EnsembleConfig, n_rows: int) -> LogisticRegression:
@@ -66,6 +63,8 @@ def meta_model(c: EnsembleConfig, n_rows: int) -> LogisticRegression:
 
 def _probability(model, rows: DataFrame, name: str) -> DataFrame:
     """Add P(positive) of a base model as a plain column."""
+    if isinstance(model, BoostedTrees):
+        return model.log_odds(rows, name).withColumn(name, 1.0 / (1.0 + F.exp(-F.col(name))))
     used = model.copy()
     used.setRawPredictionCol(f"_{name}_raw").setProbabilityCol(f"_{name}_p").setPredictionCol(f"_{name}_y")
     out = used.transform(rows)
@@ -126,7 +125,7 @@ class StackedEnsemble:
     def __init__(self, config: EnsembleConfig | None = None) -> None:
         self.config = config or EnsembleConfig()
         self.rf: RandomForestClassificationModel | None = None
-        self.gbt: GBTClassificationModel | None = None
+        self.gbt: BoostedTrees | None = None
         self.meta: LogisticRegressionModel | None = None
         self.classes: list[str] = []
         self.out_of_fold: DataFrame | None = None
@@ -316,7 +315,7 @@ class StackedEnsemble:
     def save(self, path: str) -> None:
         self._fitted()
         self.rf.write().overwrite().save(f"{path}/rf")
-        self.gbt.write().overwrite().save(f"{path}/gbt")
+        self.gbt.save(f"{path}/gbt")
         self.meta.write().overwrite().save(f"{path}/meta")
         write_config(SparkSession.active(), f"{path}/config", self.config, {"classes": self.classes})
 
@@ -326,7 +325,7 @@ class StackedEnsemble:
         out = cls(config)
         out.classes = extra["classes"]
         out.rf = RandomForestClassificationModel.load(f"{path}/rf")
-        out.gbt = GBTClassificationModel.load(f"{path}/gbt")
+        out.gbt = BoostedTrees.load(f"{path}/gbt")
         out.meta = LogisticRegressionModel.load(f"{path}/meta")
         return out
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ from panelwright.functions.scalar import (
 from panelwright.operators import align as al
 from panelwright.operators import attribution as at
 from panelwright.operators import checks, evaluate, labels, select, split
+from panelwright.operators.boosting import BoostedTrees, BoosterParams, SecondOrderBooster
 from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_settings
 from panelwright.operators.moments import class_moments, feature_moments
 from panelwright.operators.order_stats import mad, medians
@@ -589,6 +590,53 @@ def panel_assembly(spark, folder):
     return rounded(out, "value")
 
 
+@query
+def booster_first_round(spark, folder):
+    """M3: the nodes of one round of depth two on nation and balance of the customers,
+    positives twice as heavy."""
+    found = _first_round(spark, folder)
+    nodes = found.table(spark).select("id", "left", "right", "feature", "threshold", "output", "cover")
+    return rounded(nodes, "threshold", "output", "cover")
+
+
+def _customer_rows(spark, folder) -> DataFrame:
+    positive = wl.segment_label() == "pos"
+    x = F.array(F.col("c_nationkey").cast("double"), F.floor(F.col("c_acctbal") / 1000).cast("double"))
+    return wl.table(spark, folder, "customer").select(
+        F.col("c_name").alias("sample_id"), positive.cast("int").alias("code"),
+        F.when(positive, 2.0).otherwise(1.0).alias("w_gbt"), array_to_vector(x).alias("features"),
+    )
+
+
+def _first_round(spark, folder) -> BoostedTrees:
+    params = BoosterParams(rounds=1, depth=2, rate=0.3, subsample=1.0, colsample=1.0)
+    return SecondOrderBooster(params).fit(_customer_rows(spark, folder))
+
+
+@query
+def booster_first_scores(spark, folder):
+    """M3, M6: log-odds of every customer after that round."""
+    scored = _first_round(spark, folder).log_odds(_customer_rows(spark, folder), "log_odds")
+    return rounded(scored.select("sample_id", "log_odds"), "log_odds")
+
+
+@query
+def booster_in_jobs(spark, folder):
+    """M3: the same nodes, histograms by a Spark job per level."""
+    params = BoosterParams(rounds=1, depth=2, rate=0.3, subsample=1.0, colsample=1.0)
+    nodes = SecondOrderBooster(params, task_cells=0).fit(_customer_rows(spark, folder)).table(spark)
+    return rounded(nodes.select("id", "left", "right", "feature", "threshold", "output", "cover"), "threshold", "output", "cover")
+
+
+@query
+def booster_defaults(spark, folder):
+    """M3 with every setting at its default: log-odds of the held-out rows."""
+    t = trained(spark, folder)
+    codes = F.when(F.col("label") == t.stack.classes[1], 1).otherwise(0)
+    model = SecondOrderBooster().fit(t.train.withColumn("code", codes).withColumn("w_gbt", F.lit(1.0)))
+    return model.log_odds(t.test, "log_odds").select("sample_id", "label", "log_odds")
+
+
 @query
 def stack_fold_coverage(spark, folder):
     """Each training row is scored once, by models that did not see it."""

@@ -66,6 +66,50 @@ f_scores AS (
   FROM by_class c JOIN grand USING (feature) GROUP BY feature)"""
 
 
+def _best_split(name: str, source: str) -> str:
+    """The split of the rows in ``source`` with the largest gain, L2 penalty one."""
+    return f"""
+{name}_total AS (SELECT sum(g) AS g, sum(h) AS h FROM {source}),
+{name}_values AS (
+  SELECT feature, v, sum(g) AS g, sum(h) AS h
+  FROM (SELECT 0 AS feature, f0 AS v, g, h FROM {source} UNION ALL SELECT 1, f1, g, h FROM {source}) GROUP BY 1, 2),
+{name}_left AS (
+  SELECT feature, v, sum(g) OVER upto AS gl, sum(h) OVER upto AS hl
+  FROM {name}_values WINDOW upto AS (PARTITION BY feature ORDER BY v)),
+{name}_gain AS (
+  SELECT feature, v, gl, hl, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain
+  FROM {name}_left, {name}_total WHERE hl >= 1 AND h - hl >= 1),
+{name}_split AS (SELECT * FROM {name}_gain WHERE gain > 1e-6 ORDER BY gain DESC, feature, v LIMIT 1)"""
+
+
+def _node(number: str, name: str, first_child: str) -> str:
+    return f"""SELECT {number} AS id, coalesce({first_child}, -1) AS "left", coalesce({first_child} + 1, -1) AS "right",
+  coalesce(feature, -1) AS feature, v AS threshold, -0.3 * t.g / (t.h + 1) AS output, t.h AS cover
+FROM {name}_total t LEFT JOIN {name}_split ON true WHERE t.g IS NOT NULL"""
+
+
+def _leaf(number: str, side: str, name: str) -> str:
+    g, h = ("s.gl", "s.hl") if side == "left" else ("t.g - s.gl", "t.h - s.hl")
+    return f"SELECT {number}, -1, -1, -1, NULL, -0.3 * ({g}) / ({h} + 1), {h} FROM {name}_total t, {name}_split s"
+
+
+BOOSTER = f"""WITH given AS (
+  SELECT c_name, CAST(c_nationkey AS DOUBLE) AS f0, floor(c_acctbal / 1000) AS f1,
+         CASE WHEN {LABEL} = 'pos' THEN -1.0 ELSE 0.5 END::DOUBLE AS g, CASE WHEN {LABEL} = 'pos' THEN 0.5 ELSE 0.25 END::DOUBLE AS h
+  FROM customer),{_best_split('n0', 'given')},
+rows1 AS (SELECT given.* FROM given, n0_split WHERE if(feature = 0, f0, f1) <= v),
+rows2 AS (SELECT given.* FROM given, n0_split WHERE if(feature = 0, f0, f1) > v),{_best_split('n1', 'rows1')},{_best_split('n2', 'rows2')},
+first2 AS (SELECT CASE WHEN count(*) > 0 THEN 5 ELSE 3 END AS id FROM n1_split),
+nodes AS (
+  {_node('0', 'n0', 'CASE WHEN feature IS NOT NULL THEN 1 END')}
+  UNION ALL {_node('1', 'n1', 'CASE WHEN feature IS NOT NULL THEN 3 END')}
+  UNION ALL {_node('2', 'n2', 'CASE WHEN feature IS NOT NULL THEN (SELECT id FROM first2) END')}
+  UNION ALL {_leaf('3', 'left', 'n1')} UNION ALL {_leaf('4', 'right', 'n1')}
+  UNION ALL {_leaf('(SELECT id FROM first2)', 'left', 'n2')} UNION ALL {_leaf('(SELECT id FROM first2) + 1', 'right', 'n2')})"""
+
+BOOSTER_NODES = f"""{BOOSTER}
+SELECT id, "left", "right", feature, round(threshold, 6) AS threshold, round(output, 6) AS output, round(cover, 6) AS cover FROM nodes"""
+
 SCREEN = f"WITH {SPEND}, {_screen('logged', 4, 3)}"
 
 SCORED = f"""WITH scored AS (
@@ -311,6 +355,15 @@ SELECT sample_id, feature, round(z, 6) AS value, label FROM scaled WHERE feature
 centre AS (SELECT feature, median(x) AS med FROM logged GROUP BY feature)
 SELECT feature, round(any_value(med), 6) AS median, round(median(abs(x - med)), 6) AS mad
 FROM logged JOIN centre USING (feature) GROUP BY feature""",
+    "booster_first_round": BOOSTER_NODES,
+    "booster_in_jobs": BOOSTER_NODES,
+    "booster_first_scores": f"""{BOOSTER.replace('WITH given', 'WITH RECURSIVE given', 1)},
+walk AS (
+  SELECT c_name, f0, f1, 0 AS id FROM given
+  UNION ALL
+  SELECT c_name, f0, f1, CASE WHEN if(n.feature = 0, f0, f1) <= n.threshold THEN n."left" ELSE n."right" END
+  FROM walk JOIN nodes n USING (id) WHERE n."left" >= 0)
+SELECT c_name AS sample_id, round(output, 6) AS log_odds FROM walk JOIN nodes USING (id) WHERE "left" < 0""",
     "ranked_scores": f"{SCREEN} SELECT feature, round(score, 6) AS score FROM survivors",
     "vector_selector": f"""WITH {VECTORS}, centre AS (SELECT feature, median(x) AS med FROM vectors GROUP BY 1),
 spread AS (
