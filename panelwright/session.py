@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,14 +107,16 @@ def materialize(df: DataFrame, name: str, **options) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_shipping = Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).parent
-    base = f"{tempfile.mkdtemp(prefix='panelwright-')}/panelwright"
-    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
-    _shipped.add(app)
+    with _shipping:  # models are fitted in parallel threads
+        if app in _shipped:
+            return
+        package = Path(__file__).parent
+        base = f"{tempfile.mkdtemp(prefix='panelwright-')}/panelwright"
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
+        _shipped.add(app)
