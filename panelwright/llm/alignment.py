@@ -24,6 +24,7 @@ empty table gives none. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import pickle
 from collections.abc import Iterable, Iterator
 
@@ -41,8 +42,8 @@ from panelwright.session import materialize
 
 MARK = "▁"  # a space in a piece
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6  # kinds of pieces in a model file
-BLOCK = 8_000_000  # bytes of texts of a block, whole documents
-SLICE = 4_000_000  # bytes of texts that are cut together
+BLOCK = 4_000_000  # bytes of texts of a block, whole documents
+SLICE = 2_000_000  # bytes of texts that are cut together
 
 
 class Vocabularies:
@@ -53,6 +54,8 @@ class Vocabularies:
         from sentencepiece import sentencepiece_model_pb2 as spec
         from tokenizers import Tokenizer
 
+        # Spark runs a task per core; threads of their own would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_str(a_file.decode())
         self.a.no_truncation()
         self.a.no_padding()
@@ -134,7 +137,7 @@ class Aligner:
     """Alignment of each stretch that a worker has met: whether tokens give its bytes,
     numbers of tokens, groups and links, groups as text, and its distinct pairs."""
 
-    def __init__(self, vocabularies: Vocabularies, most: int = 500_000):
+    def __init__(self, vocabularies: Vocabularies, most: int = 250_000):
         self.v = vocabularies
         self.wide = len(vocabularies.b_bytes)  # a pair is a * wide + b
         self.numbers = Numbers(self._learn, self._clear, most)
@@ -163,7 +166,8 @@ class Aligner:
                 border = np.cumsum(sizes[at : at + size])
                 at += size
                 raw = text.encode()
-                if b"".join([self.v.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.v.b_bytes[i] for i in b.tolist()]) != raw:
+                # A is lossless by construction; its length is tested all the same.
+                if a_end[-1] != len(raw) or b"".join([self.v.b_bytes[i] for i in b.tolist()]) != raw:
                     if size > 1:
                         self._alone(names, own, ok, totals, begin, count, written)
                     else:
@@ -237,6 +241,7 @@ class Block:
 
     def __init__(self, aligner: Aligner):
         aligner.numbers.trim()
+        pa.default_memory_pool().release_unused()
         self.aligner, self.bytes = aligner, 0
         self.ids, self.lists, self.hashes = [], [], []
         self.sizes, self.stretches, self.repeats, self.pairs, self.docs = [], [], [], [], []
