@@ -6,7 +6,7 @@ is a row-level expression: no explode, no grouping, so a stream needs no state.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.scalar import class_probabilities, log2_shift, zscore
 from panelwright.operators.ensemble import StackedEnsemble
+from panelwright.operators.tree_tables import NodeStack
 from panelwright.plans.screening import FeatureScreen
 from panelwright.sources.state import exists, read_table, write_table
 
@@ -77,14 +78,14 @@ class ScoringBundle:
     """Everything that scoring needs, loaded once per query."""
 
     screen: FeatureScreen
-    stack: StackedEnsemble
+    stack: StackedEnsemble | NodeStack
     classes: list[str]
     required: list[str]  # every raw feature seen at fit, in input order
     scaled: list[str]  # those that reach the scaler
     panel: list[tuple[str, float, float]]
 
     @classmethod
-    def of(cls, screen: FeatureScreen, stack: StackedEnsemble) -> ScoringBundle:
+    def of(cls, screen: FeatureScreen, stack: StackedEnsemble | NodeStack) -> ScoringBundle:
         stats = screen.stats.orderBy("feature_pos").select("feature", "kept_var").collect()  # one row per feature
         required = [r.feature for r in stats]
         if any(SEPARATOR in name for name in required):
@@ -107,7 +108,12 @@ class ScoringBundle:
         codes = read_table(spark, f"{path}/classes").orderBy("code").limit(3).collect()
         if [r.code for r in codes] != [0, 1]:
             raise RuntimeError(f"scoring needs exactly the classes [0, 1]; found {[r.code for r in codes]}")
-        return cls.of(FeatureScreen.load(spark, f"{path}/screen"), StackedEnsemble.load(spark, f"{path}/ensemble"))
+        kind = NodeStack if exists(spark, f"{path}/ensemble/weights") else StackedEnsemble
+        return cls.of(FeatureScreen.load(spark, f"{path}/screen"), kind.load(spark, f"{path}/ensemble"))
+
+    def as_tables(self, spark: SparkSession) -> ScoringBundle:
+        """The same bundle with its trees as node tables, scored without Python workers."""
+        return self if isinstance(self.stack, NodeStack) else replace(self, stack=NodeStack.of(spark, self.stack))
 
     def triage(self, records: DataFrame) -> DataFrame:
         """Add ``reject_code`` and ``reject_reason``; both null for good records."""

@@ -863,6 +863,60 @@ def attribution_top_by_direction(spark, folder):
 # -- scoring ------------------------------------------------------------
 
 
+def _spend_screen(spark, folder) -> FeatureScreen:
+    return FeatureScreen(wl.SPEND_PREPROCESS, wl.SPEND_SELECT).fit(wl.sparse_spend(spark, folder))
+
+
+@query
+def fixed_stack_predictions(spark, folder):
+    """M4, M6: probabilities and classes of all customers from node tables, on the flagship panel."""
+    found = wl.sparse_spend(spark, folder)
+    screen = _spend_screen(spark, folder)
+    rows = assemble_panel(screen.transform(found), len(screen.panel()))
+    out = wl.fixed_stack(spark).predict(rows)
+    return rounded(out.select("sample_id", "prediction", "p_rf", "p_gbt", F.col("score").alias("p_pos")), "p_rf", "p_gbt", "p_pos")
+
+
+def _fixed_results(scored: DataFrame) -> DataFrame:
+    p = F.col("class_probabilities")
+    return accepted(scored).select(
+        "patient_id", "predicted_status", "risk_probability", p["neg"].alias("p_neg"), p["pos"].alias("p_pos"),
+        F.col("n_genes_received").cast("bigint").alias("n_genes_received"),
+        F.col("n_genes_used_by_model").cast("bigint").alias("n_genes_used_by_model"),
+    )
+
+
+@query
+def fixed_stack_records(spark, folder):
+    """Results of all good records, from a bundle of node tables that was saved and loaded."""
+    path = new_path(spark, "bundle")
+    ScoringBundle.of(_spend_screen(spark, folder), wl.fixed_stack(spark)).save(path)
+    return _fixed_results(ScoringBundle.load(spark, path).score(records(spark, folder)))
+
+
+@query
+def fixed_stack_stream(spark, folder):
+    """The same results from a stream of files."""
+    bundle = ScoringBundle.of(_spend_screen(spark, folder), wl.fixed_stack(spark))
+    path, output, checkpoint = (new_path(spark, n) for n in ("records", "scored", "progress"))
+    records(spark, folder).write.json(path)
+    start_scoring(bundle, read_records(spark, path, 4), output, checkpoint).awaitTermination()
+    return _fixed_results(read_results(spark, output))
+
+
+@query
+def stack_as_tables(spark, folder):
+    """M2-M6: the trained stack as node tables; rows scored, and those that differ from its own predictions."""
+    t = trained(spark, folder)
+    columns = ["sample_id", "prediction", "p_rf", "p_gbt", "score"]
+    own = materialize(t.stack.predict(t.test).select(*columns), "own").alias("o")
+    tables = t.bundle.as_tables(spark).stack.predict(t.test).select(*columns).alias("t")
+    far = [F.abs(F.col(f"o.{c}") - F.col(f"t.{c}")) > 1e-9 for c in columns[2:]]
+    different = far[0] | far[1] | far[2] | (F.col("o.prediction") != F.col("t.prediction"))
+    both = own.join(tables, F.col("o.sample_id") == F.col("t.sample_id"), "full_outer")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.coalesce(different, F.lit(True))).alias("n_different"))
+
+
 @query
 def probability_maps(spark, folder):
     """rounded class probabilities as a map."""

@@ -6,6 +6,8 @@ run on the same tables in DuckDB.
 
 from __future__ import annotations
 
+from panelwright.plans.workloads import FIXED_BOOSTER, FIXED_FOREST, FIXED_WEIGHTS
+
 LABEL = "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'pos' ELSE 'neg' END"
 
 
@@ -261,6 +263,36 @@ signed AS (SELECT feature, feature_pos, avg(x) AS mean_shap, avg(abs(x)) AS mean
 
 FOLDS = """row_number() OVER (PARTITION BY label ORDER BY md5(sample_id || '|fold-42'), sample_id)"""
 
+
+
+def _values(kind: str, nodes: list[tuple]) -> str:
+    return ", ".join(f"('{kind}', {', '.join(map(str, n))})" for n in nodes)
+
+
+# Scaled panel values of each customer in panel order, and the leaf of each fixed tree that they reach.
+FIXED_STACK = f"""{SCREEN.replace('WITH', 'WITH RECURSIVE', 1)},
+given AS (
+  SELECT sample_id, list(z ORDER BY p.feature_pos) AS x FROM scaled s JOIN panel p USING (feature) GROUP BY 1),
+nodes(kind, tree, id, "left", "right", feature, threshold, output) AS (
+  VALUES {_values('rf', FIXED_FOREST)}, {_values('gbt', FIXED_BOOSTER)}),
+walk AS (
+  SELECT sample_id, x, kind, tree, 0 AS id FROM given, (SELECT DISTINCT kind, tree FROM nodes)
+  UNION ALL
+  SELECT sample_id, x, kind, tree, CASE WHEN x[n.feature + 1] <= n.threshold THEN n."left" ELSE n."right" END
+  FROM walk JOIN nodes n USING (kind, tree, id) WHERE n."left" >= 0),
+sums AS (
+  SELECT sample_id, CAST(sum(output) FILTER (kind = 'rf') AS DOUBLE) AS p_rf,
+         1 / (1 + exp(-CAST(sum(output) FILTER (kind = 'gbt') AS DOUBLE))) AS p_gbt
+  FROM walk JOIN nodes USING (kind, tree, id) WHERE "left" < 0 GROUP BY 1),
+scores AS (
+  SELECT *, 1 / (1 + exp(-({FIXED_WEIGHTS[0]} + {FIXED_WEIGHTS[1]} * p_rf + {FIXED_WEIGHTS[2]} * p_gbt))) AS p FROM sums)"""
+
+FIXED_RECORDS = f"""{FIXED_STACK}, {_records()}
+SELECT c_name AS patient_id, CASE WHEN p > 1 - p THEN 'pos' ELSE 'neg' END AS predicted_status,
+       round(p, 6) AS risk_probability, round(1 - p, 6) AS p_neg, round(p, 6) AS p_pos,
+       width + CASE WHEN fault = 5 THEN 1 ELSE 0 END AS n_genes_received, (SELECT count(*) FROM panel) AS n_genes_used_by_model
+FROM faults JOIN scores ON c_name = sample_id WHERE fault IN (5, 99)"""
+
 ORACLES: dict[str, str] = {
     "wide_matrix_scan": f"""WITH {SPEND}
 SELECT feature AS sample_id, sample_id AS feature, round(CAST(value AS DOUBLE), 6) AS value FROM spend""",
@@ -465,6 +497,12 @@ FROM faults WHERE fault NOT IN (5, 99)""",
        CAST(8 AS BIGINT) AS n_model_input_genes, 'neg,pos' AS classes FROM part""",
     "stream_against_batch": f"""WITH {_records()}
 SELECT count(*) AS n_records, CAST(0 AS BIGINT) AS n_different FROM faults""",
+    "fixed_stack_predictions": f"""{FIXED_STACK}
+SELECT sample_id, CASE WHEN p > 1 - p THEN 'pos' ELSE 'neg' END AS prediction, round(p_rf, 6) AS p_rf,
+       round(p_gbt, 6) AS p_gbt, round(p, 6) AS p_pos FROM scores""",
+    "fixed_stack_records": FIXED_RECORDS,
+    "fixed_stack_stream": FIXED_RECORDS,
+    "stack_as_tables": f"""WITH {SPLIT} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM parts WHERE is_test""",
     "incomplete_samples": """WITH bought AS (
   SELECT c_name, p_brand, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import EnsembleConfig, PreprocessConfig, SelectConfig
 from panelwright.operators.sparse import SparseMatrix
+from panelwright.operators.tree_tables import NodeStack
 from panelwright.session import materialize
 from panelwright.sources.matrix import arrays_to_long, densify
 
@@ -25,6 +26,28 @@ MODEL_PREPROCESS = PreprocessConfig(min_expression=1.0, min_sample_fraction=0.2,
 MODEL_SELECT = SelectConfig(n_mad=16, k_best=8)
 MODEL_ENSEMBLE = EnsembleConfig(rf_trees=10, rf_max_depth=5, gbt_rounds=8, gbt_max_depth=3, folds=3, max_bins=32, parallelism=8)
 
+#: A small stack of fixed trees over three features: (tree, id, left, right, feature, threshold, output).
+#: Outputs of the forest add up to a probability, those of the booster to log-odds.
+FIXED_FOREST = [
+    (0, 0, 1, 2, 0, 0.25, 0.0), (0, 1, 3, 4, 1, -0.4, 0.0), (0, 2, -1, -1, -1, 0.0, 0.375),
+    (0, 3, -1, -1, -1, 0.0, 0.0625), (0, 4, 5, 6, 2, 0.65, 0.0), (0, 5, -1, -1, -1, 0.0, 0.25), (0, 6, -1, -1, -1, 0.0, 0.125),
+    (1, 0, 1, 2, 2, -0.15, 0.0), (1, 1, -1, -1, -1, 0.0, 0.4375), (1, 2, 3, 4, 2, 0.85, 0.0),
+    (1, 3, -1, -1, -1, 0.0, 0.03125), (1, 4, -1, -1, -1, 0.0, 0.3125),
+]
+FIXED_BOOSTER = [
+    (0, 0, 1, 2, 1, 0.05, 0.0), (0, 1, 3, 4, 0, -0.75, 0.0), (0, 2, 5, 6, 2, 0.35, 0.0), (0, 3, -1, -1, -1, 0.0, -0.5),
+    (0, 4, -1, -1, -1, 0.0, 0.25), (0, 5, -1, -1, -1, 0.0, 0.75), (0, 6, -1, -1, -1, 0.0, -0.125),
+    (1, 0, -1, -1, -1, 0.0, 0.0625),
+    (2, 0, 1, 2, 0, 0.95, 0.0), (2, 1, -1, -1, -1, 0.0, 0.375), (2, 2, -1, -1, -1, 0.0, -1.0),
+]
+FIXED_WEIGHTS = (-1.25, 1.5, 1.75)  # intercept, forest, booster
+
+
+def fixed_stack(spark: SparkSession) -> NodeStack:
+    schema = "tree int, id int, left int, right int, feature int, threshold double, output double"
+    forest, booster = (spark.createDataFrame(nodes, schema) for nodes in (FIXED_FOREST, FIXED_BOOSTER))
+    return NodeStack(["neg", "pos"], forest, booster, FIXED_WEIGHTS)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
