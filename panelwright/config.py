@@ -60,6 +60,7 @@ class SelectConfig:
     k_best: int = 100
     scorer: str = "anova_f"
     seed: int = 42
+    spread: str = "exact"  # or "sketch": medians whose rank is off by a bounded share
 
     def __post_init__(self) -> None:
         from panelwright.operators.scorers import SCORERS
@@ -68,6 +69,7 @@ class SelectConfig:
             self.n_mad > self.k_best,
             f"n_mad ({self.n_mad}) must exceed k_best ({self.k_best})",
         )
+        _require(self.spread in ("exact", "sketch"), f"spread must be 'exact' or 'sketch'; got {self.spread!r}")
         _require(
             self.scorer in SCORERS,
             f"scorer {self.scorer!r} is not registered; valid: {sorted(SCORERS)}",

@@ -118,6 +118,30 @@ def feature_profile(matrix: DataFrame) -> DataFrame:
     )
 
 
+def distinct_sketches(matrix: DataFrame, bits: int = 12) -> DataFrame:
+    """(feature, sketch) of the distinct values of each feature, missing cells apart.
+
+    Sketches have 2^bits registers at most, an error of about 1.04 / 2^(bits / 2), and are
+    kept as a table: those of later files are merged with it, not counted again.
+    """
+    value = F.col("value")
+    # Zeros of both signs are one value.
+    known = F.when(value.isNotNull() & ~F.isnan(value), F.xxhash64(value + F.lit(0.0).cast(matrix.schema["value"].dataType)))
+    return matrix.groupBy("feature").agg(F.hll_sketch_agg(known, bits).alias("sketch"))
+
+
+def merge_sketches(*tables: DataFrame) -> DataFrame:
+    """Sketches of all tables together."""
+    every = tables[0]
+    for table in tables[1:]:
+        every = every.unionByName(table)
+    return every.groupBy("feature").agg(F.hll_union_agg("sketch", True).alias("sketch"))
+
+
+def distinct_counts(sketches: DataFrame) -> DataFrame:
+    return sketches.select("feature", F.hll_sketch_estimate("sketch").alias("n_distinct"))
+
+
 def profile(matrix: DataFrame, samples: DataFrame) -> DataFrame:
     """Shape, cells, missing cells, size and types, as one row."""
     kind = matrix.schema["value"].dataType.simpleString()

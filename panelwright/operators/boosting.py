@@ -15,7 +15,7 @@ ways to grow it give the same numbers:
 - a whole fit inside one task, where all binned rows are at most ``TASK_CELLS`` bytes;
   histograms of a sibling are then those of the parent less the other's.
 
-Bins come from a mergeable quantile sketch of each feature. Trees are a table of nodes.
+Bins come from a mergeable sketch of each feature that takes the weights of rows in. Trees are a table of nodes.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwright.operators.quantile_sketch import quantiles, sketch
 from panelwright.session import materialize, ship_package
 from panelwright.sources.state import read_table, write_table
 
@@ -61,17 +62,18 @@ class BoosterParams:
 # -- bins -----------------------------------------------------------------------
 
 
-def bin_edges(rows: DataFrame, bins: int, accuracy: int = 100) -> list[np.ndarray]:
+def bin_edges(rows: DataFrame, bins: int, accuracy: int = 32) -> list[np.ndarray]:
     """Upper ends of all bins but the last, per feature of the array ``x``.
 
-    They are quantiles of a sketch that is merged over tasks; the rank of each is off
-    by at most a share of 1 / (accuracy * bins) of the rows. Returns features * bins
-    numbers at most.
+    They cut the weight ``w`` of the rows evenly, by a sketch with ``accuracy`` points for
+    each bin. Returns features * bins numbers at most.
     """
-    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    cells = rows.select(F.posexplode("x").alias("feature", "v"))
-    found = cells.groupBy("feature").agg(F.percentile_approx("v", shares, accuracy * bins).alias("edges"))
-    return [np.unique(np.array(r.edges, dtype=np.float64)) for r in sorted(found.collect(), key=lambda r: r.feature)]
+    cells = rows.select("w", F.posexplode("x").alias("feature", "x"))
+    summaries = sketch(cells, weight="w", points=accuracy * bins)
+    found = quantiles(summaries, [i / bins for i in range(1, bins)]).collect()
+    edges = {r.feature: np.unique(np.array(r.quantiles, dtype=np.float64)) for r in found}
+    width = rows.select(F.size("x").alias("n")).first()
+    return [edges.get(j, np.zeros(0)) for j in range(width.n if width else 0)]
 
 
 def binned_rows(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:

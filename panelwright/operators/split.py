@@ -1,8 +1,10 @@
 """Stratified split, stratified folds and exact row subsample.
 
-All three order rows by a seeded md5 of the sample key. Its leading hex digits
-spread any class evenly over 4,096 cells, so exact ranks need only a small
-table of counts per (class, cell) and a sort inside each cell.
+All three order rows by a seeded md5 of the sample key. Its leading hex digits cut
+each class into cells, so exact ranks need only a small table of counts per (class,
+cell) and a sort inside each cell. Cells are the leaves of a trie: one with more than
+``CELL_ROWS`` rows is cut further by the next digits, until only repeats of one key
+are left together. Leaves of any depth keep the order of the hash.
 """
 
 from __future__ import annotations
@@ -11,17 +13,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalar import seeded_hash
+from panelwright.session import materialize
 
 CELL_DIGITS = 3
+CELL_ROWS = 1 << 18
+HASH_DIGITS = 32
 
 
-def hash_ranks(samples: DataFrame, key: str, seed: int | str, by: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``hash_rank`` (1-based, per ``by``) and ``group_rows``."""
+def hash_cells(samples: DataFrame, key: str, seed: int | str, by: tuple[str, ...], most: int) -> DataFrame:
+    """Add ``_hash`` and ``_cell``, its leading digits down to the leaf of the trie."""
     keyed = samples.withColumn("_hash", seeded_hash(seed, F.col(key))).withColumn(
         "_cell", F.substring("_hash", 1, CELL_DIGITS)
     )
+    while True:
+        sizes = keyed.groupBy(*by, "_cell").agg(F.count("*").alias("_n"))
+        big = sizes.where((F.col("_n") > most) & (F.length("_cell") < HASH_DIGITS))
+        if big.isEmpty():
+            return keyed
+        big = materialize(big.select(*by, "_cell", F.lit(True).alias("_big")), "cells")
+        deeper = F.substring(F.col("_hash"), F.lit(1), F.length("_cell") + CELL_DIGITS)
+        keyed = (
+            keyed.join(big, [*by, "_cell"], "left")
+            .withColumn("_cell", F.when(F.col("_big"), deeper).otherwise(F.col("_cell")))
+            .drop("_big")
+        )
+
+
+def hash_ranks(samples: DataFrame, key: str, seed: int | str, by: tuple[str, ...] = (), most: int = CELL_ROWS) -> DataFrame:
+    """Add ``hash_rank`` (1-based, per ``by``) and ``group_rows``."""
+    keyed = hash_cells(samples, key, seed, by, most)
     group = list(by) if by else [F.lit(0)]
-    # At most 4,096 rows per class enter these windows.
+    # One row per leaf enters these windows.
     earlier = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     cells = (

@@ -30,6 +30,7 @@ from panelwright.operators.ensemble import SEARCH_RANGES, StackedEnsemble, draw_
 from panelwright.operators.moments import class_moments, feature_moments
 from panelwright.operators.order_stats import mad, medians
 from panelwright.operators.panel import assemble_panel
+from panelwright.operators.quantile_sketch import quantiles, sketch, sketched_mad
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import anova_f, mutual_information
 from panelwright.operators.scoring import ScoringBundle, accepted, readiness, rejected
@@ -332,6 +333,53 @@ def mad_of_vectors(spark, folder):
     return rounded(mad(cells), "median", "mad")
 
 
+@query
+def sketched_mad_of_vectors(spark, folder):
+    """A11, opt-in: medians from sketches; a group with few distinct values is exact, larger ones
+    are within the stated error, which ``sketch_errors`` measures."""
+    cells = wl.embedding_matrix(spark, folder).withColumnRenamed("value", "x")
+    found = sketched_mad(cells, points=1 << 20)
+    return rounded(found.select("feature", "median", "mad"), "median", "mad")
+
+
+@query
+def sketch_errors(spark, folder):
+    """Quantiles of prices by return flag, weighted by quantity, from 100 points;
+    those whose true share of the weight is off by more than the stated error."""
+    items = wl.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("feature"), F.col("l_extendedprice").cast("double").alias("x"), F.col("l_quantity").alias("w")
+    )
+    shares = [0.1, 0.25, 0.5, 0.75, 0.9]
+    found = quantiles(sketch(items, weight="w", points=100, held=4096, fan=4), shares)
+    wanted = F.array(*[F.lit(s) for s in shares])
+    picked = materialize(
+        found.select("feature", "error", F.explode(F.arrays_zip(wanted.alias("share"), "quantiles")).alias("q"))
+        .select("feature", "error", F.col("q.share").alias("share"), F.col("q.quantiles").alias("cut")),
+        "quantiles",
+    )
+    below, upto = F.when(F.col("x") < F.col("cut"), F.col("w")), F.when(F.col("x") <= F.col("cut"), F.col("w"))
+    held = items.join(picked, "feature").groupBy("feature", "share").agg(
+        F.coalesce(F.sum(below), F.lit(0.0)).alias("below"), F.sum(upto).alias("upto"), F.sum("w").alias("w"), F.first("error").alias("error")
+    )
+    room = F.col("error") + 1e-9
+    wrong = (F.col("below") / F.col("w") > F.col("share") + room) | (F.col("upto") / F.col("w") < F.col("share") - room)
+    return held.groupBy("feature").agg(
+        F.count("*").alias("n_quantiles"), F.count_if(wrong).alias("n_wrong"), (F.max("error") < 0.1).alias("small_error")
+    )
+
+
+@query
+def distinct_values(spark, folder):
+    """Distinct values per feature, counted, and whether the merged sketches of two halves agree to 5 %."""
+    cells = wl.spend_matrix(spark, folder, by_type=True, labelled=False)
+    half = F.pmod(F.xxhash64("sample_id"), F.lit(2))
+    parts = [materialize(al.distinct_sketches(cells.where(half == i)), "sketches") for i in (0, 1)]
+    estimate = al.distinct_counts(al.merge_sketches(*parts)).withColumnRenamed("n_distinct", "estimate")
+    exact = cells.groupBy("feature", "value").count().groupBy("feature").agg(F.count("*").alias("n_distinct"))
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return exact.join(estimate, "feature").select("feature", "n_distinct", close.alias("close"))
+
+
 @query
 def median_by_counting(spark, folder):
     """The method for groups of any size, forced to narrow by histograms."""

@@ -361,6 +361,13 @@ SELECT feature, round(avg(x), 6) AS mean, round(var_pop(x), 6) AS var_pop, round
     "mad_of_vectors": f"""WITH {VECTORS}, centre AS (SELECT feature, median(x) AS med FROM vectors GROUP BY 1)
 SELECT feature, round(med, 6) AS median, round(median(abs(x - med)), 6) AS mad
 FROM vectors JOIN centre USING (feature) GROUP BY feature, med""",
+    "sketched_mad_of_vectors": f"""WITH {VECTORS}, centre AS (SELECT feature, median(x) AS med FROM vectors GROUP BY 1)
+SELECT feature, round(med, 6) AS median, round(median(abs(x - med)), 6) AS mad
+FROM vectors JOIN centre USING (feature) GROUP BY feature, med""",
+    "sketch_errors": """SELECT l_returnflag AS feature, CAST(5 AS BIGINT) AS n_quantiles, CAST(0 AS BIGINT) AS n_wrong, TRUE AS small_error
+FROM lineitem GROUP BY 1""",
+    "distinct_values": f"""WITH {_spend("p_brand || '/' || p_type")}
+SELECT feature, count(DISTINCT value) AS n_distinct, TRUE AS close FROM spend GROUP BY 1""",
     "median_by_counting": f"WITH {SPEND} SELECT feature, round(median(x), 6) AS median FROM logged GROUP BY 1",
     "anova_f_of_brands": f"""WITH {SPEND}, {_f_score('logged')}
 SELECT feature, round(score, 6) AS score FROM f_scores""",

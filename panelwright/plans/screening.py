@@ -14,6 +14,7 @@ from panelwright.functions.scalar import log2_shift, zscore
 from panelwright.operators.checks import mark_sums, marks_match, raise_on_domain, require_long, sample_marks
 from panelwright.operators.moments import class_moments, feature_moments, log2_moments
 from panelwright.operators.order_stats import mad
+from panelwright.operators.quantile_sketch import sketched_mad
 from panelwright.operators.running import ranks
 from panelwright.operators.scorers import SCORERS
 from panelwright.operators.select import funnel, keep, surviving_names, top_by_mad, top_by_score
@@ -219,7 +220,11 @@ class Selector:
         n_features = stats.count()
         if c.n_mad >= n_features:
             raise ValueError(f"n_mad ({c.n_mad}) must be less than the number of features ({n_features})")
-        spread = materialize(mad(values, weight=weight, bounds=bounds), "mad")
+        if c.spread == "sketch":
+            found = sketched_mad(values, weight=weight).drop("error")
+        else:
+            found = mad(values, weight=weight, bounds=bounds)
+        spread = materialize(found, "mad")
         # From here on every input is a small written table.
         scored = stats.drop("median", "mad").join(spread, "feature")
         survivors = top_by_mad(scored, c.n_mad)
