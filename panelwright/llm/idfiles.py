@@ -35,6 +35,8 @@ from panelwright.llm.stretches import Numbers, Pool, cut, joined, runs
 from panelwright.session import delete_folder, new_path
 
 BLOCK = 1 << 20  # ids of a block, whole documents
+ENCODED = 8_000_000  # bytes of texts that are cut together; they stay in Arrow
+KNOWN = 2_000_000  # stretches that a worker remembers
 
 
 # -- the code -----------------------------------------------------------------
@@ -104,7 +106,7 @@ class StretchEncoder:
         self.bytes_of = token_bytes(self.tokenizer)
         self.length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.kind = np.dtype(np.uint16 if len(self.length) <= 1 << 16 else np.uint32)
-        self.numbers = Numbers(self._learn, self._clear)
+        self.numbers = Numbers(self._learn, self._clear, KNOWN)
         self._clear()
 
     def _clear(self) -> None:
@@ -175,7 +177,7 @@ def encode_rows(docs: DataFrame, content, end_id: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = model_of(content, StretchEncoder)
         for batch in batches:
-            for part in byte_slices(batch, ["text"]):
+            for part in byte_slices(batch, ["text"], ENCODED):
                 ids, counts = encoder.encode(part.column("text"))
                 whole = np.insert(ids, np.cumsum(counts), end_id)
                 columns = [part.column(c) for c in ("doc_id", "tie", "row_no")]
