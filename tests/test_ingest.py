@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import IngestConfig
 from panelwright.operators import align as al
+from panelwright.plans import workloads as wl
 from panelwright.session import materialize
 from panelwright.sources import matrix as mx
 from panelwright.sources import phenotype as ph
@@ -197,3 +198,41 @@ def test_densify_fills_with_zero(spark):
     features = spark.createDataFrame([("a",), ("b",)], "feature string")
     got = {(r.sample_id, r.feature): r.value for r in mx.densify(cells, samples, features).collect()}
     assert got == {("s", "a"): 5.0, ("s", "b"): 0.0, ("t", "a"): 0.0, ("t", "b"): 0.0}
+
+
+def test_densify_with_nulls_repeats_and_strangers(spark):
+    cells = spark.createDataFrame(
+        [("s", "a", None), ("s", None, 2.0), ("s", "z", None), ("s", "y", 7.0), ("u", "a", 4.0), ("u", "b", None), (None, "a", 1.0)],
+        "sample_id string, feature string, value double",
+    )
+    samples = spark.createDataFrame([("s",), ("s",), (None,)], "sample_id string")
+    features = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "feature string")
+    rows = [tuple(r) for r in mx.densify(cells, samples, features).collect()]
+    assert len(rows) == len(set(rows))
+    assert {(s, f): v for s, f, v in rows} == {
+        ("s", "a"): 0.0, ("s", "b"): 0.0, ("s", None): 2.0, ("s", "z"): None, ("s", "y"): 7.0,
+        ("u", "a"): 4.0, ("u", "b"): None, (None, "a"): 1.0, (None, "b"): 0.0,
+    }
+
+
+def test_zeros_are_made_after_the_last_aggregate_and_shuffle(spark):
+    cells = spark.createDataFrame([("s", "a", 2.0)], "sample_id string, feature string, value double")
+    samples = spark.createDataFrame([("s",), ("t",)], "sample_id string")
+    features = spark.createDataFrame([("a",), ("b",)], "feature string")
+    dense = mx.densify(cells, samples, features)
+    plan = dense._jdf.queryExecution().executedPlan().toString()  # parents come before children
+    assert 0 <= plan.find("Generate") < plan.find("Aggregate") < plan.find("Exchange")
+
+
+def test_tasks_of_the_purchase_join_grow_with_the_line_items(spark, tmp_path, monkeypatch):
+    folder, n = str(tmp_path), 60
+    ids = spark.range(n)
+    ids.selectExpr("id as l_orderkey", "id % 5 as l_partkey", "cast(id as double) as l_quantity").write.parquet(f"{folder}/lineitem.parquet")
+    ids.selectExpr("id as o_orderkey", "id % 7 as o_custkey").write.parquet(f"{folder}/orders.parquet")
+    spark.range(5).selectExpr("id as p_partkey", "concat('B', id) as p_brand").write.parquet(f"{folder}/part.parquet")
+    few = wl.purchases(spark, folder, F.col("p_brand"))
+    monkeypatch.setattr(wl, "JOIN_ROWS", 3)
+    many = wl.purchases(spark, folder, F.col("p_brand"))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan and f", {n // 3 + 1}), REPARTITION_BY_NUM" in plan
