@@ -12,13 +12,18 @@ per gate and probability. The sum over all bits is the length of the text.
 Every training byte is predicted, moves weights and refinement, and is counted,
 from the first chunk on. Texts are dealt to shards by a hash of id and text,
 whose number follows from the size of the input, and a shard is learned in the
-order of the hash, in chunks of ``LEARN`` characters: the model does not depend
-on partitions or batches. Counts of all shards are added as whole numbers,
-weights are averaged by the number of chunks. The distinct keys (context and bits so far) of each predictor
-are counted first, and its table has ``SPARE`` slots for each; slots do not check
-keys, so a share of 1 - exp(-1 / SPARE) of the keys meets another in its slot.
-The model, its broadcast and what a task holds therefore grow with the distinct
-contexts of the input.
+order of the hash, in chunks that double from ``LEARN`` to ``LEARN_MOST`` characters: the
+model does not depend on partitions or batches. What a byte costs depends on the four
+bytes before it and the word so far alone. Bytes of a chunk that share these are one
+event: it is predicted once, and moves weights, refinement and counts as often as it
+occurs. Events are told apart by a hash of 64 bits. Scoring remembers events likewise.
+
+A shard predicts from tables of its own (``OWN`` slots) and gives out its events; those of
+all shards are added up, weights are averaged by the number of chunks. Then the distinct
+keys (context and bits so far) of each predictor are counted, and its table in the model
+has ``SPARE`` slots for each; slots do not check keys, so a share of 1 - exp(-1 / SPARE) of
+the keys meets another in its slot. The model and its broadcast grow with the distinct
+contexts of the input; what learns a shard grows with those of the shard.
 
 Rules: A-Z in lower case; a null text is empty; the end of a text is its last
 token and its last byte. Rows may repeat, each gives one row. Without training
@@ -29,7 +34,7 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 from math import log10
 
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import map_batches, slices, texts_of
-from panelwright.session import materialize
+from panelwright.session import materialize, scratch
 
 BEFORE, END = b"\xfe\xfe\xfe\xfe", b"\xff"  # bytes that are not in UTF-8
 PREDICTORS = 5  # orders 1 to 4, word so far
@@ -53,9 +58,12 @@ APM_CELLS = 33
 FINE = 1537  # cells of the final table of costs
 REACH = 12.0  # largest log-odds
 PRIOR = 0.2
-STEP = 1 << 13  # bits between two moves of the weights
-CHUNK = 500_000  # characters that are scored together
-LEARN = 1 << 16  # characters that are learned together
+STEP = 1 << 12  # bits between two moves of the weights
+CHUNK = 1 << 18  # characters whose contexts are found together
+LEARN, LEARN_MOST = 1 << 16, 1 << 22  # characters that are learned together, at first and at most
+BATCH = 1 << 16  # events that are predicted before they are counted
+OWN = (BLOCK, 1 << 20, 1 << 22, 1 << 22, 1 << 22)  # slots of each predictor while a shard is learned
+MEMO_BITS = 22  # a worker remembers the costs of 2^22 events
 SHARD = 16_000_000  # bytes of training texts that are learned one after the other
 WEIGHT_UNIT = float(1 << 20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -87,57 +95,205 @@ def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, length
 
 
-class Bytes:
-    """The bytes of some texts and a context per predictor and byte.
+_powers = [np.ones(0, dtype=np.uint64)] * 2
 
-    Bytes are sorted by the length of their code, longest first, so those that
-    have a bit of some depth are always in front.
-    """
 
-    def __init__(self, texts: list[bytes], code: np.ndarray, length: np.ndarray):
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+def powers(n: int) -> list[np.ndarray]:
+    """The first powers of ``ODD`` and of its inverse, kept for the next call."""
+    if len(_powers[0]) < n:
+        _powers[:] = [np.cumprod(np.full(n + n // 8, base)) for base in (ODD, INVERSE)]
+    return [p[:n] for p in _powers]
+
+
+class Places:
+    """The bytes of some texts in their order, and what stands before each: four bytes and the word so far."""
+
+    COLUMNS = ("four", "byte", "so_far", "place")
+
+    def __init__(self, texts: list[bytes]):
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         data = np.frombuffer(BEFORE + BEFORE.join(texts), dtype=np.uint8)
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        self.owner = np.repeat(np.arange(len(texts)), sizes)
         # Four bytes stand before each text.
-        at = np.arange(len(owner)) + 4 * (owner + 1)
-        order = np.argsort(-length.astype(np.int8)[data[at]], kind="stable")
-        at, self.owner = at[order], owner[order]
+        at = np.arange(len(self.owner)) + 4 * (self.owner + 1)
+        last = data.astype(np.uint32)
+        four = last.copy()
+        for back in (1, 2, 3):
+            four[back:] |= last[:-back] << np.uint32(8 * back)
+        self.four, self.byte = four[at - 1], data[at]
         first = np.maximum.accumulate(np.where(BLANK[data], np.arange(1, len(data) + 1), 0))[at - 1]
-        wide = data.astype(np.uint64)
-        byte = data[at]
-        self.code, self.length = code[byte].astype(np.uint64), length[byte]
-        one = wide[at - 1]
-        two = one | wide[at - 2] << np.uint64(8)
-        three = two | wide[at - 3] << np.uint64(16)
-        four = three | wide[at - 4] << np.uint64(24)
         # Hash of the word so far: a difference of running sums, moved to a common power.
-        powers = np.cumprod(np.full(len(data), ODD))
-        backward = np.cumprod(np.full(len(data), INVERSE))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((wide + np.uint64(1)) * powers)])
-        so_far = (sums[at] - sums[first]) * backward[first]
-        self.contexts = [hashed(c, i) for i, c in enumerate((one, two, three, four, so_far))]
+        forward, backward = powers(len(data))
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data + np.uint64(1)) * forward, out=sums[1:])
+        self.so_far = (sums[at] - sums[first]) * backward[first]
         self.place = np.minimum(at - first, 3).astype(np.uint8)  # in the word
 
-    def keys(self) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    def events(self) -> np.ndarray:
+        """A hash of each byte and what stands before it."""
+        h = self.four.astype(np.uint64)
+        h <<= np.uint64(8)
+        h |= self.byte
+        h *= MIX
+        h ^= self.so_far
+        h *= ODD
+        h ^= h >> np.uint64(29)
+        h *= MIX
+        return h
+
+    @classmethod
+    def of(cls, *columns: np.ndarray) -> Places:
+        """Without the texts that they belong to."""
+        out = object.__new__(cls)
+        for name, column in zip(cls.COLUMNS, columns):
+            setattr(out, name, column)
+        return out
+
+    def take(self, at) -> Places:
+        return Places.of(*(getattr(self, name)[at] for name in self.COLUMNS))
+
+
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in an order in which equal values are neighbours, and where each group begins.
+
+    High bits and position are sorted as one number; values that share the high bits alone
+    may come as several groups.
+    """
+    low = np.uint64(max(1, len(values).bit_length()))
+    key = values >> low << low
+    key |= np.arange(len(values), dtype=np.uint64)
+    key.sort()
+    key &= (np.uint64(1) << low) - np.uint64(1)
+    at = key.view(np.int64)
+    ordered = values[at]
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return at, np.flatnonzero(new)
+
+
+class Events:
+    """Distinct bytes with what stands before them, their hashes, and how often each occurs."""
+
+    def __init__(self, places: Places, hashes: np.ndarray, times: np.ndarray):
+        self.places, self.hashes, self.times = places, hashes, times
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Events:
+        parts = []
+        for a, b in slices(texts, CHUNK) if texts else [(0, 0)]:
+            places = Places(texts[a:b])
+            hashes = places.events()
+            at, start = grouped(hashes)
+            first = at[start]
+            parts.append(cls(places.take(first), hashes[first], np.diff(np.append(start, len(at))).astype(np.int32)))
+        return cls.merged(parts) if len(parts) > 1 else parts[0]
+
+    @classmethod
+    def joined(cls, parts: list[Events]) -> Events:
+        places = Places.of(*(np.concatenate([getattr(p.places, name) for p in parts]) for name in Places.COLUMNS))
+        return cls(places, *(np.concatenate([getattr(p, name) for p in parts]) for name in ("hashes", "times")))
+
+    @classmethod
+    def merged(cls, parts: list[Events]) -> Events:
+        found = cls.joined(parts)
+        at, start = grouped(found.hashes)
+        if not len(at):
+            return found
+        sums = np.add.reduceat(found.times[at], start).astype(found.times.dtype)
+        return cls(found.places.take(at[start]), found.hashes[at[start]], sums)
+
+    def part(self, some) -> Events:
+        return Events(self.places.take(some), self.hashes[some], self.times[some])
+
+    def pack(self) -> bytes:
+        """6 to 14 bytes an event, or 30: what the four bytes before do not show, and numbers above 255, apart."""
+        p = self.places
+        long, many = ~BLANK[p.four.view(np.uint8).reshape(-1, 4)].any(axis=1), self.times > 255
+        columns = (
+            np.array([len(p.four), long.sum(), many.sum()], dtype=np.int64), p.four, p.byte, self.times.astype(np.uint8),
+            p.so_far[long], np.flatnonzero(many), (self.times[many] >> 8).astype(np.int64),
+        )
+        return b"".join(c.tobytes() for c in columns)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Events:
+        at = 0
+
+        def read(n: int, kind) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(data, kind, n, at)
+            at += out.nbytes
+            return out
+
+        n, n_long, n_many = read(3, np.int64)
+        four, byte, times = read(n, np.uint32), read(n, np.uint8), read(n, np.uint8).astype(np.int64)
+        blank = BLANK[four.view(np.uint8).reshape(-1, 4)]
+        long = ~blank.any(axis=1)
+        # The last byte before comes first; the word so far begins behind the last blank.
+        size = np.where(long, 4, blank.argmax(axis=1))
+        so_far = np.zeros(n, dtype=np.uint64)
+        for back in range(3):
+            inside = size > back
+            value = (four[inside] >> np.uint32(8 * back) & np.uint32(255)).astype(np.uint64) + np.uint64(1)
+            so_far[inside] += value * powers(5)[0][size[inside] - 1 - back] * INVERSE
+        so_far[long] = read(n_long, np.uint64)
+        many = read(n_many, np.int64)
+        times[many] += read(n_many, np.int64) << 8
+        places = Places.of(four, byte, so_far, np.minimum(size, 3).astype(np.uint8))
+        return cls(places, places.events(), times)
+
+    def batches(self, code: np.ndarray, length: np.ndarray, size: int = BATCH) -> Iterator[tuple[Bytes, np.ndarray]]:
+        """Some events at a time, and how often each occurs."""
+        for low in range(0, len(self.times), size):
+            some = slice(low, low + size)
+            data = Bytes(self.places.take(some), code, length)
+            yield data, self.times[some][data.order]
+
+
+class Bytes:
+    """The bytes of some texts and a context per predictor and byte.
+
+    Bytes are sorted by the length of their code, longest first, so those that
+    have a bit of some depth are always in front.
+    """
+
+    def __init__(self, texts: list[bytes] | Places, code: np.ndarray, length: np.ndarray):
+        places = texts if isinstance(texts, Places) else Places(texts)
+        self.order = np.argsort(-length.astype(np.int8)[places.byte], kind="stable")
+        places = places.take(self.order)
+        self.place = places.place
+        self.code, self.length = code[places.byte].astype(np.uint64), length[places.byte]
+        four = places.four.astype(np.uint64)
+        short = [four & np.uint64((1 << 8 * n) - 1) for n in (1, 2, 3)]
+        self.contexts = [hashed(c, i) for i, c in enumerate((*short, four, places.so_far))]
+
+    def take(self, at) -> Bytes:
+        """Some bytes, in the order given, without their places."""
+        out = object.__new__(Bytes)
+        out.code, out.length, out.contexts = self.code[at], self.length[at], [c[at] for c in self.contexts]
+        return out
+
+    def keys(self, predictors: Iterable[int] = range(PREDICTORS)) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         """Per depth: how many bytes have a bit there, a hash of context and prefix per predictor, and the bit."""
         for depth in range(int(self.length.max(initial=0))):
             n = int(np.searchsorted(-self.length, -depth, "left"))
             left = (self.length[:n] - depth).astype(np.uint64)
             prefix = (np.uint64(1 << depth) | self.code[:n] >> left) * np.uint64(0x9E3779B1)
-            keys = [(c[:n] ^ prefix) * MIX for c in self.contexts]
+            keys = [(self.contexts[i][:n] ^ prefix) * MIX for i in predictors]
             yield n, keys, (self.code[:n] >> (left - np.uint64(1)) & np.uint64(1)).view(np.int64)
 
     def bits(self, sizes: tuple[int, ...]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         """As ``keys``, with the slots in tables of ``sizes`` one behind the other."""
+        lows = [sum(sizes[:i]) for i in range(PREDICTORS)]
         for n, keys, y in self.keys():
-            low = 0
-            for h, size in zip(keys, sizes):
-                h >>= np.uint64(32)
-                h *= np.uint64(size)
-                h >>= np.uint64(32)
-                h += np.uint64(low)
-                low += size
-            yield n, [h.view(np.int64) for h in keys], y
+            yield n, [slots_of(h, size) + low for h, size, low in zip(keys, sizes, lows)], y
+
+
+def slots_of(keys: np.ndarray, size: int) -> np.ndarray:
+    keys >>= np.uint64(32)
+    keys *= np.uint64(size)
+    keys >>= np.uint64(32)
+    return keys.view(np.int64)
 
 
 def hashed(context: np.ndarray, predictor: int) -> np.ndarray:
@@ -164,7 +320,7 @@ def first_weights() -> np.ndarray:
 
 def mix(x, word_level, four_level, weights, place):
     """Gate and mixed log-odds of some bit predictions with the inputs ``x``."""
-    gate = word_level * np.uint8(16) + four_level * np.uint8(4) + place
+    gate = (word_level * np.uint8(16) + four_level * np.uint8(4) + place).astype(np.intp)
     mixed = weights[:, INPUTS - 1][gate]
     for i, values in enumerate(x):
         mixed += weights[:, i][gate] * values
@@ -183,31 +339,34 @@ class Learner:
         self.weights = first_weights()
         self.speed = np.full((GATES, INPUTS), 1e-3, dtype=np.float64)
         self.apm = np.zeros((2, GATES * APM_CELLS), dtype=np.int64)
-        self.chunks = 0
+        self.chunks, self.seen = 0, []
 
     def learn(self, texts: list[bytes], rate: float = 0.02) -> None:
-        data = Bytes([t + END for t in texts], self.code, self.length)
-        seen = []
-        for n, slots, y in data.bits(self.sizes):
-            for low in range(0, n, STEP):
-                some = slice(low, low + STEP)
-                self._step([s[some] for s in slots], y[some], data.place[:n][some], rate)
-            seen.append((slots, y))
-        for slots, y in seen:
-            for slot in slots:
-                np.add.at(self.counts.reshape(-1), slot * 2 + y, np.int32(1))  # of the table's type: numpy's fast way
+        found = Events.of([t + END for t in texts])
+        for data, times in found.batches(self.code, self.length):
+            seen = []
+            for n, slots, y in data.bits(self.sizes):
+                for low in range(0, n, STEP):
+                    some = slice(low, low + STEP)
+                    self._step([s[some] for s in slots], y[some], data.place[:n][some], times[:n][some], rate)
+                seen.append((slots, y))
+            for slots, y in seen:
+                for slot in slots:
+                    np.add.at(self.counts.reshape(-1), slot * 2 + y, times[: len(y)])  # of the table's type: numpy's fast way
+        self.seen.append(found)
         self.chunks += 1
 
-    def _step(self, slots: list[np.ndarray], y, place, rate: float) -> None:
+    def _step(self, slots: list[np.ndarray], y, place, times, rate: float) -> None:
         """Predict some bits, refine, and move the weights of each gate along the gradient."""
-        met = [self.counts[s] for s in slots]
+        table = self.counts.view(np.int64).ravel()  # both counts of a slot at once
+        met = [table[s].view(np.int32).reshape(-1, 2) for s in slots]
         x = [odds_of(c) for c in met]
         gate, mixed = mix(x, levels_of(met[4]), levels_of(met[3]), self.weights, place)
-        cell = gate.astype(np.int64) * APM_CELLS + np.rint((mixed + REACH) * ((APM_CELLS - 1) / (2 * REACH))).astype(np.int64)
-        for b in (0, 1):
-            self.apm[b] += np.bincount(cell[y == b], minlength=GATES * APM_CELLS)
-        error = y - 1.0 / (1.0 + np.exp(-mixed))
-        n = np.maximum(np.bincount(gate, minlength=GATES), 1)
+        cell = gate * APM_CELLS + np.rint((mixed + REACH) * ((APM_CELLS - 1) / (2 * REACH))).astype(np.int64)
+        cell += y * (GATES * APM_CELLS)
+        self.apm += np.bincount(cell, times, 2 * GATES * APM_CELLS).astype(np.int64).reshape(2, -1)
+        error = (y - 1.0 / (1.0 + np.exp(-mixed))) * times
+        n = np.maximum(np.bincount(gate, times, GATES), 1)
         for i in range(INPUTS):
             # Log-odds come in 256ths, so their weights are 256 times smaller.
             unit = 256.0 if i < INPUTS - 1 else 1.0
@@ -215,20 +374,102 @@ class Learner:
             self.speed[:, i] += pull * pull
             self.weights[:, i] += (rate * pull / np.sqrt(self.speed[:, i]) / unit).astype(np.float32)
 
-    def rows(self) -> Iterator[tuple[int, bytes]]:
-        """What the task has learned, as blocks of whole numbers that can be added."""
-        for low in range(0, len(self.counts), BLOCK):
-            part = self.counts[low : low + BLOCK]
-            if part.any():
-                yield low // BLOCK, part.tobytes()
+    def events(self) -> Events:
+        """All that was learned."""
+        if len(self.seen) != 1:
+            self.seen = [Events.merged(self.seen) if self.seen else Events.of([])]
+        return self.seen[0]
+
+    def state(self) -> bytes:
+        """The number of chunks, weights and refinement as whole numbers that can be added."""
         weights = self.weights.astype(np.float64)
         weights[:, : INPUTS - 1] *= 256
         weights = np.rint(weights * WEIGHT_UNIT).astype(np.int64) * self.chunks
-        yield -1, np.concatenate([[self.chunks], weights.ravel(), self.apm.ravel()]).astype(np.int64).tobytes()
+        return np.concatenate([[self.chunks], weights.ravel(), self.apm.ravel()]).astype(np.int64).tobytes()
 
-
-def distinct_keys(texts: DataFrame, code: np.ndarray, length: np.ndarray, most: int = 1 << 20) -> list[int]:
-    """How many distinct keys each predictor has in all texts.
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        """What the shard has learned, as blocks of whole numbers that can be added; block -1 is ``state``."""
+        for block, parts in cells_of(self.events(), self.code, self.length, self.sizes):
+            counts = np.zeros((BLOCK, 2), dtype=np.int32)
+            for b, (place, count) in enumerate(parts):
+                counts[place, b] = count
+            yield block, counts.tobytes()
+        yield -1, self.state()
+
+
+def cells_of(found: Events, code, length, sizes: tuple[int, ...]) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(block, places and counts of zeros, and of ones) of some events; a block may come again."""
+    for whole, often in found.batches(code, length, 1 << 21):
+        for i in reversed(range(PREDICTORS)):
+            # Bytes that follow the same context of a predictor are added up first; each of the
+            # orders goes on with the sums of the one above.
+            at, start = grouped((whole.contexts[i] ^ (whole.code << np.uint64(4) | whole.length.astype(np.uint64)) * ODD) * MIX)
+            times = np.add.reduceat(often[at], start)
+            some = np.argsort(-whole.length.astype(np.int8)[at[start]], kind="stable")
+            data, times = whole.take(at[start][some]), times[some]
+            if i < PREDICTORS - 1:
+                whole, often = data, times
+            cells, counts = [], []
+            for n, (keys,), y in data.keys([i]):
+                cells.append(slots_of(keys, sizes[i]) * 2 + y)
+                counts.append(times[:n])
+            # Cells are moved to the high bits, where groups are told apart.
+            high = np.uint64(63 - (2 * sizes[i]).bit_length())
+            cell = np.concatenate(cells).view(np.uint64) << high
+            at, start = grouped(cell)
+            counts = np.add.reduceat(np.concatenate(counts)[at], start)
+            cell = (cell[at[start]] >> high).view(np.int64)
+            edges = np.searchsorted(cell, np.arange(0, 2 * sizes[i] + 1, 2 * BLOCK))
+            for block, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                if a < b:
+                    one = (cell[a:b] & 1).astype(bool)
+                    place = (cell[a:b] >> 1) % BLOCK
+                    yield sum(sizes[:i]) // BLOCK + block, [(place[k], counts[a:b][k]) for k in (~one, one)]
+
+
+def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """Places and counts of a block in three bytes each; what a count has above 255 follows."""
+    out = []
+    for place, count in parts:
+        large = np.flatnonzero(count > 255)
+        out += [
+            np.array([len(place), len(large)], dtype=np.int32), place.astype(np.uint16), count.astype(np.uint8),
+            place[large].astype(np.uint16), (count[large] >> 8).astype(np.int32),
+        ]
+    return b"".join(a.tobytes() for a in out)
+
+
+def add_packed(data: bytes, total: np.ndarray) -> None:
+    at = 0
+
+    def read(n: int, kind) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(data, dtype=kind, count=n, offset=at)
+        at += out.nbytes
+        return out
+
+    for b in (0, 1):
+        n, large = read(2, np.int32)
+        for count, kind, shift in ((n, np.uint8, 0), (large, np.int32, 8)):
+            place = read(count, np.uint16)
+            total[place, b] += read(count, kind).astype(np.int64) << shift
+
+
+def events_of_texts(batch: pa.RecordBatch) -> Iterator[Events]:
+    texts = texts_of(batch.column("text"))
+    for a, b in slices(texts, LEARN_MOST):
+        yield Events.of([t.encode().lower() + END for t in texts[a:b]])
+
+
+def packed_events(batch: pa.RecordBatch) -> Iterator[Events]:
+    return map(Events.unpack, batch.column("events").to_pylist())
+
+
+def distinct_keys(
+    rows: DataFrame, code: np.ndarray, length: np.ndarray, most: int = 1 << 20,
+    read: Callable[[pa.RecordBatch], Iterable[Events]] = events_of_texts,
+) -> list[int]:
+    """How many distinct keys each predictor has in all ``rows``, from which ``read`` gets events.
 
     Keys are sampled by their hash, so each is counted once or not at all
     wherever it occurs, and what is counted is multiplied. A task holds about
@@ -244,13 +485,12 @@ def distinct_keys(texts: DataFrame, code: np.ndarray, length: np.ndarray, most:
             )
 
         for batch in batches:
-            found = texts_of(batch.column("text"))
-            for a, b in slices(found, CHUNK):
-                data = Bytes([t.encode().lower() + END for t in found[a:b]], code, length)
+            for events in read(batch):
                 new = [[h] for h in held]
-                for _, keys, _ in data.keys():
-                    for i, h in enumerate(keys):
-                        new[i].append(h[h >> np.uint64(64 - SAMPLE_BITS) == 0])
+                for data, _ in events.batches(code, length):
+                    for _, keys, _ in data.keys():
+                        for i, h in enumerate(keys):
+                            new[i].append(h[h >> np.uint64(64 - SAMPLE_BITS) == 0])
                 held = [np.unique(np.concatenate(h)) for h in new]
                 for i in range(PREDICTORS):
                     if len(held[i]) > most:
@@ -259,7 +499,7 @@ def distinct_keys(texts: DataFrame, code: np.ndarray, length: np.ndarray, most:
         for i in range(PREDICTORS):
             yield out(i)
 
-    sampled = map_batches(texts, run, "predictor int, key bigint").distinct().groupBy("predictor").count()
+    sampled = map_batches(rows, run, "predictor int, key bigint").distinct().groupBy("predictor").count()
     found = {r.predictor: r["count"] << SAMPLE_BITS for r in sampled.collect()}  # one row per predictor
     return [found.get(i, 0) for i in range(PREDICTORS)]
 
@@ -269,24 +509,25 @@ def table_sizes(keys: list[int]) -> tuple[int, ...]:
     return tuple(BLOCK * max(1, -(-SPARE * n // BLOCK)) for n in keys)
 
 
-def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...], shards: int) -> DataFrame:
-    """(block, odds, levels): the counts of all ``shards`` added up and turned into the
-    tables of the model; block -1 has the weights and the refinement instead.
+def learn_events(texts: DataFrame, code: np.ndarray, length: np.ndarray, shards: int) -> DataFrame:
+    """(part, events): the events of all ``shards`` added up, by a range of their hashes; part -1 has the
+    weights and the refinement instead.
 
-    Blocks are streamed in order, so a task holds one sum at a time.
+    A task learns a shard at a time, and adds up a part at a time.
     """
+    parts = 4 * shards
 
     def rows(learner):
-        for block, counts in learner.rows():
-            if block >= 0:  # only the slots that are in use
-                used = np.frombuffer(counts, dtype=np.int32).reshape(-1, 2)
-                place = np.flatnonzero(used.any(axis=1))
-                counts = place.astype(np.uint16).tobytes() + used[place].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts], pa.binary())], names=["block", "counts"])
+        learner.counts = None  # before the events take their memory
+        found = learner.events()
+        edges = np.searchsorted(found.hashes, [(k << 64) // parts for k in range(parts)] if len(found.times) else [])
+        blocks = [(k, found.part(slice(a, b)).pack()) for k, (a, b) in enumerate(zip(edges, [*edges[1:], len(found.times)])) if a < b]
+        for block, events in [*blocks, (-1, learner.state())]:
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([events], pa.binary())], names=["part", "events"])
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Reads texts sorted by shard; chunks go on from one batch to the next."""
-        learner, current, chunk, size = None, None, [], 0
+        learner, current, chunk, size, wanted = None, None, [], 0, LEARN
         for batch in batches:
             for shard, text in zip(batch.column("shard").to_pylist(), texts_of(batch.column("text"))):
                 if shard != current:
@@ -295,17 +536,78 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes:
                             learner.learn(chunk)
                         yield from rows(learner)
                     learner = None  # before the next takes its memory
-                    learner, current, chunk, size = Learner(code, length, sizes), shard, [], 0
+                    learner, current, chunk, size, wanted = Learner(code, length, OWN), shard, [], 0, LEARN
                 chunk.append(text.encode().lower())
                 size += len(text)
-                if size >= LEARN:
+                if size >= wanted:
                     learner.learn(chunk)
-                    chunk, size = [], 0
+                    chunk, size, wanted = [], 0, min(2 * wanted, LEARN_MOST)
         if learner:
             if chunk:
                 learner.learn(chunk)
             yield from rows(learner)
 
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, n = None, [], 0
+
+        def merged():
+            return [np.sum(held, axis=0)] if current < 0 else [Events.merged(held)]
+
+        def out():
+            total = merged()[0]
+            packed = total.tobytes() if current < 0 else total.pack()
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([packed], pa.binary())], names=["part", "events"])
+
+        for batch in batches:
+            for part, events in zip(batch.column("part").to_pylist(), batch.column("events")):
+                if part != current:
+                    if current is not None:
+                        yield out()
+                    current, held, n = part, [], 0
+                held.append(np.frombuffer(events.as_buffer(), np.int64) if part < 0 else Events.unpack(events.as_py()))
+                n += 1
+                if n % 32 == 0:  # so many shards are held at a time
+                    held = merged()
+        if current is not None:
+            yield out()
+
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.withColumn("order", F.xxhash64("doc_id", "text")).withColumn("shard", F.pmod("order", F.lit(shards)))
+    # Each shard is a partition of its own number, so none waits behind another by chance.
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "order")
+    learned = map_batches(dealt.select("shard", "text"), learn, "part int, events binary")
+    return map_batches(learned.repartition(n, "part").sortWithinPartitions("part"), add, "part int, events binary")
+
+
+def tables(learned: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...]) -> DataFrame:
+    """(block, odds, levels): the rows of ``learn_events`` turned into the tables of the model;
+    block -1 has the weights and the refinement instead.
+
+    Blocks are streamed in order, so a task holds one sum at a time.
+    """
+    levelled = sum(sizes[:3]) // BLOCK  # the gate sees the last two predictors
+
+    def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(block, counts):
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts], pa.binary())], names=["block", "counts"])
+
+        def out(held):
+            for block, parts in cells_of(Events.joined(held), code, length, sizes) if held else []:
+                yield row(block, packed(parts))
+
+        held, n = [], 0
+        for batch in batches:
+            for part, events in zip(batch.column("part").to_pylist(), batch.column("events")):
+                if part < 0:
+                    yield row(part, events.as_py())
+                    continue
+                held.append(Events.unpack(events.as_py()))
+                n += len(held[-1].times)
+                if n >= 1 << 20:  # parts of so many events are turned into counts together
+                    yield from out(held)
+                    held, n = [], 0
+        yield from out(held)
+
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, total = None, None
 
@@ -313,7 +615,7 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes:
             if current < 0:
                 odds, levels = total.tobytes(), b""
             else:
-                odds, levels = odds_of(total.reshape(-1, 2)).tobytes(), levels_of(total.reshape(-1, 2)).tobytes()
+                odds, levels = odds_of(total).tobytes(), levels_of(total).tobytes() if current >= levelled else b""
             return pa.RecordBatch.from_arrays(
                 [pa.array([current], pa.int32()), pa.array([odds], pa.binary()), pa.array([levels], pa.binary())],
                 names=["block", "odds", "levels"],
@@ -321,24 +623,19 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes:
 
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                size = len(counts.as_buffer())
                 if block != current:
                     if current is not None:
                         yield out()
-                    current, total = block, np.zeros(size // 8 if block < 0 else 2 * BLOCK, dtype=np.int64)
+                    current, total = block, np.zeros(len(counts.as_buffer()) // 8 if block < 0 else (BLOCK, 2), dtype=np.int64)
                 if block < 0:
                     total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
                 else:
-                    place = np.frombuffer(counts.as_buffer(), dtype=np.uint16, count=size // 10)
-                    total.reshape(-1, 2)[place] += np.frombuffer(counts.as_py()[size // 10 * 2 :], dtype=np.int32).reshape(-1, 2)
+                    add_packed(counts.as_py(), total)
         if current is not None:
             yield out()
 
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts.withColumn("order", F.xxhash64("doc_id", "text")).withColumn("shard", F.pmod("order", F.lit(shards)))
-    # Each shard is a partition of its own number, so none waits behind another by chance.
-    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "order")
-    parts = map_batches(dealt.select("shard", "text"), learn, "block int, counts binary")
+    n = int(learned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = map_batches(learned, cells, "block int, counts binary")
     return map_batches(parts.repartition(n, "block").sortWithinPartitions("block"), add, "block int, odds binary, levels binary")
 
 
@@ -346,24 +643,52 @@ def learn_counts(texts: DataFrame, code: np.ndarray, length: np.ndarray, sizes:
 
 
 class Scorer:
-    """The learned model: log-odds and levels per slot, weights, cost of each outcome."""
+    """The learned model: log-odds and levels per slot of each predictor, weights, cost of each outcome."""
 
     def __init__(self, code, length, sizes, odds, levels, weights, cost):
         self.code, self.length, self.sizes = code, length, sizes
         self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
+        self.known = None  # hashes and costs of events, made where it scores
 
     def token_bits(self, tokens: list[bytes]) -> np.ndarray:
-        """Bits that each of some texts or tokens costs on its own."""
+        """Bits that each of some texts or tokens costs on its own.
+
+        An event that was met lately is not priced again; its place in the memory follows
+        from its hash, which is compared.
+        """
         if not tokens:
             return np.zeros(0)
-        data = Bytes(tokens, self.code, self.length)
-        total = np.zeros(len(data.owner))
-        for n, slots, y in data.bits(self.sizes):
-            x = [self.odds[s] for s in slots]
-            gate, mixed = mix(x, self.levels[slots[4]], self.levels[slots[3]], self.weights, data.place[:n])
-            cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
-            total[:n] += self.cost[(gate.astype(np.int32) * FINE + cell) * 2 + y]
-        return np.bincount(data.owner, total, len(tokens))
+        if self.known is None:
+            self.known = np.zeros(1 << MEMO_BITS, dtype=np.uint64), np.zeros(1 << MEMO_BITS)
+            self.known[0][0] = ~np.uint64(0)  # belongs to the last place, so the first is empty too
+        hashes, costs = self.known
+        places = Places(tokens)
+        events = places.events()
+        slot = (events >> np.uint64(64 - MEMO_BITS)).view(np.int64)
+        bits = costs[slot]
+        new = np.flatnonzero(hashes[slot] != events)
+        if len(new):
+            at, start = grouped(events[new])
+            picked = new[at[start]]
+            priced = self._price(places.take(picked))
+            bits[new[at]] = np.repeat(priced, np.diff(np.append(start, len(at))))
+            hashes[slot[picked]], costs[slot[picked]] = events[picked], priced
+        return np.bincount(places.owner, bits, len(tokens))
+
+    def _price(self, places: Places) -> np.ndarray:
+        out = np.zeros(len(places.byte))
+        for low in range(0, len(out), 2 * STEP):
+            some = slice(low, low + 2 * STEP)
+            data = Bytes(places.take(some), self.code, self.length)
+            total = np.zeros(len(data.order))
+            for n, keys, y in data.keys():
+                slots = [slots_of(h, size) for h, size in zip(keys, self.sizes)]
+                x = [odds[s] for odds, s in zip(self.odds, slots)]
+                gate, mixed = mix(x, self.levels[4][slots[4]], self.levels[3][slots[3]], self.weights, data.place[:n])
+                cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
+                total[:n] += self.cost[(gate * FINE + cell) * 2 + y]
+            out[some][data.order] = total
+        return out
 
 
 class KnownWords:
@@ -381,6 +706,7 @@ class KnownWords:
     def _clear(self) -> None:
         self.number: defaultdict[bytes, int] = defaultdict()
         self.number.default_factory = self.number.__len__
+        self.words: list[bytes] = []  # by number
         self.bits = self.base = np.zeros(0)
 
     def numbers(self, texts: list[list[bytes]]) -> np.ndarray:
@@ -388,7 +714,9 @@ class KnownWords:
         if len(self.number) > KNOWN_TOKENS:
             self._clear()
         found = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
-        new = list(islice(self.number, len(self.bits), None))
+        # The newest words are the last of the dict.
+        new = list(islice(reversed(self.number), len(self.number) - len(self.words)))[::-1]
+        self.words += new
         for low in range(0, len(new), 1 << 15):
             some = new[low : low + (1 << 15)]
             own = self.scorer.token_bits([w + b" " for w in some]) if self.scorer else np.zeros(len(some))
@@ -408,7 +736,7 @@ class KnownWords:
         pairs, times = np.unique(owner[~has] * len(self.bits) + word[~has], return_counts=True)
         size = max(1, len(self.bits))
         offsets = pa.array(np.searchsorted(pairs // size, np.arange(n + 1)), pa.int32())
-        words = pa.array(list(self.number), pa.binary()).take(pa.array(pairs % size))
+        words = pa.array([self.words[i] for i in (pairs % size).tolist()], pa.binary())
         return (
             bits, np.bincount(owner, has, n).astype(np.int64), total,
             pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
@@ -432,13 +760,18 @@ def cost_table(apm: np.ndarray) -> np.ndarray:
 
 
 def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST) -> Scorer:
-    """The model from the rows of ``learn_counts``."""
-    odds, levels = np.zeros(sum(sizes), dtype=np.int16), np.zeros(sum(sizes), dtype=np.uint8)
+    """The model from the rows of ``tables``."""
+    odds = [np.zeros(size, dtype=np.int16) for size in sizes]
+    levels = [np.zeros(size if i > 2 else 0, dtype=np.uint8) for i, size in enumerate(sizes)]
+    starts = np.cumsum([0, *sizes[:-1]]) // BLOCK
     weights, apm = first_weights(), np.zeros((2, GATES * APM_CELLS), dtype=np.int64)
     for block, some_odds, some_levels in rows:
         if block >= 0:
-            place = slice(block * BLOCK, (block + 1) * BLOCK)
-            odds[place], levels[place] = np.frombuffer(some_odds, np.int16), np.frombuffer(some_levels, np.uint8)
+            i = int(np.searchsorted(starts, block, "right")) - 1
+            low = (block - int(starts[i])) * BLOCK
+            odds[i][low : low + BLOCK] = np.frombuffer(some_odds, np.int16)
+            if i > 2:
+                levels[i][low : low + BLOCK] = np.frombuffer(some_levels, np.uint8)
             continue
         values = np.frombuffer(some_odds, dtype=np.int64)
         if values[0]:
@@ -519,10 +852,12 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
     ends = int(raw[END[0]])  # one per training row
     n, v = (total.n or 0) + ends, total.v + (ends > 0)
     code, length = prefix_code(raw)
-    # Written, so that a lost executor does not repeat the learning; its size is that of the model.
-    sizes = table_sizes(distinct_keys(training, code, length))
-    learned = materialize(learn_counts(training, code, length, sizes, max(1, -(-int(raw.sum()) // SHARD))), "lm-counts")
-    scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length, sizes)
+    with scratch(spark, "lm-model"):
+        # Written, so that a lost executor does not repeat the learning; not needed once the model is made.
+        events = materialize(learn_events(training, code, length, max(1, -(-int(raw.sum()) // SHARD))), "lm-events")
+        sizes = table_sizes(distinct_keys(events.where("part >= 0"), code, length, read=packed_events))
+        learned = materialize(tables(events, code, length, sizes), "lm-counts")
+        scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length, sizes)
     model = spark.sparkContext.broadcast((scorer, common_words(counts, frequent)))
     size = n + (v + 1)  # add-one smoothing over the known tokens and one unknown
 

@@ -343,6 +343,40 @@ def test_the_first_chunk_moves_weights_and_refinement():
     assert learner.apm.sum() == learner.counts[: lm.BLOCK].sum() > n_bits
 
 
+def test_equal_bytes_are_learned_once_as_often_as_they_occur():
+    texts = [b"the cat sat on the mat", b"the cat", "\u00e9\u00e9 wordswithmanyletters".encode(), b"", b"  a\tb"] * 150
+    code, length = lm.prefix_code(np.arange(256))
+    learner = lm.Learner(code, length)
+    learner.learn(texts)
+    slow = np.zeros_like(learner.counts)
+    for _, slots, y in lm.Bytes([t + lm.END for t in texts], code, length).bits(learner.sizes):
+        for s in slots:
+            np.add.at(slow, (s, y), 1)
+    assert (learner.counts == slow).all() and learner.apm.sum() == slow[: lm.BLOCK].sum()
+    dense = {block: np.frombuffer(counts, np.int32).reshape(-1, 2) for block, counts in learner.rows() if block >= 0}
+    assert all((slow[b * lm.BLOCK : (b + 1) * lm.BLOCK] == part).all() for b, part in dense.items())
+    found = learner.events()
+    assert sum(found.times) == sum(len(t) + 1 for t in texts) and len(found.times) < sum(found.times) / 100
+    back = lm.Events.unpack(found.pack())
+    assert all((getattr(back.places, c) == getattr(found.places, c)).all() for c in lm.Places.COLUMNS)
+    assert (back.hashes == found.hashes).all() and (back.times == found.times).all() and found.times.max() > 255
+    total = np.zeros((lm.BLOCK, 2), dtype=np.int64)
+    for block, parts in lm.cells_of(found, code, length, learner.sizes):
+        if block == 0:
+            lm.add_packed(lm.packed(parts), total)
+    assert (total == dense[0]).all()
+
+
+def test_remembered_costs_are_those_of_a_new_scorer(monkeypatch):
+    texts = [b"the cat sat on the mat", b"the dog sat", b"the cat sat on the dog"] * 3
+    monkeypatch.setattr(lm, "MEMO_BITS", 3)  # most events lose their place
+    few = small_scorer()
+    first, again = few.token_bits(texts), few.token_bits(texts)
+    monkeypatch.setattr(lm, "MEMO_BITS", 16)
+    alone = [small_scorer().token_bits([t])[0] for t in texts]
+    assert first.tolist() == again.tolist() == alone
+
+
 def test_prefix_codes_are_complete():
     code, length = lm.prefix_code(np.arange(256) ** 3)
     assert sum(2.0**-n for n in length.tolist()) == 1.0
