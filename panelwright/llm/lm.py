@@ -22,7 +22,8 @@ A shard predicts from tables of its own (``OWN`` slots) and gives out its events
 all shards are added up, weights are averaged by the number of chunks. Then the distinct
 keys (context and bits so far) of each predictor are counted, and its table in the model
 has ``SPARE`` slots for each; slots do not check keys, so a share of 1 - exp(-1 / SPARE) of
-the keys meets another in its slot. The model and its broadcast grow with the distinct
+the keys meets another in its slot. A slot of the model is a byte: its log-odds, rounded
+to the states of ``state_values``, and how much it has been seen. The model and its broadcast grow with the distinct
 contexts of the input; what learns a shard grows with those of the shard.
 
 Rules: A-Z in lower case; a null text is empty; the end of a text is its last
@@ -58,10 +59,12 @@ APM_CELLS = 33
 FINE = 1537  # cells of the final table of costs
 REACH = 12.0  # largest log-odds
 PRIOR = 0.2
-STEP = 1 << 12  # bits between two moves of the weights
+STEP = 1 << 12  # distinct bits between two moves of the weights
+MOST_RATE = 4.0  # how much further a move goes for bits that occur often, at most
 CHUNK = 1 << 18  # characters whose contexts are found together
 LEARN, LEARN_MOST = 1 << 16, 1 << 22  # characters that are learned together, at first and at most
 BATCH = 1 << 16  # events that are predicted before they are counted
+GATHERED = 1 << 18  # events that are turned into counts together
 OWN = (BLOCK, 1 << 20, 1 << 22, 1 << 22, 1 << 22)  # slots of each predictor while a shard is learned
 MEMO_BITS = 22  # a worker remembers the costs of 2^22 events
 SHARD = 16_000_000  # bytes of training texts that are learned one after the other
@@ -313,6 +316,38 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return ((n > 0).astype(np.uint8) + (n > 3) + (n > 31)).astype(np.uint8)
 
 
+def state_values() -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds in 256ths, in order inside a level, and the level of each state of a slot.
+
+    A slot that has been seen up to three times has a state of its own for each pair of
+    counts; beyond, steps are a tenth to a sixth of a unit of log-odds.
+    """
+    few = [(a, n - a) for n in range(4) for a in range(n + 1)]
+    odds = [odds_of(np.array([c])) for c in few]
+    levels = [levels_of(np.array([c])) for c in few]
+    for level, n, most in ((2, 96, 31.0), (3, 150, 1e5)):
+        reach = 256 * np.log((most + PRIOR) / PRIOR)
+        odds.append(np.rint(np.linspace(-reach, reach, n)).astype(np.int16))
+        levels.append(np.full(n, level, dtype=np.uint8))
+    odds, levels = np.concatenate(odds), np.concatenate(levels)
+    order = np.lexsort((odds, levels))
+    return odds[order], levels[order]
+
+
+STATE_ODDS, STATE_LEVELS = state_values()
+
+
+def states_of(odds: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The state of the same level with the nearest log-odds, one byte a slot."""
+    out = np.zeros(len(odds), dtype=np.uint8)
+    for level in range(1, 4):
+        low, high = np.searchsorted(STATE_LEVELS, [level, level + 1])
+        at = np.flatnonzero(levels == level)
+        values = STATE_ODDS[low:high].astype(np.int32)
+        out[at] = low + np.searchsorted((values[1:] + values[:-1]) // 2, odds[at])
+    return out
+
+
 def first_weights() -> np.ndarray:
     """Equal weights, for log-odds in 256ths."""
     return np.tile(np.array([0.3] * (INPUTS - 1) + [0.0], dtype=np.float32), (GATES, 1)) / np.float32(256)
@@ -367,6 +402,7 @@ class Learner:
         self.apm += np.bincount(cell, times, 2 * GATES * APM_CELLS).astype(np.int64).reshape(2, -1)
         error = (y - 1.0 / (1.0 + np.exp(-mixed))) * times
         n = np.maximum(np.bincount(gate, times, GATES), 1)
+        rate *= min(MOST_RATE, float(times.mean()))  # a step that stands for more bits moves further
         for i in range(INPUTS):
             # Log-odds come in 256ths, so their weights are 256 times smaller.
             unit = 256.0 if i < INPUTS - 1 else 1.0
@@ -399,7 +435,7 @@ class Learner:
 
 def cells_of(found: Events, code, length, sizes: tuple[int, ...]) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
     """(block, places and counts of zeros, and of ones) of some events; a block may come again."""
-    for whole, often in found.batches(code, length, 1 << 21):
+    for whole, often in found.batches(code, length, GATHERED):
         for i in reversed(range(PREDICTORS)):
             # Bytes that follow the same context of a predictor are added up first; each of the
             # orders goes on with the sums of the one above.
@@ -580,13 +616,11 @@ def learn_events(texts: DataFrame, code: np.ndarray, length: np.ndarray, shards:
 
 
 def tables(learned: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...]) -> DataFrame:
-    """(block, odds, levels): the rows of ``learn_events`` turned into the tables of the model;
+    """(block, states): the rows of ``learn_events`` turned into the tables of the model;
     block -1 has the weights and the refinement instead.
 
     Blocks are streamed in order, so a task holds one sum at a time.
     """
-    levelled = sum(sizes[:3]) // BLOCK  # the gate sees the last two predictors
-
     def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(block, counts):
             return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts], pa.binary())], names=["block", "counts"])
@@ -603,7 +637,7 @@ def tables(learned: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tupl
                     continue
                 held.append(Events.unpack(events.as_py()))
                 n += len(held[-1].times)
-                if n >= 1 << 20:  # parts of so many events are turned into counts together
+                if n >= GATHERED:
                     yield from out(held)
                     held, n = [], 0
         yield from out(held)
@@ -612,14 +646,8 @@ def tables(learned: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tupl
         current, total = None, None
 
         def out():
-            if current < 0:
-                odds, levels = total.tobytes(), b""
-            else:
-                odds, levels = odds_of(total).tobytes(), levels_of(total).tobytes() if current >= levelled else b""
-            return pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int32()), pa.array([odds], pa.binary()), pa.array([levels], pa.binary())],
-                names=["block", "odds", "levels"],
-            )
+            states = total if current < 0 else states_of(odds_of(total), levels_of(total))
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([states.tobytes()], pa.binary())], names=["block", "states"])
 
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
@@ -636,18 +664,18 @@ def tables(learned: DataFrame, code: np.ndarray, length: np.ndarray, sizes: tupl
 
     n = int(learned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = map_batches(learned, cells, "block int, counts binary")
-    return map_batches(parts.repartition(n, "block").sortWithinPartitions("block"), add, "block int, odds binary, levels binary")
+    return map_batches(parts.repartition(n, "block").sortWithinPartitions("block"), add, "block int, states binary")
 
 
 # -- scoring --------------------------------------------------------------
 
 
 class Scorer:
-    """The learned model: log-odds and levels per slot of each predictor, weights, cost of each outcome."""
+    """The learned model: a state per slot of each predictor, weights, cost of each outcome."""
 
-    def __init__(self, code, length, sizes, odds, levels, weights, cost):
+    def __init__(self, code, length, sizes, states, weights, cost):
         self.code, self.length, self.sizes = code, length, sizes
-        self.odds, self.levels, self.weights, self.cost = odds, levels, weights, cost
+        self.states, self.weights, self.cost = states, weights, cost
         self.known = None  # hashes and costs of events, made where it scores
 
     def token_bits(self, tokens: list[bytes]) -> np.ndarray:
@@ -683,8 +711,9 @@ class Scorer:
             total = np.zeros(len(data.order))
             for n, keys, y in data.keys():
                 slots = [slots_of(h, size) for h, size in zip(keys, self.sizes)]
-                x = [odds[s] for odds, s in zip(self.odds, slots)]
-                gate, mixed = mix(x, self.levels[4][slots[4]], self.levels[3][slots[3]], self.weights, data.place[:n])
+                met = [states[s] for states, s in zip(self.states, slots)]
+                x = [STATE_ODDS[m] for m in met]
+                gate, mixed = mix(x, STATE_LEVELS[met[4]], STATE_LEVELS[met[3]], self.weights, data.place[:n])
                 cell = ((mixed + np.float32(REACH)) * np.float32((FINE - 1) / (2 * REACH)) + np.float32(0.5)).astype(np.int32)
                 total[:n] += self.cost[(gate * FINE + cell) * 2 + y]
             out[some][data.order] = total
@@ -759,19 +788,19 @@ def cost_table(apm: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
-def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST) -> Scorer:
-    """The model from the rows of ``tables``."""
-    odds = [np.zeros(size, dtype=np.int16) for size in sizes]
-    levels = [np.zeros(size if i > 2 else 0, dtype=np.uint8) for i, size in enumerate(sizes)]
+def scorer_from(rows: Iterable[tuple[int, bytes, bytes | None]], code: np.ndarray, length: np.ndarray, sizes: tuple[int, ...] = LEAST) -> Scorer:
+    """The model from (block, log-odds, levels), or from the rows of ``tables`` and None for levels."""
+    states = [np.zeros(size, dtype=np.uint8) for size in sizes]
     starts = np.cumsum([0, *sizes[:-1]]) // BLOCK
     weights, apm = first_weights(), np.zeros((2, GATES * APM_CELLS), dtype=np.int64)
     for block, some_odds, some_levels in rows:
         if block >= 0:
             i = int(np.searchsorted(starts, block, "right")) - 1
             low = (block - int(starts[i])) * BLOCK
-            odds[i][low : low + BLOCK] = np.frombuffer(some_odds, np.int16)
-            if i > 2:
-                levels[i][low : low + BLOCK] = np.frombuffer(some_levels, np.uint8)
+            known = some_levels is None
+            states[i][low : low + BLOCK] = np.frombuffer(some_odds, np.uint8) if known else states_of(
+                np.frombuffer(some_odds, np.int16), np.frombuffer(some_levels, np.uint8)
+            )
             continue
         values = np.frombuffer(some_odds, dtype=np.int64)
         if values[0]:
@@ -779,7 +808,7 @@ def scorer_from(rows: Iterable[tuple[int, bytes, bytes]], code: np.ndarray, leng
             weights = mean.astype(np.float32)
             weights[:, : INPUTS - 1] /= 256
         apm = values[1 + GATES * INPUTS :].reshape(2, -1)
-    return Scorer(code, length, sizes, odds, levels, weights, cost_table(apm))
+    return Scorer(code, length, sizes, states, weights, cost_table(apm))
 
 
 # -- the base -------------------------------------------------------------
@@ -857,7 +886,7 @@ def score_texts(docs: DataFrame, held_out: str, doc_id="doc_id", text="text", fr
         events = materialize(learn_events(training, code, length, max(1, -(-int(raw.sum()) // SHARD))), "lm-events")
         sizes = table_sizes(distinct_keys(events.where("part >= 0"), code, length, read=packed_events))
         learned = materialize(tables(events, code, length, sizes), "lm-counts")
-        scorer = scorer_from(((r.block, bytes(r.odds), bytes(r.levels)) for r in learned.toLocalIterator()), code, length, sizes)
+        scorer = scorer_from(((r.block, bytes(r.states), None) for r in learned.toLocalIterator()), code, length, sizes)
     model = spark.sparkContext.broadcast((scorer, common_words(counts, frequent)))
     size = n + (v + 1)  # add-one smoothing over the known tokens and one unknown
 
