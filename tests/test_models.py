@@ -185,6 +185,34 @@ def test_one_fit_and_one_search_are_at_the_defaults(monkeypatch):
     assert seen == [EnsembleConfig(), EnsembleConfig(), ("train", None, None)]
 
 
+def test_the_checked_search_has_all_trials_at_the_defaults(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from panelwright.plans import catalog
+
+    seen, names = [], list(SEARCH_RANGES)
+
+    class Stack:
+        def __init__(self, config):
+            self.config = config
+
+        def tune(self, rows, trials=None, draws=None):
+            seen.append((self.config, rows, trials, draws))
+            drawn = draw_settings(self.config, self.config.tune_trials, {"rf_trees": (50, 110)})
+            table = [(i, *[getattr(d, n) for n in names], float(i)) for i, d in enumerate(drawn)]
+            columns = [f"{n} {'int' if isinstance(getattr(self.config, n) or 1, int) else 'double'}" for n in names]
+            self.search_results = spark.createDataFrame(table, ", ".join(["trial int", *columns, "mean_roc_auc double"]))
+            self.best_score, self.n_outside = 29.0, sum(not 100 <= d.rf_trees <= 599 for d in drawn)
+            seen.append(self.n_outside)
+            return self
+
+    monkeypatch.setattr(catalog, "StackedEnsemble", Stack)
+    monkeypatch.setattr(catalog, "trained", lambda *a: SimpleNamespace(train="train"))
+    found = catalog.QUERIES["search_checks"](spark, "").first()
+    assert seen[0] == (EnsembleConfig(), "train", None, None) and seen[1] > 0
+    assert (found.n_trials, found.n_outside, found.best_is_largest) == (30, seen[1], True)
+
+
 def test_search_draws_stay_in_range_and_repeat():
     draws = draw_settings(EnsembleConfig(), 40)
     assert draws == draw_settings(EnsembleConfig(), 40)
